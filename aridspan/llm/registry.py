@@ -3,18 +3,35 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aridspan.llm import license_scan, line_rules
+from aridspan.llm import decontamination, language_id, license_scan, line_rules, packing, url_filter
+from aridspan.shipping import ship
+
+
+def shipped(query: Callable) -> Callable:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(ship(spark), sf_dir)
+
+    return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    every = {
         "op2_line_rules": line_rules.query,
+        "op3_packing": packing.query,
+        "op5_language_id": language_id.query,
+        "op6_url_filter": url_filter.query,
+        "op7_decontamination": decontamination.query,
         "op10_license_scan": license_scan.query,
     }
+    return {name: shipped(query) for name, query in every.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op6_url_filter": url_filter.ORACLE_SQL,
+    }
