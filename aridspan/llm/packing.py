@@ -143,7 +143,12 @@ def pack(pieces: DataFrame, capacity: int = SEQUENCE, group: int = GROUP) -> Dat
     return first.filter("not again").drop("again").unionByName(second)
 
 
-def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The contract's columns; the checksum is taken on the pieces' ids before lengths alone go on."""
-    pieces = tokenize(table(spark, sf_dir, "documents"))
+def placed(docs: DataFrame) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of all pieces of docs (doc_id, text); the checksum
+    is taken on the pieces' ids before lengths alone go on."""
+    pieces = tokenize(docs)
     return pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return placed(table(spark, sf_dir, "documents"))

@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aridspan.llm import decontamination, language_id, license_scan, line_rules, packing, url_filter
+from aridspan.llm import decontamination, language_id, license_scan, line_rules, near_duplicates, packing, private_data, repeated_text, token_counts, url_filter
 from aridspan.shipping import ship
 
 
@@ -21,11 +21,15 @@ def shipped(query: Callable) -> Callable:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = {
+        "op1_token_counts": token_counts.query,
         "op2_line_rules": line_rules.query,
         "op3_packing": packing.query,
+        "op4_private_data": private_data.query,
         "op5_language_id": language_id.query,
         "op6_url_filter": url_filter.query,
         "op7_decontamination": decontamination.query,
+        "op8_repeated_text": repeated_text.query,
+        "op9_near_duplicates": near_duplicates.query,
         "op10_license_scan": license_scan.query,
     }
     return {name: shipped(query) for name, query in every.items()}
@@ -33,5 +37,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_token_counts": token_counts.ORACLE_SQL,
         "op6_url_filter": url_filter.ORACLE_SQL,
     }

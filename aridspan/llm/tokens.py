@@ -1,18 +1,22 @@
 """Token ids by a public tokenizer file, cached by word.
 
-The tokenizer used for packing drops white space and never joins across it, so the ids of a text are
-those of its words one after another, and each word is encoded once per worker. Only a bounded number
-of short words is remembered.
+The tokenizer used for packing lower-cases, drops white space and never joins across it, so the ids of a
+text are those of its words one after another. Words of Latin letters go straight to the vocabulary's
+merges; all others go through the whole tokenizer. Each worker remembers a bounded number of short words.
 """
 
 from __future__ import annotations
 
 import os
+import re
+from array import array
 from functools import cache
 
-import numpy as np
+MAX_WORDS, MAX_BYTES = 350_000, 64
 
-MAX_WORDS, MAX_BYTES = 300_000, 64
+#: Letters whose normal form is one character, the same in every library.
+LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
+MARKS = b".,;:!?"
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -22,30 +26,49 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-@cache
-def loaded(path: str) -> tuple:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself if printable, else one from U+0100 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
-    return Tokenizer.from_file(path), {}
+
+class WordIds(dict):
+    """The ids of a word (bytes) as little-endian unsigned 32-bit integers."""
+
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.table = byte_letters()
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= MAX_WORDS:
+            self.clear()
+        core = word.rstrip(MARKS)
+        low = core.decode().lower()
+        if LETTERS.fullmatch(low):
+            if core != word and core in self:
+                ids = self[core]
+            else:
+                pieces = self.model.tokenize(low if low.isascii() else low.encode().decode("latin-1").translate(self.table))
+                ids = array("I", [p.id for p in pieces]).tobytes()
+            if core != word:
+                ids += self[word[len(core) :]]
+        else:
+            ids = array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+        if len(word) <= MAX_BYTES:
+            self[word] = ids
+        return ids
+
+
+loaded = cache(WordIds)
 
 
 def encode_block(texts: list[bytes | None], path: str) -> list[bytes]:
-    """The ids of each text (null: none) as little-endian unsigned 32-bit integers."""
-    tokenizer, known = loaded(path)
-    words = [(t or b"").split() for t in texts]
-    seen = set().union(*words)
-    if len(known) + len(seen) > MAX_WORDS:
-        known.clear()
-    new = sorted(seen.difference(known))
-    own: dict[bytes, bytes] = {}
-    for at in range(0, len(new), 20_000):
-        part = new[at : at + 20_000]
-        for word, got in zip(part, tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-            own[word] = np.asarray(got.ids, "<u4").tobytes()
-    if own:
-        known.update((w, i) for w, i in own.items() if len(w) <= MAX_BYTES)
-        merged = known | {w: i for w, i in own.items() if len(w) > MAX_BYTES} if any(len(w) > MAX_BYTES for w in own) else known
-    else:
-        merged = known
-    return [b"".join(map(merged.__getitem__, ws)) for ws in words]
+    """The ids of each text (null: none). Only a text that may hold a special token keeps its capitals."""
+    known = loaded(path)
+    words = (t.split() if b"<|" in t else t.lower().split() for t in (t or b"" for t in texts))
+    return [b"".join(map(known.__getitem__, ws)) for ws in words]
