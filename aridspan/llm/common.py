@@ -15,9 +15,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: One word of the contracts that split on ASCII white space, and of those that keep letters and digits.
+#: One word of the contracts that split on ASCII white space, and of those that keep letters and digits, there
+#: in a text whose A-Z are still to be lower-cased.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
-ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 #: bytes.translate table: A-Z lower-cased, every ASCII byte outside letters and digits a space.
 ALNUM_TABLE = bytes(

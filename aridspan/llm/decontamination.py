@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aridspan.llm.common import ALNUM_WORD, ascii_lower, stored, table
+from aridspan.llm.common import CASED_WORD, ascii_lower, stored, table
 
 #: Words of a window, words of a hashed gram; grams of a winnowing window follow.
 WINDOW, GRAM = 13, 5
@@ -32,7 +32,9 @@ MAX_BROADCAST_ROWS = 500_000
 
 
 def words(text: Column) -> Column:
-    return F.coalesce(F.regexp_extract_all(ascii_lower(text), F.lit(ALNUM_WORD), F.lit(0)), F.array().cast("array<string>"))
+    """The words of a text; only A-Z are lower-cased, word by word, as few words need the slower way."""
+    found = F.regexp_extract_all(text, F.lit(CASED_WORD), F.lit(0))
+    return F.coalesce(F.transform(found, ascii_lower), F.array().cast("array<string>"))
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -152,7 +154,7 @@ def judge(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
     )
     rows = docs.withColumn("text_hash", F.xxhash64("text"))
-    n_words = F.coalesce(F.regexp_count(ascii_lower(F.col("text")), F.lit(ALNUM_WORD)), F.lit(0)).cast("long")
+    n_words = F.coalesce(F.regexp_count("text", F.lit(CASED_WORD)), F.lit(0)).cast("long")
     rows = rows.withColumn("n_words", n_words)
     joined = rows.join(found, rows["doc_id"].eqNullSafe(found["doc_id"]) & (rows["text_hash"] == found["text_hash"]), "left")
     none = F.array().cast("array<string>")

@@ -19,13 +19,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aridspan.llm.common import SPACE_WORD, blocks, shared_dir, stored, table, texts
+from aridspan.llm.common import CASED_WORD, SPACE_WORD, blocks, shared_dir, stored, table, texts
 
 KEYS = ("source", "lang", "tokenizer")
 DELTA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 
 #: Tokenizer versions that a regular expression defines.
-VERSIONS = {"space-1": SPACE_WORD, "alnum-1": r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"}
+VERSIONS = {"space-1": SPACE_WORD, "alnum-1": CASED_WORD}
 
 
 def counted(text: Column, pattern: str) -> Column:
