@@ -15,10 +15,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: One word of the contracts that split on ASCII white space, and of those that keep letters and digits, there
-#: in a text whose A-Z are still to be lower-cased.
-SPACE_WORD = r"[^\x20\x09-\x0D]+"
-CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: White space that parts words, and all ASCII characters that part words of letters and digits.
+SPACES = "".join(map(chr, [*range(0x09, 0x0E), 0x20]))
+PARTING = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: bytes.translate table: A-Z lower-cased, every ASCII byte outside letters and digits a space.
 ALNUM_TABLE = bytes(
@@ -48,12 +48,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ascii_lower(text: Column) -> Column:
-    """A-Z lower-cased and nothing else; the plain lower() where all characters are ASCII."""
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(
-        F.translate(text, upper, upper.lower())
-    )
+def words_of(text: Column, parting: str, lower: bool = False) -> Column:
+    """The words of a text between characters of parting (null: none), with A-Z lower-cased if asked. Characters are
+    exchanged one by one and the split is at a single space: many times faster than a pattern for words."""
+    others = parting.replace(" ", "")
+    spaced = F.translate(text, others + UPPER * lower, " " * len(others) + UPPER.lower() * lower)
+    return F.coalesce(F.array_remove(F.split(spaced, " ", -1), ""), F.array().cast("array<string>"))
 
 
 def blocks(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:

@@ -3,7 +3,7 @@ rows, combined by source, language and tokenizer version, and added to totals. A
 once: its folder in the ledger counts from the moment its success mark is there, a batch that failed
 half-way is written anew, and a batch that is sent again changes nothing.
 
-Native: counts are made by regular expressions inside the scan. Only a document's counts move, and every
+Native: counts are made by built-in functions inside the scan. Only a document's counts move, and every
 sum is combined before its shuffle, so a hot source is a few rows by then.
 
 Defined cases: a null text has no tokens; null sources and languages are keys of their own; repeated rows
@@ -19,21 +19,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aridspan.llm.common import CASED_WORD, SPACE_WORD, blocks, shared_dir, stored, table, texts
+from aridspan.llm.common import PARTING, SPACES, blocks, shared_dir, stored, table, texts, words_of
 
 KEYS = ("source", "lang", "tokenizer")
 DELTA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 
-#: Tokenizer versions that a regular expression defines.
-VERSIONS = {"space-1": SPACE_WORD, "alnum-1": CASED_WORD}
+#: Tokenizer versions that the characters between tokens define: white space, or all but letters and digits.
+VERSIONS = {"space-1": SPACES, "alnum-1": PARTING}
 
 
-def counted(text: Column, pattern: str) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0)).cast("long")
+def counted(text: Column, parting: str) -> Column:
+    return F.size(words_of(text, parting)).cast("long")
 
 
 def public_tokenizer_counts(docs: DataFrame, path: str) -> DataFrame:
-    """docs (text, any others) with n_tokens by a public tokenizer's file, for versions that no pattern defines."""
+    """docs (text, any others) with n_tokens by a public tokenizer's file, for versions that no characters define."""
     from aridspan.llm.tokens import encode_block
 
     def run(batches):
@@ -101,14 +101,15 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     the others with repeated lines counted anew without the repeats; and the second batch sent again."""
     import uuid
 
-    text = F.col("text")
-    unique = F.array_distinct(F.split("text", "\n", -1))
-    per = [
-        F.struct(F.lit(v).alias("tokenizer"), counted(text, p).alias("n_tokens"), counted(F.array_join(unique, "\n"), p).alias("n_unique"))
-        for v, p in VERSIONS.items()
-    ]
+    lines = F.split("text", "\n", -1)
+    shorter = F.when(F.size(F.array_distinct(lines)) < F.size(lines), F.array_join(F.array_distinct(lines), "\n"))
+    per = []
+    for version, parting in VERSIONS.items():
+        n = counted(F.col("text"), parting)
+        n_unique = F.when(F.col("shorter").isNull(), n).otherwise(counted(F.col("shorter"), parting))
+        per.append(F.struct(F.lit(version).alias("tokenizer"), n.alias("n_tokens"), n_unique.alias("n_unique")))
     counts = stored(
-        table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.md5("text").alias("text_hash"), F.array(*per).alias("per")),
+        table(spark, sf_dir, "documents").withColumn("shorter", shorter).select("doc_id", "source", "lang", F.md5("text").alias("text_hash"), F.array(*per).alias("per")),
         "token-counts",
     )
     first = counts.filter("text_hash IS NOT NULL").groupBy("text_hash").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
