@@ -189,7 +189,9 @@ class GridReader(DataSourceReader):
         found = sorted(str(p) for p in Path(self.root).rglob("*.nc"))
         return [_File(p) for p in found if self.year is None or name_fields(p)["file_year"] == self.year]
 
-    def read(self, partition: _File) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _File | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # no file is left
+            return
         for batch in long_rows(decode(Path(partition.path).read_bytes()), self.variable, self.bounds):
             yield with_identity(batch, partition.path)
 
