@@ -56,7 +56,34 @@ def words_of(text: Column, parting: str, lower: bool = False) -> Column:
     return F.coalesce(F.array_remove(F.split(spaced, " ", -1), ""), F.array().cast("array<string>"))
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+class Recent(dict):
+    """What make() gives for short keys, remembered for the keys of late: when size of them are held, they become the
+    old ones, and those of the old ones that are asked for again come back."""
+
+    def __init__(self, size: int = 80_000, longest: int = 64) -> None:
+        self.size, self.longest, self.old = size, longest, {}
+
+    def make(self, key: bytes) -> object:
+        raise NotImplementedError
+
+    def __missing__(self, key: bytes) -> object:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.size:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+    def forget(self) -> None:
+        """For the end of a task, as the worker lives on."""
+        self.old = {}
+        self.clear()
+
+
+def blocks(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the texts of one block take about max_bytes; a longer text is a block of its own."""
     for batch in batches:
         lengths = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()

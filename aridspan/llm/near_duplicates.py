@@ -5,9 +5,10 @@ confirmation on full shingle sets, and connected components by large-star and sm
    for each minimum. Documents with equal sets become one class before anything else moves.
 2. Classes that share a band's bucket are candidates. Each class is first held against the best looking
    of its buckets' smallest members (one confirmation a class), which settles groups of copies.
-3. Buckets that still hold more than one component are searched whole for pairs across components whose
-   signatures look alike; buckets are cut into blocks, so that a task holds two blocks at most.
-4. Pairs are confirmed on the full sets of both texts; confirmed links are the edges of the components.
+3. Buckets that still hold more than one component are searched whole: pairs across components whose
+   signatures look alike are confirmed where they are found, and only links leave the task, at most one
+   fewer than it has members. Buckets are cut into blocks, so that a task holds two blocks at most.
+4. All links are confirmed on the full shingle sets of both texts; they are the edges of the components.
 
 A pair at similarity 0.75 misses all 48 bands of 5 minima with probability 2e-6, and falls under the
 signature threshold with less; every pair that is reported linked has been confirmed exactly.
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aridspan.llm.common import blocks, stored, table, texts
+from aridspan.llm.common import Recent, blocks, stored, table, texts
 from aridspan.llm.components import components
 
 SHINGLE = 5
@@ -38,21 +39,16 @@ BANDS, ROWS = 48, 5
 #: Pairs whose signatures look less alike than this are not confirmed; 0.75 is over four deviations away.
 LOOKS = 0.62
 #: Members of a bucket that one block holds.
-BLOCK = 2048
+BLOCK = 512
 
 P1, P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
-class WordHashes(dict):
-    """64-bit hashes of words; remembers a bounded number of them."""
+class WordHashes(Recent):
+    """64-bit hashes of words."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = value
-        return value
+    def make(self, word: bytes) -> int:
+        return xxhash.xxh3_64_intdigest(word)
 
 
 HASHES = WordHashes()
@@ -124,6 +120,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 ],
                 ["doc_id", "n_shingles", "set_hash", "bands", "signature"],
             )
+        HASHES.forget()
 
     return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(
         run, "doc_id long, n_shingles long, set_hash binary, bands array<long>, signature binary"
@@ -135,60 +132,86 @@ def alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return ((y == x).mean(1) * 256 - 1) / 255
 
 
+def linked(x: np.ndarray, y: np.ndarray, percent: int = PERCENT) -> bool:
+    """Whether two sorted sets are linked."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def links_across(rows: list[dict]) -> tuple[list[int], list[int]]:
+    """Links between members of different components, for one bucket's blocks i and k (own: a member's block). Members
+    that a link has joined are not held against each other again."""
+    rows.sort(key=lambda r: (r["own"], r["node"]))
+    node = [r["node"] for r in rows]
+    sets = [np.frombuffer(r["shingles"], np.uint64) for r in rows]
+    s = np.frombuffer(b"".join(r["signature"] for r in rows), np.uint8).reshape(len(rows), -1)
+    _, part = np.unique(np.array([r["component"] for r in rows]), return_inverse=True)
+    first = sum(r["own"] == r["i"] for r in rows)
+    u, v = [], []
+    for x in range(first):
+        start = first if rows[0]["i"] != rows[0]["k"] else x + 1
+        other = start + np.flatnonzero(part[start:] != part[x])
+        if not len(other):
+            continue
+        looks = alike(s[x], s[other])
+        other, looks = other[looks >= LOOKS], looks[looks >= LOOKS]
+        for y in other[np.argsort(-looks, kind="stable")].tolist():
+            if part[x] != part[y] and linked(sets[x], sets[y]):
+                u.append(node[x])
+                v.append(node[y])
+                part[part == part[y]] = part[x]
+    return u, v
+
+
 def across(groups: DataFrame) -> DataFrame:
-    """Pairs (a, b) that look alike and lie in different components, for each (bucket, i, k) of groups (sorted rows
-    with node, component, signature, own: the block of the row)."""
-
-    def search(rows: list[dict]) -> tuple[list[int], list[int]]:
-        rows.sort(key=lambda r: r["own"])
-        node = np.array([r["node"] for r in rows])
-        part = np.array([r["component"] for r in rows])
-        s = np.frombuffer(b"".join(r["signature"] for r in rows), np.uint8).reshape(len(rows), -1)
-        first = sum(r["own"] == r["i"] for r in rows)
-        a, b = [], []
-        for x in range(first):
-            start = first if rows[0]["i"] != rows[0]["k"] else x + 1
-            other = start + np.flatnonzero(part[start:] != part[x])
-            if len(other):
-                other = other[alike(s[x], s[other]) >= LOOKS]
-                a += [int(node[x])] * len(other)
-                b += node[other].tolist()
-        return a, b
+    """Links (u, v) between components for each (bucket, i, k) of groups (sorted rows with node, component, signature,
+    shingles, own)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (r for batch in batches for at in range(0, batch.num_rows, 1000) for r in batch.slice(at, 1000).to_pylist())
+        rows = (r for batch in batches for at in range(0, batch.num_rows, 256) for r in batch.slice(at, 256).to_pylist())
         for _, group in groupby(rows, key=lambda r: (r["bucket"], r["i"], r["k"])):
-            a, b = search(list(group))
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            u, v = links_across(list(group))
+            if u:
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+    return groups.mapInArrow(run, "u long, v long")
 
-    return groups.mapInArrow(run, "a long, b long")
 
+def shingle_sets(rows: DataFrame) -> DataFrame:
+    """class_id, shingles (binary: the sorted hashes) of rows (class_id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "text", 1 << 20):
+            sets = pa.array([shingles(t).tobytes() for t in texts(block)], pa.binary())
+            yield pa.RecordBatch.from_arrays([block.column("class_id"), sets], ["class_id", "shingles"])
+        HASHES.forget()
 
-def confirmed(pairs: DataFrame, held: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) whose full sets are linked; held: class_id, text. A group's head is read first and kept, the
+    return rows.mapInArrow(run, "class_id long, shingles binary")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets are linked; sets: class_id, shingles. A group's head is read first and kept, the
     others are read one after another; groups are salted, so a head that many pairs share is in many tasks."""
     pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(256)).cast("int"))
-    heads = pairs.select("a", "salt").distinct().join(held, F.col("a") == F.col("class_id"))
-    rest = pairs.join(held, F.col("b") == F.col("class_id"))
-    rows = heads.select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("b"), "text").unionByName(
-        rest.select("a", "salt", F.lit(1).alias("role"), "b", "text")
+    heads = pairs.select("a", "salt").distinct().join(sets, F.col("a") == F.col("class_id"))
+    rest = pairs.join(sets, F.col("b") == F.col("class_id"))
+    rows = heads.select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("b"), "shingles").unionByName(
+        rest.select("a", "salt", F.lit(1).alias("role"), "b", "shingles")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, key = None, None
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "shingles"):
             u, v = [], []
-            columns = [block.column(c).to_pylist() for c in ("a", "salt", "role", "b")]
-            for a, salt, role, b, text in zip(*columns, texts(block)):
-                h = shingles(text)
+            for a, salt, role, b, data in zip(*(c.to_pylist() for c in block.columns)):
+                h = np.frombuffer(data, np.uint64)
                 if role == 0:
                     head, key = h, (a, salt)
-                elif key == (a, salt):
-                    common = len(np.intersect1d(head, h, assume_unique=True))
-                    if 100 * common >= percent * (len(head) + len(h) - common):
-                        u.append(a)
-                        v.append(b)
+                elif key == (a, salt) and linked(head, h):
+                    u.append(a)
+                    v.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
     return rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "role").mapInArrow(run, "u long, v long")
@@ -212,7 +235,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         classes.join(members.select("class_id").distinct(), "class_id", "left_semi").select("class_id", "signature"), "signatures"
     )
     wanted = signatures.select("class_id")
-    held = stored(docs.join(wanted, F.col("doc_id") == F.col("class_id")).select("class_id", "text").dropDuplicates(["class_id"]), "texts")
+    # always a merge join: texts move once, whether few or many of them are wanted
+    held = docs.join(wanted.hint("merge"), F.col("doc_id") == F.col("class_id")).select("class_id", "text").dropDuplicates(["class_id"])
+    sets = stored(shingle_sets(held), "shingle-sets")
 
     # each class and the best looking of its buckets' heads
     stars = members.filter("class_id <> head").select("class_id", "head").distinct()
@@ -222,7 +247,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         )
     )
     best = looked.groupBy("class_id").agg(F.max_by("head", F.struct("looks", -F.col("head"))).alias("head"))
-    edges = stored(confirmed(best.select(F.col("head").alias("a"), F.col("class_id").alias("b")), held), "links")
+    edges = stored(confirmed(best.select(F.col("head").alias("a"), F.col("class_id").alias("b")), sets), "links")
     found = components(edges)
 
     # pairs across the components that remain in a bucket
@@ -231,19 +256,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     placed = stored(placed, "placed")
     open_ = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
-    rows = placed.join(open_, "bucket", "left_semi").join(signatures, "class_id")
+    rows = placed.join(open_, "bucket", "left_semi").join(signatures, "class_id").join(sets, "class_id")
     parts = F.ceil(F.col("n") / BLOCK).cast("int")
     rows = (
         rows.withColumn("own", F.pmod(F.xxhash64("class_id"), parts.cast("long")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
         .select(
             "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("k"), "own",
-            F.col("class_id").alias("node"), "component", "signature",
+            F.col("class_id").alias("node"), "component", "signature", "shingles",
         )
     )
-    pairs = across(rows.repartition("bucket", "i", "k").sortWithinPartitions("bucket", "i", "k"))
-    pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    more = stored(confirmed(pairs, held), "links")
+    more = stored(across(rows.repartition("bucket", "i", "k").sortWithinPartitions("bucket", "i", "k")), "links")
     found = stored(components(edges.unionByName(more)), "components")
 
     # back to the documents

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aridspan.llm.common import blocks, stored, table, texts
-from aridspan.llm.tokens import encode_block, vocabulary_path
+from aridspan.llm.tokens import encode_block, loaded, vocabulary_path
 
 SEQUENCE, END = 2048, 0
 #: Pieces that one task packs together at most, and the unfilled share of a sequence that is tried again.
@@ -54,6 +54,7 @@ def tokenize(docs: DataFrame, path: str | None = None, length: int = SEQUENCE, e
                 ],
                 ["doc_id", "piece", "start", "length", "ids"],
             )
+        loaded(path).forget()
 
     return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(
         run, "doc_id long, piece int, start long, length long, ids binary"

@@ -34,12 +34,13 @@ def counted(text: Column, parting: str) -> Column:
 
 def public_tokenizer_counts(docs: DataFrame, path: str) -> DataFrame:
     """docs (text, any others) with n_tokens by a public tokenizer's file, for versions that no characters define."""
-    from aridspan.llm.tokens import encode_block
+    from aridspan.llm.tokens import encode_block, loaded
 
     def run(batches):
         for block in blocks(batches, "text"):
             n = [len(ids) // 4 for ids in encode_block(texts(block), path)]
             yield pa.RecordBatch.from_arrays([*block.columns, pa.array(n, pa.int64())], [*block.schema.names, "n_tokens"])
+        loaded(path).forget()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(run, f"{schema}, n_tokens long")

@@ -12,7 +12,7 @@ import re
 from array import array
 from functools import cache
 
-MAX_WORDS, MAX_BYTES = 350_000, 64
+from aridspan.llm.common import Recent
 
 #: Letters whose normal form is one character, the same in every library.
 LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
@@ -33,10 +33,11 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class WordIds(dict):
+class WordIds(Recent):
     """The ids of a word (bytes) as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str) -> None:
+        super().__init__(150_000)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -44,27 +45,21 @@ class WordIds(dict):
         self.model = self.tokenizer.model
         self.table = byte_letters()
 
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= MAX_WORDS:
-            self.clear()
+    def make(self, word: bytes) -> bytes:
         core = word.rstrip(MARKS)
         low = core.decode().lower()
-        if LETTERS.fullmatch(low):
-            if core != word and core in self:
-                ids = self[core]
-            else:
-                pieces = self.model.tokenize(low if low.isascii() else low.encode().decode("latin-1").translate(self.table))
-                ids = array("I", [p.id for p in pieces]).tobytes()
-            if core != word:
-                ids += self[word[len(core) :]]
-        else:
-            ids = array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
-        if len(word) <= MAX_BYTES:
-            self[word] = ids
-        return ids
-
-
-loaded = cache(WordIds)
+        if not LETTERS.fullmatch(low):
+            return array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+        ids = self.get(core) or self.old.get(core)
+        if ids is None:
+            pieces = self.model.tokenize(low if low.isascii() else low.encode().decode("latin-1").translate(self.table))
+            ids = array("I", [p.id for p in pieces]).tobytes()
+        return ids if core == word else ids + self[word[len(core) :]]
+
+
+@cache
+def loaded(path: str) -> WordIds:
+    return WordIds(path)
 
 
 def encode_block(texts: list[bytes | None], path: str) -> list[bytes]:
