@@ -2,11 +2,11 @@
 and McMillan, 2014).
 
 Each shard's transform is made once. Merging starts with the shards' rows one after another and refines
-their interleave: in round k every row is moved by its transform's symbol and last-to-first step, after
-which all rows stand in the order of their first k symbols. Rows of one shard keep their mutual order, so
-no suffix is compared or sorted again. A boundary that first shows between two rows in round k says that
-their common prefix has k - 1 symbols; rows without a boundary after n rounds form a repeated interval
-of a string of n symbols.
+their interleave: each round moves every row by two symbols of its transform and two last-to-first steps,
+so that after k rounds all rows stand in the order of their first 2 k symbols. Rows of one shard keep
+their mutual order, and no suffix is compared or sorted again. A boundary that first shows between two
+rows in round k says that their common prefix has 2 k - 2 symbols or one more; rows without a boundary
+after n / 2 rounds form a repeated interval of a string of n symbols.
 """
 
 from __future__ import annotations
@@ -42,36 +42,36 @@ def shard_transform(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return order, text[before], place[before]
 
 
-def merged(shards: list[np.ndarray], rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Merges the transforms of shards (strings that each end with END, joined). Returns, in merged order, the place
-    of each row in the joined shards and the length of its common prefix with the row before (rounds: that or more),
-    and the interleave: the shard of each row."""
+def merged(shards: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Merges the transforms of shards (strings that each end with END, joined), to an even depth. Returns, in merged
+    order, the place of each row in the joined shards, the length of its common prefix with the row before
+    (rounded down to even; depth: that or more), and the interleave: the shard of each row."""
     parts = [shard_transform(s) for s in shards]
     starts = np.cumsum([0, *(len(s) for s in shards)])
     suffix = np.concatenate([p[0] + a for p, a in zip(parts, starts)])
-    symbol = np.concatenate([p[1] for p in parts])
+    symbol = np.concatenate([p[1] for p in parts]).astype(np.uint16)
     step = np.concatenate([p[2] + np.int32(a) for p, a in zip(parts, starts)])
+    pair, two = (symbol[step] << np.uint16(8)) | symbol, step[step]
     n = len(symbol)
     row = np.arange(n, dtype=np.int32)
     block = np.zeros(n, np.int32)
-    common = np.full(n, rounds, np.int16)
-    common[0] = 0
+    common = np.full(n, depth, np.int16)
+    edge = np.empty(n, bool)
     blocks = 1
-    for k in range(1, rounds + 1):
-        s = symbol[row]
+    for k in range(2, depth + 2, 2):
+        s = pair[row]
         order = np.argsort(s, kind="stable")
-        s = s[order]
-        row = step[row[order]]
-        b = block[order]
-        edge = np.empty(n, bool)
+        s, b = s[order], block[order]
+        row = two[row[order]]
         edge[0] = True
         np.not_equal(b[1:], b[:-1], out=edge[1:])
         edge[1:] |= s[1:] != s[:-1]
-        np.minimum(common, np.where(edge, np.int16(k - 1), np.int16(rounds)), out=common)
+        common[edge & (common == depth)] = k - 2
         np.cumsum(edge, out=block, dtype=np.int32)
         if block[-1] == blocks:
             break
         blocks = int(block[-1])
+    common[0] = 0
     return suffix[row], common, np.searchsorted(starts, suffix[row], side="right") - 1
 
 
@@ -79,7 +79,7 @@ def joined(strings: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"\xff".join(strings) + b"\xff", np.uint8)
 
 
-def repeated_in_smaller(strings: list[bytes], docs: np.ndarray, n: int, shard_bytes: int = 1 << 16) -> list[np.ndarray]:
+def repeated_in_smaller(strings: list[bytes], docs: np.ndarray, n: int, shard_bytes: int = 1 << 18) -> list[np.ndarray]:
     """For each string, where substrings of n symbols begin that a string of a smaller doc holds too."""
     shards: list[np.ndarray] = []
     held, size = [], 0

@@ -35,6 +35,11 @@ from aridspan.llm.bwt import repeated_in_smaller
 from aridspan.llm.common import blocks, stored, table, texts
 
 MATCH, GRAM = 50, 24
+#: A match holds its gram and as many bytes at least before or behind it.
+BESIDE = (MATCH - GRAM) // 2
+#: Low bits of a gram's hash that give way to its place in the block.
+PLACE = np.uint64((1 << 21) - 1)
+ANY = -1
 #: Different snippets of one hash from which it is cut into windows, and bytes that are merged at once.
 MANY, CHUNK = 2048, 1 << 20
 BLOCK = 2 << 20
@@ -75,19 +80,20 @@ def doc_bucket(doc: np.ndarray, count: int) -> np.ndarray:
     return (mixed(doc.view(np.uint64) + P2) % np.uint64(count)).astype(np.int64)
 
 
-def gram_hashes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the 24 and of the 32 bytes from each place on."""
+def gram_hashes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the 24, of the 32 and of the 13 bytes from each place on."""
     h = mixed(np.arange(1, 257, dtype=np.uint64) * P2)[text]
+    power = lambda n: np.uint64(pow(int(P1), n, 1 << 64))
     sizes = {1: h}
     length = 1
     while length < 32:
-        power = np.uint64(pow(int(P1), length, 1 << 64))
-        h = h[:-length] * power + h[length:]
+        h = h[:-length] * power(length) + h[length:]
         length *= 2
         sizes[length] = h
-    n = len(text) - GRAM + 1
-    grams = sizes[16][:n] * np.uint64(pow(int(P1), 8, 1 << 64)) + sizes[8][16 : 16 + n]
-    return mixed(grams), mixed(sizes[32])
+    n, m = len(text) - GRAM + 1, len(text) - BESIDE + 1
+    grams = sizes[16][:n] * power(8) + sizes[8][16 : 16 + n]
+    beside = (sizes[8][:m] * power(4) + sizes[4][8 : 8 + m]) * P1 + sizes[1][12 : 12 + m]
+    return mixed(grams), mixed(sizes[32]), mixed(beside)
 
 
 def window_minima(h: np.ndarray, width: int) -> np.ndarray:
@@ -100,18 +106,22 @@ def window_minima(h: np.ndarray, width: int) -> np.ndarray:
 
 
 def snippets(docs: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, ...]:
-    """key, content hash, doc, start, windows of each snippet of texts of 50 bytes or more."""
+    """key, content hash, doc, start, windows, sides of each snippet of texts of 50 bytes or more. sides: 16-bit hashes
+    of the 13 bytes before and behind the gram that all of its windows hold (0 beyond the snippet), or ANY
+    where its windows hold different places of that gram."""
     lengths = np.array([len(d) for d in docs])
     begins = np.cumsum(lengths) - lengths
     text = np.frombuffer(b"".join(docs), np.uint8)
-    grams, wide = gram_hashes(text)
+    grams, wide, beside = gram_hashes(text)
+    grams = (grams & ~PLACE) | (np.arange(len(grams), dtype=np.uint64) & PLACE)
     least = window_minima(grams, MATCH - GRAM + 1)
+    key = least >> np.uint64(21)
     n = len(least)
     inside = np.ones(n, bool)
     for a in (begins + lengths)[:-1]:
         inside[a - MATCH + 1 : a] = False
     edge = np.ones(n, bool)
-    edge[1:] = least[1:] != least[:-1]
+    edge[1:] = key[1:] != key[:-1]
     edge[1:] |= inside[1:] != inside[:-1]
     edge[begins] = True
     first = np.flatnonzero(edge)
@@ -123,8 +133,14 @@ def snippets(docs: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, ...]:
     content = mixed(mixed(mixed(wide[first] + np.uint64(1)) + wide[middle]) + wide[end - 32]) + (end - first).astype(np.uint64)
     for i in np.flatnonzero(end - first > 96):
         content[i] = xxhash.xxh3_64_intdigest(text[first[i] : end[i]])
+    same = (least[first] & PLACE) == (least[after - 1] & PLACE)
+    at = first + (((least[first] & PLACE) - first.astype(np.uint64)) & PLACE).astype(np.int64)
+    side = lambda x: (beside[np.clip(x, 0, len(beside) - 1)] % np.uint64(65_535)).astype(np.int64) + 1
+    before = np.where(at - BESIDE >= first, side(at - BESIDE), 0)
+    behind = np.where(at + GRAM + BESIDE <= end, side(at + GRAM), 0)
+    sides = np.where(same & (len(text) <= int(PLACE)), before * 65_536 + behind, ANY)
     which = np.searchsorted(begins, first, side="right") - 1
-    return least[first] >> np.uint64(16), mixed(content) >> np.uint64(16), ids[which], first - begins[which], after - first
+    return key[first], mixed(content) >> np.uint64(16), ids[which], first - begins[which], after - first, sides
 
 
 def out_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
@@ -147,7 +163,7 @@ def scanned(docs: DataFrame, count: int) -> DataFrame:
             pairs = [(t, d) for t, d in zip(texts(block), block.column("doc_id").to_pylist()) if t is not None and len(t) >= MATCH]
             if not pairs:
                 continue
-            key, content, doc, start, n = snippets([t for t, _ in pairs], np.array([d for _, d in pairs], np.int64))
+            key, content, doc, start, n, sides = snippets([t for t, _ in pairs], np.array([d for _, d in pairs], np.int64))
             order = np.lexsort((doc, content, key))
             k, c, d = key[order], content[order], doc[order]
             head = np.append(True, (k[1:] != k[:-1]) | (c[1:] != c[:-1]))
@@ -155,14 +171,25 @@ def scanned(docs: DataFrame, count: int) -> DataFrame:
             later[order] = d > d[head][np.cumsum(head) - 1]
             rows = marks(count, doc[later], start[later], start[later] + n[later] + MATCH - 1)
             rest = ~later
-            columns = (key[rest].astype(np.int64), content[rest].astype(np.int64), doc[rest], start[rest], n[rest])
-            for b, (k, c, d, s, n) in by_bucket(columns[0] % count, *columns):
-                rows.append((b, WANTED, pack(k, c, np.diff(d, prepend=0), s, n)))
+            columns = (key[rest].astype(np.int64), content[rest].astype(np.int64), doc[rest], start[rest], n[rest], sides[rest])
+            for b, (k, c, d, *more) in by_bucket(columns[0] % count, *columns):
+                rows.append((b, WANTED, pack(k, c, np.diff(d, prepend=0), *more)))
             yield out_batch(rows, ["bucket", "kind", "data"])
 
     return docs.filter("doc_id IS NOT NULL").mapInArrow(run, "bucket long, kind long, data binary")
 
 
+def alike_beside(group: np.ndarray, sides: np.ndarray) -> np.ndarray:
+    """Which different snippets may share a window with another of their group: those that share the bytes before or
+    behind the gram, or all of a group where these are not known of one."""
+    out = np.zeros(len(group), bool)
+    for side in (sides >> 16, sides & 65_535):
+        known = np.flatnonzero((sides != ANY) & (side > 0))
+        _, at, n = np.unique(group[known] * 65_536 + side[known], return_inverse=True, return_counts=True)
+        out[known] |= n[at] > 1
+    return out | np.isin(group, group[sides == ANY])
+
+
 def groups(batches: Iterator[pa.RecordBatch], column: str = "bucket") -> Iterator[tuple[int, Iterator[dict]]]:
     """(bucket, its rows) of batches that are sorted by bucket."""
     from itertools import groupby
@@ -176,12 +203,12 @@ def compared(rows: DataFrame, count: int) -> DataFrame:
     windows, key, whether the key has very many."""
 
     def decide(parts: list[bytes]) -> list[tuple]:
-        arrays = [unpack(p, 5) for p in parts]
+        arrays = [unpack(p, 6) for p in parts]
         for a in arrays:
             a[2] = np.cumsum(a[2])
-        key, content, doc, start, n = (np.concatenate(x) for x in zip(*arrays))
+        key, content, doc, start, n, sides = (np.concatenate(x) for x in zip(*arrays))
         order = np.lexsort((start, doc, content, key))
-        key, content, doc, start, n = (x[order] for x in (key, content, doc, start, n))
+        key, content, doc, start, n, sides = (x[order] for x in (key, content, doc, start, n, sides))
         new_key = np.append(True, key[1:] != key[:-1])
         new = new_key | np.append(True, content[1:] != content[:-1])
         which = np.cumsum(new) - 1
@@ -190,9 +217,10 @@ def compared(rows: DataFrame, count: int) -> DataFrame:
         out = marks(count, doc[later], start[later], start[later] + n[later] + MATCH - 1)
         group = np.cumsum(new_key) - 1
         heads = np.flatnonzero(new_key)
-        different = np.add.reduceat(new.astype(np.int64), heads)
         mixed_docs = np.maximum.reduceat(owner, heads) > np.minimum.reduceat(owner, heads)
-        wanted = ((different > 1) & mixed_docs)[group] & ~later
+        alike = alike_beside(group[new], sides[new])
+        different = np.bincount(group[new][alike], minlength=len(heads))
+        wanted = mixed_docs[group] & alike[which] & ~later
         many = (different > MANY)[group].astype(np.int64)
         if wanted.any():
             columns = [x[wanted] for x in (doc, start, n, key, many)]
