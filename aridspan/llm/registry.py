@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aridspan.llm import decontamination, language_id, license_scan, line_rules, near_duplicates, packing, private_data, repeated_text, token_counts, url_filter
+from aridspan.llm import decontamination, language_id, license_scan, line_rules, near_duplicates, oracles, packing, private_data, repeated_text, token_counts, url_filter
 from aridspan.shipping import ship
 
 
@@ -36,7 +36,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
+    """Trained, fuzzy and tokenizer-based operators, and those whose results depend on a place of one's choice, have none."""
+    rules = oracles.line_rules(
+        line_rules.SEPARATORS.pattern.decode(),
+        line_rules.PHRASES.pattern.decode(),
+        [w.decode() for w in line_rules.MENU_WORDS],
+        line_rules.ENDS.decode() + "".join(w.decode() for w in line_rules.WIDE_ENDS),
+    )
     return {
         "op1_token_counts": token_counts.ORACLE_SQL,
+        "op2_line_rules": rules,
         "op6_url_filter": url_filter.ORACLE_SQL,
+        "op7_decontamination": oracles.DECONTAMINATION,
+        "op8_repeated_text": oracles.REPEATED_TEXT,
+        "op9_near_duplicates": oracles.NEAR_DUPLICATES,
     }
