@@ -29,13 +29,24 @@ def period_months(code: str) -> int:
     return {"YS": 12, "MS": 1, "QS-DEC": 3}[code]
 
 
+def leap_day(start: Column, months: int) -> Column:
+    """29 February within the months from start on, else null."""
+    year = F.year(F.add_months(start, months - 1))
+    last = F.date_sub(F.make_date(year, F.lit(3), F.lit(1)), 1)
+    return F.when((F.dayofmonth(last) == 29) & (last >= start) & (last < F.add_months(start, months)), last)
+
+
+def day_in_period(day: Column, start: Column, calendar: Column) -> Column:
+    """Days since start; a calendar without leap days steps over 29 February."""
+    leap = leap_day(start, 12)
+    return F.datediff(day, start) - F.when((calendar == "noleap") & (day > leap), 1).otherwise(0)
+
+
 def expected_days(start: Column, code: str, calendar: Column) -> Column:
     """Days of the period that begins at start, by calendar: standard, noleap, or 360_day."""
     months = period_months(code)
     days = F.datediff(F.add_months(start, months), start)
-    year = F.year(F.add_months(start, months - 1))
-    leap = F.make_date(year, F.lit(3), F.lit(1)) - F.expr("INTERVAL '1' DAY")
-    holds = (F.dayofmonth(leap) == 29) & (leap >= start) & (leap < F.add_months(start, months))
+    holds = leap_day(start, months).isNotNull()
     return (
         F.when(calendar == "360_day", F.lit(30 * months))
         .when(calendar == "noleap", days - holds.cast("int"))

@@ -7,7 +7,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aridspan.functions.periods import expected_days, period_start
+from aridspan.functions.periods import day_in_period, expected_days, period_start
 from aridspan.operators.spells import longest_run
 
 
@@ -48,14 +48,14 @@ def spec_of(name: str, threshold: float | None = None) -> IndexSpec:
     return REGISTRY[name] if threshold is None else replace(REGISTRY[name], threshold=threshold)
 
 
-def index_by_period(grid: DataFrame, spec: IndexSpec, period: str = "YS", boundary: str = "file", form: str = "fold") -> DataFrame:
+def index_by_period(grid: DataFrame, spec: IndexSpec, period: str = "YS", boundary: str = "file", form: str = "bits") -> DataFrame:
     """experiment, model, file_id, lat, lon, period_start, value. boundary: ``file`` treats each file alone, so a season
     that spans two files gives two rows; ``series`` joins the files of a model and experiment (file_id is then null)."""
     keys = ["experiment", "model", *(["file_id"] if boundary == "file" else []), "lat", "lon", "period_start"]
     rows = grid.withColumn("period_start", period_start(F.col("day"), period))
     order = "day_ordinal"
     if boundary == "series":
-        rows, order = rows.withColumn("_day", F.datediff("day", F.lit("1900-01-01").cast("date"))), "_day"
+        rows, order = rows.withColumn("_day", day_in_period(F.col("day"), F.col("period_start"), F.col("calendar"))), "_day"
     hit = spec.hit(F.col("value"))
     if spec.reducer == "count":
         found = rows.groupBy(*keys).agg(F.count_if(hit).cast("int").alias("run"), F.count("value").alias("n_valid"), F.max("calendar").alias("calendar"))

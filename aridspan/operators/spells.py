@@ -1,8 +1,9 @@
-"""Longest runs of days that meet a condition, in three forms that agree.
+"""Longest runs of days that meet a condition, in four forms that agree.
 
-``fold`` (the default) shuffles only the days that meet the condition, as integers, and folds each sorted
-list once; ``lag`` marks changes and sums them in one window; ``islands`` subtracts two row numbers. All
-group by whole keys, so a series lies in one task, and a series is a cell's days of one period.
+``bits`` (the default) keeps a period's days as seven 64-bit words that are combined by bitwise or: a plain
+hash aggregate with a map-side combine, after which a cell's period is one row of fixed size. ``fold`` collects
+the days that meet the condition and folds each sorted list; ``lag`` marks changes and sums them in one window;
+``islands`` subtracts two row numbers. All group by whole keys, so a series lies in one task.
 """
 
 from __future__ import annotations
@@ -13,6 +14,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Places of the circle of bits: more than a period has days, so that a run never meets its own beginning.
+WORDS, WORD = 7, 64
+
+
+def longest_in_bits(words: list[Column]) -> Column:
+    """The longest run of ones in a circle of 64-bit words, the last one first."""
+    circle = F.concat(*(F.lpad(F.bin(F.coalesce(w, F.lit(0).cast("long"))), WORD, "0") for w in reversed(words)))
+    return F.array_max(F.transform(F.split(F.concat(circle, circle), "0", -1), lambda run: F.length(run)))
+
+
 def longest(days: Column) -> Column:
     """The longest run of successive integers in a list."""
     start = F.struct(F.lit(None).cast("int").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("best"))
@@ -24,9 +35,18 @@ def longest(days: Column) -> Column:
     return F.aggregate(F.array_sort(days), start, step, lambda acc: acc["best"])
 
 
-def longest_run(rows: DataFrame, keys: Sequence[str], hit: Column, order: str = "day_ordinal", value: str = "value", form: str = "fold") -> DataFrame:
-    """keys, run (int: 0 without a hit), n_valid (values that are not null). A null condition is no hit and ends a run."""
+def longest_run(rows: DataFrame, keys: Sequence[str], hit: Column, order: str = "day_ordinal", value: str = "value", form: str = "bits") -> DataFrame:
+    """keys, run (int: 0 without a hit), n_valid (values that are not null). A null condition is no hit and ends a run.
+    For ``bits`` the days of one group span fewer than 448 places of order; which places does not matter."""
     hit = F.coalesce(hit, F.lit(False))
+    if form == "bits":
+        place = F.pmod(F.col(order).cast("int"), F.lit(WORDS * WORD))
+        word, bit = F.shiftright(place, 6), place.bitwiseAND(F.lit(WORD - 1))
+        one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+        grouped = rows.groupBy(*keys).agg(
+            *(F.bit_or(F.when(hit & (word == w), one)).alias(f"_{w}") for w in range(WORDS)), F.count(value).alias("n_valid")
+        )
+        return grouped.select(*keys, longest_in_bits([F.col(f"_{w}") for w in range(WORDS)]).alias("run"), "n_valid")
     if form == "fold":
         grouped = rows.groupBy(*keys).agg(
             F.collect_list(F.when(hit, F.col(order).cast("int"))).alias("days"), F.count(value).alias("n_valid")

@@ -102,6 +102,11 @@ def cdd_seasonal_series(spark, sf_dir):
     return periods(spark, sf_dir, "cdd", "QS-DEC", boundary="series")
 
 
+@query(sql.grid() + sql.spells(sql.DRY, "YS") + sql.PERIODS)
+def cdd_annual_by_fold(spark, sf_dir):
+    return periods(spark, sf_dir, "cdd", "YS", form="fold")
+
+
 @query(sql.grid() + sql.spells(sql.DRY, "YS") + sql.PERIODS)
 def cdd_annual_by_lag(spark, sf_dir):
     return periods(spark, sf_dir, "cdd", "YS", form="lag")

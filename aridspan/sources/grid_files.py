@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from calendar import monthrange
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -43,12 +44,12 @@ def decode(data: bytes) -> netcdf3.Dataset:
         return netcdf3.Dataset({n: len(d) for n, d in source.dimensions.items()}, variables)
 
 
-def dates(variable: netcdf3.Variable) -> tuple[list[dt.date | None], str]:
-    """The day of each time (null where a calendar's day is no date) and the calendar."""
+def dates(variable: netcdf3.Variable) -> tuple[list[dt.date], str]:
+    """The day of each time and the calendar; a day that is no date (30 February) becomes its month's last."""
     units, calendar = str(variable.attributes.get("units", "days since 1950-01-01")), str(variable.attributes.get("calendar", "standard")).lower()
     calendar = CALENDARS.get(calendar, calendar)
     year, month, day = map(int, re.search(r"days since (\d+)-(\d+)-(\d+)", units).groups())
-    out: list[dt.date | None] = []
+    out: list[dt.date] = []
     for n in np.floor(variable.values.astype(float)).astype(int).tolist():
         if calendar == "standard":
             out.append(dt.date(year, month, day) + dt.timedelta(days=n))
@@ -61,10 +62,7 @@ def dates(variable: netcdf3.Variable) -> tuple[list[dt.date | None], str]:
         while rest >= lengths[m]:
             rest -= lengths[m]
             m += 1
-        try:
-            out.append(dt.date(y, m + 1, rest + 1))
-        except ValueError:
-            out.append(None)
+        out.append(dt.date(y, m + 1, min(rest + 1, monthrange(y, m + 1)[1])))
     return out, calendar
 
 

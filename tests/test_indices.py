@@ -39,7 +39,7 @@ GOLDENS = {
 }
 
 
-@pytest.mark.parametrize("form", ["fold", "lag", "islands"])
+@pytest.mark.parametrize("form", ["bits", "fold", "lag", "islands"])
 def test_longest_runs(spark, form):
     frame = None
     for name, (values, *_) in GOLDENS.items():
@@ -90,6 +90,19 @@ def test_calendars(spark):
         assert got == want, (code, calendar)
 
 
+def test_bits_run_around_their_circle(spark):
+    frame = spark.range(366).select(F.lit("k").alias("k"), (F.col("id") + 300).alias("day_ordinal"), F.lit(0.0).alias("value"))
+    hit = F.col("day_ordinal") != 310
+    assert longest_run(frame, ["k"], hit).first().run == longest_run(frame, ["k"], hit, form="fold").first().run == 355
+
+
+def test_a_calendar_without_leap_days_has_no_gap_in_a_series(spark):
+    days = series(spark, [0.0] * 59, first="2004-01-01", calendar="noleap")
+    rest = series(spark, [0.0] * 306, first="2004-03-01", calendar="noleap", file="g")
+    found = indices.index_by_period(days.unionByName(rest), indices.CDD, "YS", boundary="series").first()
+    assert found.value == 365.0
+
+
 def test_period_starts(spark):
     days = ["2010-12-31", "2011-02-28", "2011-03-01", "2012-02-29", "2011-08-31"]
     frame = spark.createDataFrame([(dt.date.fromisoformat(d),) for d in days], "d date")
@@ -104,8 +117,8 @@ def test_period_starts(spark):
 @given(st.lists(st.one_of(st.none(), st.floats(0, 20)), min_size=1, max_size=40))
 def test_forms_agree_and_thresholds_order(spark, values):
     frame = series(spark, values).repartition(2)
-    runs = [longest_run(frame, ["file_id"], F.col("value") < 1.0, form=f).first().run for f in ("fold", "lag", "islands")]
-    assert runs[0] == runs[1] == runs[2] <= len(values)
+    runs = [longest_run(frame, ["file_id"], F.col("value") < 1.0, form=f).first().run for f in ("bits", "fold", "lag", "islands")]
+    assert len(set(runs)) == 1 and runs[0] <= len(values)
     assert longest_run(frame, ["file_id"], F.col("value") < 5.0).first().run >= runs[0]
 
 
