@@ -152,25 +152,24 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs with n_words, n_hit, n_items, items_sha256, contaminated; docs keeps its columns doc_id and text."""
+    """row (a struct of all columns of docs, whatever their names), n_words, n_hit, n_items, items_sha256, contaminated
+    for each row of docs (doc_id, text)."""
     found = hits(docs, benchmark).groupBy("doc_id", "text_hash").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_hit"),
         F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
     )
-    rows = docs.withColumn("text_hash", F.xxhash64("text"))
-    rows = rows.withColumn("n_words", F.size(words(F.col("text"))).cast("long"))
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"), F.size(words(F.col("text"))).cast("long").alias("n_words")
+    )
     joined = rows.join(found, rows["doc_id"].eqNullSafe(found["doc_id"]) & (rows["text_hash"] == found["text_hash"]), "left")
-    none = F.array().cast("array<string>")
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return joined.select(
-        *(rows[c] for c in docs.columns),
-        rows["n_words"],
-        F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
-        F.sha2(F.array_join(F.coalesce("items", none), ","), 256).alias("items_sha256"),
-        (F.coalesce(F.col("n_hit"), F.lit(0)) > 0).alias("any"),
-    ).withColumn("contaminated", F.col("any") & (20 * F.col("n_hit") >= F.col("n_words"))).drop("any")
+        "row", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
+    )
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return judge(docs, table(spark, sf_dir, "benchmark")).drop("text")
+    return judge(docs, table(spark, sf_dir, "benchmark")).select("row.doc_id", "*").drop("row")

@@ -102,9 +102,10 @@ def written(spans: Column) -> Column:
 
 
 def with_base(docs: DataFrame) -> DataFrame:
-    """docs with text_hash and base, its array of spans; a null text counts as empty."""
+    """row (a struct of all columns of docs, whatever their names), doc_id, text, text_hash, and base, the array of spans;
+    a null text counts as empty."""
     text = F.coalesce("text", F.lit(""))
-    return docs.withColumn("text_hash", F.xxhash64(text)).withColumn("base", base_spans(text))
+    return docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text", F.xxhash64(text).alias("text_hash"), base_spans(text).alias("base"))
 
 
 def occurrences(rows: DataFrame) -> DataFrame:
@@ -157,8 +158,9 @@ def confident_cues(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
 
 def find_private(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text, any others) with base and extra, arrays of (kind, start, end): the fixed patterns' spans,
-    and those of unseen identifiers, whose kind is ``found_`` and the kind of the seeds that taught it."""
+    """row (a struct of all columns of docs), base and extra for each row of docs (doc_id, text): arrays of (kind, start,
+    end) of the fixed patterns, and of unseen identifiers, whose kind is ``found_`` and the kind of the seeds that
+    taught it."""
     rows = with_base(docs)
     found = stored(occurrences(rows.select("doc_id", "text", "text_hash", "base")), "cued")
     cues = confident_cues(found)
@@ -171,7 +173,7 @@ def find_private(docs: DataFrame) -> DataFrame:
     )
     joined = rows.join(extra, rows["doc_id"].eqNullSafe(extra["doc_id"]) & (rows["text_hash"] == extra["text_hash"]), "left")
     none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    return joined.select(*(rows[c] for c in docs.columns), rows["base"], F.coalesce("extra", none).alias("extra"))
+    return joined.select("row", "base", F.coalesce("extra", none).alias("extra"))
 
 
 def redacted(text: Column, spans: Column) -> Column:
@@ -197,7 +199,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_private(table(spark, sf_dir, "documents").select("doc_id", "text"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select(
-        "doc_id",
+        "row.doc_id",
         *(count(kind) for kind in KINDS),
         F.sha2(written(F.col("base")), 256).alias("base_sha256"),
         written(F.concat("base", "extra")).alias("spans"),

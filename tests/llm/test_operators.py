@@ -35,7 +35,7 @@ TEXTS = [
 def frame(spark, texts=TEXTS, **extra):
     rows = [(i, t, ("en", None)[i % 2], "s") for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
-    for name in ("kept", "n_words", "place", "bucket", "u", "class_id", "spans", "piece", "length"):  # names that operators use themselves
+    for name in ("kept", "n_words", "place", "bucket", "u", "class_id", "spans", "piece", "length", "base", "extra", "row", "text_hash", "n_hit"):  # names that operators use themselves
         df = df.withColumn(name, F.lit("clash"))
     return df
 
@@ -205,12 +205,12 @@ def test_base_patterns_on_any_text(spark, texts):
 def test_cues_find_unseen_identifiers(spark):
     seeds = ["4111111111111111", "5500005555555559", "4012888888881881", "4222222222222220"]
     texts = [f"The card: {n} was used." for n in seeds] + ["The card: 4111111111111112 was typed wrong.", "Number: 4111111111111112 alone.", "year 2024 and 777777", None, ""]
-    rows = {r.doc_id: r for r in private_data.find_private(frame(spark, texts)).collect()}
+    rows = {r.row.doc_id: r for r in private_data.find_private(frame(spark, texts)).collect()}
+    assert rows[0].row.base == "clash"
     assert [tuple(x) for x in rows[4].extra] == [("found_card", 10, 26)]
     assert all(not rows[i].extra for i in (0, 1, 2, 3, 5, 6, 7, 8))
-    assert {"kept", "n_words"} <= set(rows[0].asDict())
-    cut = private_data.redacted(F.col("text"), F.concat("base", "extra"))
-    red = {r.doc_id: r.t for r in private_data.find_private(frame(spark, texts)).select("doc_id", cut.alias("t")).collect()}
+    cut = private_data.redacted(F.col("row.text"), F.concat("base", "extra"))
+    red = {r.doc_id: r.t for r in private_data.find_private(frame(spark, texts)).select("row.doc_id", cut.alias("t")).collect()}
     assert red[0] == "The card: [CARD] was used." and red[4] == "The card: [FOUND_CARD] was typed wrong." and red[6] == texts[6] and red[7] is None
     assert private_data.find_private(empty(spark)).count() == 0
 
@@ -284,11 +284,12 @@ def test_decontamination(spark, sample):
     items = [(10_000 + i, t) for i, t in sample[1]] + [(1, PASSAGE), (2, " ".join(w[3:19]).upper()), (3, "Tiny item"), (4, None), (5, ""), (6, "a a a a a a a a a a a a a a a"), (1, PASSAGE)]
     df = spark.createDataFrame(docs + [(0, None)], "doc_id long, text string").repartition(3)
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = by_id(decontamination.judge(df, bench), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    got = by_id(decontamination.judge(df, bench).select("row.doc_id", "*"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     assert got == brute.contaminated(docs, items)
     assert decontamination.judge(df, bench).count() == len(docs) + 1
+    assert decontamination.judge(frame(spark), bench).filter("row.n_hit <> 'clash'").count() == 0
     none = decontamination.judge(df, bench.limit(0)).agg(F.sum("n_hit")).first()[0]
-    assert none == 0 and decontamination.judge(empty(spark).select("doc_id", "text"), bench).count() == 0
+    assert none == 0 and decontamination.judge(empty(spark), bench).count() == 0
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -296,7 +297,7 @@ def test_decontamination(spark, sample):
 def test_decontamination_on_any_words(spark, docs, items):
     docs, items = [list(enumerate(" ".join(x) for x in part)) for part in (docs, items)]
     judged = decontamination.judge(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
-    assert by_id(judged, "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == brute.contaminated(docs, items)
+    assert by_id(judged.select("row.doc_id", "*"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == brute.contaminated(docs, items)
 
 
 # 8 repeated text

@@ -72,5 +72,10 @@ def test_pipeline_on_odd_rows(spark, tmp_path, duck):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
     rows = [(1, None, None, None, None), (None, "Some words that nobody else has written down here.", "en", "s", 3), (2, "", "en", None, 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for clash in ("row", "base", "extra", "n_words", "text_hash", "kept", "component_id", "contaminated", "lang_pred"):
+        docs = docs.withColumn(clash, F.lit("clash"))
     for name, stage in corpus_pipeline.STAGES[1:-1]:
-        assert stage(spark, docs, str(tmp_path)).count() == 3, name
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.filter("kept = 'clash' AND base = 'clash'").count() == 3, name
+    assert corpus_pipeline.STAGES[0][1](spark, docs, str(tmp_path)).columns == docs.columns
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == 3
