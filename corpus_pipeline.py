@@ -33,17 +33,17 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share too little with the benchmark to count as contaminated."""
     judged = decontamination.judge(docs, table(spark, sf_dir, "benchmark"))
-    return judged.filter("NOT contaminated").select(*docs.columns)
+    return judged.filter("NOT contaminated").select("row.*")
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced and n_chars counted anew."""
     found = private_data.find_private(docs)
-    text = private_data.redacted(F.col("text"), F.concat("base", "extra"))
-    changed = found.withColumn("text", text).withColumn(
-        "n_chars", F.when(F.size("base") + F.size("extra") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
-    )
-    return changed.select(*docs.columns)
+    spans = F.concat("base", "extra")
+    text = private_data.redacted(F.col("row.text"), spans)
+    n_chars = F.when(F.size(spans) > 0, F.char_length(text).cast("long")).otherwise(F.col("row.n_chars"))
+    changed = {"text": text, "n_chars": n_chars}
+    return found.select(*(changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
