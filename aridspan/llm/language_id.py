@@ -30,8 +30,9 @@ SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, rejecte
 BUCKETS, SIZE, EPOCHS, RATE = 1 << 17, 16, 6, 0.5
 #: The sample for training: about so many documents of a language, of at most so many characters.
 SAMPLE, SAMPLE_CHARS = 1_500, 20_000
-#: The share of rightly predicted calibration rows that may be rejected.
-LOST = 0.0005
+#: The share of rightly predicted calibration rows that may be rejected, and the score over which nothing is, in
+#: multiples of chance: a text in two languages stays.
+LOST, CHANCE = 0.0005, 1.4
 
 LETTER = re.compile(r"[^\W\d_]")
 #: ASCII bytes other than letters part words.
@@ -123,7 +124,7 @@ def train(rows: list[tuple[str, str, bool]], seed: int = 7) -> Model:
     model.heat = float(min(heats, key=lambda h: -np.log(softmax(logit / h)[at, truth] + 1e-12).mean()))
     p = softmax(logit / model.heat)
     right = p.max(1)[p.argmax(1) == truth]
-    model.least = float(min(np.quantile(right, LOST), 0.99)) if len(right) else 0.0
+    model.least = float(min(np.quantile(right, LOST), CHANCE / len(languages))) if len(right) else 0.0
     return model
 
 

@@ -31,6 +31,8 @@ SYMBOLS = b"#*$%&|<>"
 ENDS = b".!?:;,\"')]"
 #: ... and longer marks.
 WIDE_ENDS = tuple(x.encode() for x in "…”’»。！？；：」』）؟۔।")
+#: The end of a sentence within a line.
+INNER_END = re.compile(b"[.!?] ")
 #: What stands between the entries of a menu.
 SEPARATORS = re.compile(b"\\||>|\xe2\x80\xba|\xc2\xbb|\xc2\xb7|\xe2\x80\xa2")
 MENU_WORDS = frozenset(
@@ -59,7 +61,7 @@ def repeated_words(words: list[bytes]) -> int:
 
 
 def line_fault(line: bytes) -> int:
-    """0: the line stays; 1: no closing punctuation, or a symbol for every third word; 2: navigation; 3: boilerplate."""
+    """0: the line stays; 1: no sentence ends in it or with it, or a symbol for every third word; 2: navigation; 3: boilerplate."""
     words = line.split()
     low = line.lower()
     if PHRASES.search(low):
@@ -69,7 +71,7 @@ def line_fault(line: bytes) -> int:
         return 2
     if len(words) <= 6 and sum(w.strip(b".,:;!?") in MENU_WORDS for w in low.split()) * 2 >= len(words):
         return 2
-    if line[-1] not in ENDS and not line.endswith(WIDE_ENDS):
+    if line[-1] not in ENDS and not line.endswith(WIDE_ENDS) and not INNER_END.search(line):
         return 1
     symbols = len(line) - len(line.translate(None, SYMBOLS))
     return int(symbols >= 3 and 3 * symbols >= len(words))

@@ -93,7 +93,7 @@ counted AS (
 judged AS (
   SELECT *, CASE WHEN regexp_matches(low, '{phrases}') THEN 3
     WHEN parts >= 2 AND n <= 4 * (parts + 1) THEN 2 WHEN n <= 6 AND menu * 2 >= n THEN 2
-    WHEN position(right(core, 1) IN '{marks}') = 0 THEN 1 WHEN marks >= 3 AND 3 * marks >= n THEN 1 ELSE 0 END AS fault FROM counted
+    WHEN position(right(core, 1) IN '{marks}') = 0 AND NOT regexp_matches(core, '[.!?] ') THEN 1 WHEN marks >= 3 AND 3 * marks >= n THEN 1 ELSE 0 END AS fault FROM counted
 ),
 sums AS (
   SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines, count(*) FILTER (fault = 1) AS n_bad_punctuation,
