@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aridspan.shipping import ship
+
 #: White space that parts words, and all ASCII characters that part words of letters and digits.
 SPACES = "".join(map(chr, [*range(0x09, 0x0E), 0x20]))
 PARTING = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
@@ -26,6 +28,17 @@ ALNUM_TABLE = bytes(
 )
 
 
+#: Rows and bytes of an Arrow batch: texts are long, and batches of the usual 10,000 rows would fill a small executor.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with this package on its executors and batches fit for texts; both stay set for the session."""
+    for key, value in BATCH.items():
+        spark.conf.set(key, value)
+    return ship(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -8,13 +8,13 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from aridspan.llm import decontamination, language_id, license_scan, line_rules, near_duplicates, oracles, packing, private_data, repeated_text, token_counts, url_filter
-from aridspan.shipping import ship
+from aridspan.llm.common import prepared
 
 
 def shipped(query: Callable) -> Callable:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return query(ship(spark), sf_dir)
+        return query(prepared(spark), sf_dir)
 
     return run
 
