@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aridspan.llm import decontamination, language_id, near_duplicates, packing, private_data
-from aridspan.llm.common import stored, table
-from aridspan.shipping import ship
+from aridspan.llm.common import prepared, stored, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,11 +51,11 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("language id", lambda spark, docs, sf_dir: language(ship(spark), docs, sf_dir)),
-    ("near-duplicates", lambda spark, docs, sf_dir: near_duplicate(ship(spark), docs, sf_dir)),
-    ("decontamination", lambda spark, docs, sf_dir: decontaminate(ship(spark), docs, sf_dir)),
-    ("personal data", lambda spark, docs, sf_dir: redact(ship(spark), docs, sf_dir)),
-    ("packing", lambda spark, docs, sf_dir: pack(ship(spark), docs, sf_dir)),
+    ("language id", lambda spark, docs, sf_dir: language(prepared(spark), docs, sf_dir)),
+    ("near-duplicates", lambda spark, docs, sf_dir: near_duplicate(prepared(spark), docs, sf_dir)),
+    ("decontamination", lambda spark, docs, sf_dir: decontaminate(prepared(spark), docs, sf_dir)),
+    ("personal data", lambda spark, docs, sf_dir: redact(prepared(spark), docs, sf_dir)),
+    ("packing", lambda spark, docs, sf_dir: pack(prepared(spark), docs, sf_dir)),
 ]
 
 #: Trained and iterative stages have no SQL; the tests hold run() against a brute-force version.
