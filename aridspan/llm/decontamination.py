@@ -152,24 +152,29 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """row (a struct of all columns of docs, whatever their names), n_words, n_hit, n_items, items_sha256, contaminated
-    for each row of docs (doc_id, text)."""
+    """doc_id, text_hash, n_words, n_hit, n_items, items_sha256, contaminated for each row of docs (doc_id, text); other
+    columns of docs are left alone, see clean."""
     found = hits(docs, benchmark).groupBy("doc_id", "text_hash").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_hit"),
         F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
     )
-    rows = docs.select(
-        F.struct(*docs.columns).alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"), F.size(words(F.col("text"))).cast("long").alias("n_words")
-    )
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.size(words(F.col("text"))).cast("long").alias("n_words"))
     joined = rows.join(found, rows["doc_id"].eqNullSafe(found["doc_id"]) & (rows["text_hash"] == found["text_hash"]), "left")
     items = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return joined.select(
-        "row", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+        rows["doc_id"], rows["text_hash"], "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
 
 
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of docs that are not contaminated, with all of their columns."""
+    bad = judge(docs, benchmark).filter("contaminated").select("doc_id", "text_hash").distinct()
+    same = docs["doc_id"].eqNullSafe(bad["doc_id"]) & (F.xxhash64(docs["text"]) == bad["text_hash"])
+    return docs.join(bad, same, "left_anti")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return judge(docs, table(spark, sf_dir, "benchmark")).select("row.doc_id", "*").drop("row")
+    return judge(docs, table(spark, sf_dir, "benchmark")).drop("text_hash")

@@ -284,10 +284,12 @@ def test_decontamination(spark, sample):
     items = [(10_000 + i, t) for i, t in sample[1]] + [(1, PASSAGE), (2, " ".join(w[3:19]).upper()), (3, "Tiny item"), (4, None), (5, ""), (6, "a a a a a a a a a a a a a a a"), (1, PASSAGE)]
     df = spark.createDataFrame(docs + [(0, None)], "doc_id long, text string").repartition(3)
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = by_id(decontamination.judge(df, bench).select("row.doc_id", "*"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    got = by_id(decontamination.judge(df, bench), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     assert got == brute.contaminated(docs, items)
     assert decontamination.judge(df, bench).count() == len(docs) + 1
-    assert decontamination.judge(frame(spark), bench).filter("row.n_hit <> 'clash'").count() == 0
+    kept = decontamination.clean(frame(spark), bench)
+    assert kept.columns == frame(spark).columns and kept.filter("n_hit <> 'clash'").count() == 0
+    assert {r.doc_id for r in kept.collect()} == {i for i in range(len(TEXTS)) if not brute.contaminated(list(enumerate(TEXTS)), items)[i][4]}
     none = decontamination.judge(df, bench.limit(0)).agg(F.sum("n_hit")).first()[0]
     assert none == 0 and decontamination.judge(empty(spark), bench).count() == 0
 
@@ -297,7 +299,7 @@ def test_decontamination(spark, sample):
 def test_decontamination_on_any_words(spark, docs, items):
     docs, items = [list(enumerate(" ".join(x) for x in part)) for part in (docs, items)]
     judged = decontamination.judge(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
-    assert by_id(judged.select("row.doc_id", "*"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == brute.contaminated(docs, items)
+    assert by_id(judged, "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == brute.contaminated(docs, items)
 
 
 # 8 repeated text
