@@ -31,8 +31,7 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share too little with the benchmark to count as contaminated."""
-    judged = decontamination.judge(docs, table(spark, sf_dir, "benchmark"))
-    return judged.filter("NOT contaminated").select("row.*")
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
