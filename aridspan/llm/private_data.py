@@ -1,19 +1,20 @@
 """Personal data: fixed patterns first, then bootstrapped contextual extraction.
 
-What the fixed patterns find (e-mail, IP, card, phone) are the seed entities. The cue in front of a seed,
-a word with : = or #, is a lexical pattern. All identifier-like tokens that follow a cue, seeds or not,
-are the instances of a bipartite graph of cues and values. Spark scores it in rounds: a cue's confidence
-in a kind is the mean score of its distinct values (smoothed, and only with enough distinct seeds), and an
-unseen value's score combines its cues' confidences. Cues that end with a high confidence mark the
-unseen identifiers that follow them.
+What the fixed patterns find (e-mail, IP, card, phone) are the seed entities. The one and two words before and
+behind an entity are lexical patterns. Instances are all seeds, whatever their shape, and all other tokens that
+look like an identifier: numbers whose groups may be parted by spaces, and tokens with two digits or an @. Patterns
+and values form a bipartite graph. Spark scores it in rounds: a pattern's confidence in a kind is the mean
+score of its distinct values (smoothed, and only with enough distinct seeds), and an unseen value's score
+combines its patterns' confidences. Patterns that end with a high confidence mark the unseen identifiers
+beside them.
 
 Native: DataFrame operations only. Matches and their places come from the same regular expression, once
 to extract and once to split; possessive quantifiers and anchors keep it linear and without recursion on
-very long runs. The graph holds each cue and value once, so a cue that stands in a third of all
+very long runs. The graph holds each pattern and value once, so a pattern that stands in a third of all
 documents is combined before it is shuffled.
 
 Defined cases: a null text counts as empty (no spans); repeated rows are each searched, and their values
-count once in the graph; without seeds no cue is learned; an empty table gives an empty result.
+count once in the graph; without seeds no pattern is learned; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,13 +39,18 @@ PATTERNS = {
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 IP = rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"
 
-#: Tokens of 6 to 64 characters with two digits or more.
-TOKEN = r"(?<!\S)(?=\S{6,64}(?!\S))[^\s0-9]*+[0-9][^\s0-9]*+[0-9]\S*+"
-#: A cue at the end of what stands before a value, or inside the token before the value.
-CUE_BEFORE = r"([\p{L}][\p{L}_-]{1,31}\s?[:=#]+\s?[\"'(]?)\s*$"
-CUE_INSIDE = r"^([\"'(]?[\p{L}][\p{L}_-]{1,31}[:=#]+[\"'(]?)(\S+)$"
-
-#: Distinct seeds that a cue needs, rounds, smoothing, and the confidence from which a cue marks identifiers.
+#: What parts tokens besides white space, and the cue that may stand before a value in one token.
+_PART = r"\s\"',;|<>(){}\[\]"
+CUE = r"\p{L}[\p{L}_-]{1,31}+[:=#]++"
+#: Numbers in groups, with spaces between groups of two digits or more; tokens of 6 to 256 characters with two digits or an @.
+_END = r"(?![\p{L}\p{N}_@])"
+_NUMBER = rf"\+?+(?:\([0-9]++\)\x20?+)?+[0-9]++{_END}(?:(?:[().\-/]{{1,2}}+[0-9]++|[().\-/]?+\x20[().\-/]?+[0-9]{{2,}}+){_END})*+"
+_TOKEN = rf"(?=[^{_PART}]{{6,290}}(?![^{_PART}]))(?=[^@{_PART}]*+@|(?:[^0-9{_PART}]*+[0-9]){{2}})[^{_PART}]++"
+TOKEN = rf"(?<![^{_PART}])(?:(?:{CUE})?+{_NUMBER}|{_TOKEN})"
+#: Characters before and behind a value in which its words are looked for.
+WINDOW = 130
+
+#: Distinct seeds that a pattern needs, rounds, smoothing, and the confidence from which a pattern marks identifiers.
 MIN_SEEDS, ROUNDS, SMOOTH, CONFIDENT = 3, 3, 1.0, 0.6
 
 
@@ -108,66 +114,99 @@ def with_base(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text", F.xxhash64(text).alias("text_hash"), base_spans(text).alias("base"))
 
 
+def identifier_like(text: Column) -> Column:
+    """(kind, start, end) of the tokens that look like an identifier, without a cue in front or signs of a sentence
+    behind; their kind is null."""
+
+    def value(t: Column) -> Column:
+        start = t["start"] + F.char_length(F.regexp_extract(t["text"], f"^{CUE}", 0))
+        end = t["start"] + F.char_length(F.regexp_replace(t["text"], "[.:!?]++$", ""))
+        return F.struct(F.lit(None).cast("string").alias("kind"), start.alias("start"), end.alias("end"), t["text"].alias("text"))
+
+    def fits(v: Column) -> Column:
+        n = F.length(digits(v["text"]))
+        enough = F.when(F.contains(v["text"], F.lit(" ")), n >= 6).otherwise((n >= 2) | F.contains(v["text"], F.lit("@")))
+        return (v["end"] - v["start"]).between(6, 256) & enough
+
+    found = F.when(F.rlike(text, F.lit("[0-9@]")), located(text, TOKEN))
+    return F.transform(F.filter(F.transform(found, value), fits), lambda v: v.dropFields("text"))
+
+
+def contexts(before: Column, behind: Column) -> Column:
+    """The patterns of a value: the one and two words before it (``word _``) and behind it (``_ word``), lower-cased; a
+    sign : = # belongs to the word before it, and brackets and quotes that the value stands in to no word."""
+    left = F.regexp_replace(F.regexp_replace(F.lower(before), r"[\s\"'(\[<{]++$", ""), r"(?<!\s)\s++([:=#]++)$", "$1")
+    none = F.array().cast("array<string>")
+
+    def sides(words: Column, last: bool) -> Column:
+        n = F.size(words)
+        some = lambda k: F.array_join(F.slice(words, n - k + 1, F.lit(k)) if last else F.slice(words, 1, k), " ")
+        shown = lambda k: F.concat(some(k), F.lit(" _")) if last else F.concat(F.lit("_ "), some(k))
+        return F.when(n >= 2, F.array(shown(1), shown(2))).when(n == 1, F.array(shown(1))).otherwise(none)
+
+    words = lambda t: F.array_remove(F.split(t, r"\s+", -1), "")
+    return F.concat(let(words(left), lambda w: sides(w, True)), let(words(F.lower(behind)), lambda w: sides(w, False)))
+
+
 def occurrences(rows: DataFrame) -> DataFrame:
-    """doc_id, text_hash, cue, value, start, end, and the kind of the base span that the token holds (null: none), for
-    each identifier-like token that follows a cue. rows: as with_base makes them."""
+    """doc_id, text_hash, kind, start, end, value, patterns, for each base span and each identifier-like token beside
+    them (kind: null). rows: as with_base makes them. value is a hash of what stands there without spaces, brackets, - and /."""
     text = F.coalesce("text", F.lit(""))
-    found = F.when(F.rlike(text, F.lit("[:=#]")) & F.rlike(text, F.lit("[0-9]")), located(text, TOKEN))
-    each = rows.select("doc_id", "text_hash", "base", "text", F.explode(found).alias("t"))
-    before = F.substring(text, F.greatest(F.lit(1), F.col("t.start") - 47), F.least(F.lit(48), F.col("t.start")))
-    inside = F.regexp_extract("t.text", CUE_INSIDE, 1)
-    each = each.select(
-        "doc_id", "text_hash", "base", "t",
-        F.when(inside != "", inside).otherwise(F.regexp_extract(before, CUE_BEFORE, 1)).alias("cue"),
-        F.when(inside != "", F.char_length(inside)).otherwise(0).alias("skip"),
-    ).filter("cue <> ''")
-    start, end = F.col("t.start") + F.col("skip"), F.col("t.end")
-    held = F.filter("base", lambda s: (s["start"] < end) & (s["end"] > start))
+    none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
+    free = F.filter(
+        F.coalesce(identifier_like(text), none),
+        lambda v: ~F.exists("base", lambda s: (s["start"] < v["end"]) & (s["end"] > v["start"])),
+    )
+    each = rows.select("doc_id", "text_hash", "text", F.explode(F.concat("base", free)).alias("v"))
+    value = F.substring(text, F.col("v.start") + 1, F.col("v.end") - F.col("v.start"))
+    before = F.substring(text, F.greatest(F.lit(1), F.col("v.start") - (WINDOW - 1)), F.least(F.lit(WINDOW), F.col("v.start")))
+    behind = F.substring(text, F.col("v.end") + 1, F.lit(WINDOW))
     return each.select(
-        "doc_id", "text_hash",
-        F.regexp_replace(F.lower("cue"), r"\s", "").alias("cue"),
-        F.substring(F.col("t.text"), F.col("skip") + 1, F.lit(64)).alias("value"),
-        start.alias("start"), end.alias("end"), F.get(held, 0)["kind"].alias("kind"),
+        "doc_id", "text_hash", "v.*",
+        F.md5(F.translate(F.lower(value), " ()-/", "").cast("binary")).alias("value"),
+        contexts(before, behind).alias("patterns"),
     )
 
 
-def confident_cues(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """cue, kind, confidence of the cues that mark identifiers; found: as occurrences makes them."""
-    graph = stored(found.groupBy("cue", "value").agg(F.max("kind").alias("seed")), "cue-graph")
-    size = graph.groupBy("cue").agg(F.count("*").alias("n"))
-    seeds = graph.filter("seed IS NOT NULL")
-    scored = seeds.select("cue", "value", F.col("seed").alias("kind"), F.lit(1.0).alias("score"))
-    enough = seeds.groupBy("cue", F.col("seed").alias("kind")).agg(F.count("*").alias("k")).filter(F.col("k") >= MIN_SEEDS)
-    cues = None
+def confident_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """pattern, kind, confidence of the patterns that mark identifiers; found: as occurrences makes them."""
+    graph = stored(found.select(F.explode("patterns").alias("pattern"), "value").distinct(), "graph")
+    entities = stored(found.filter("kind IS NOT NULL").select("value", "kind").distinct(), "seeds")
+    size = graph.groupBy("pattern").agg(F.count("*").alias("n"))
+    unseen = graph.join(entities, "value", "left_anti")
+    seeds = graph.join(entities, "value").select("pattern", "value", "kind", F.lit(1.0).alias("score"))
+    enough = seeds.groupBy("pattern", "kind").agg(F.count("*").alias("k")).filter(F.col("k") >= MIN_SEEDS)
+    scored, patterns = seeds, None
     for _ in range(rounds):
-        total = scored.groupBy("cue", "kind").agg(F.sum("score").alias("s"))
-        cues = stored(
-            total.join(enough, ["cue", "kind"]).join(size, "cue").select("cue", "kind", (F.col("s") / (F.col("n") + SMOOTH)).alias("confidence")),
-            "cues",
+        total = scored.groupBy("pattern", "kind").agg(F.sum("score").alias("s"))
+        patterns = stored(
+            total.join(enough, ["pattern", "kind"]).join(size, "pattern").select("pattern", "kind", (F.col("s") / (F.col("n") + SMOOTH)).alias("confidence")),
+            "patterns",
         )
         guess = (
-            graph.filter("seed IS NULL")
-            .join(cues, "cue")
+            unseen.join(patterns, "pattern")
             .groupBy("value", "kind")
             .agg((1 - F.exp(F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999)))))).alias("score"))
         )
-        unseen = graph.filter("seed IS NULL").join(guess, "value").select("cue", "value", "kind", "score")
-        scored = seeds.select("cue", "value", F.col("seed").alias("kind"), F.lit(1.0).alias("score")).unionByName(unseen)
-    best = F.max_by("kind", F.struct("confidence", "kind"))
-    return cues.filter(F.col("confidence") >= CONFIDENT).groupBy("cue").agg(best.alias("found_kind"), F.max("confidence").alias("confidence"))
+        scored = seeds.unionByName(unseen.join(guess, "value").select("pattern", "value", "kind", "score"))
+    return patterns.filter(F.col("confidence") >= CONFIDENT)
 
 
 def find_private(docs: DataFrame) -> DataFrame:
     """row (a struct of all columns of docs), base and extra for each row of docs (doc_id, text): arrays of (kind, start,
     end) of the fixed patterns, and of unseen identifiers, whose kind is ``found_`` and the kind of the seeds that
-    taught it."""
+    taught the most confident pattern beside them."""
     rows = with_base(docs)
-    found = stored(occurrences(rows.select("doc_id", "text", "text_hash", "base")), "cued")
-    cues = confident_cues(found)
+    found = stored(occurrences(rows.select("doc_id", "text", "text_hash", "base")), "instances")
+    patterns = confident_patterns(found)
+    place = ["doc_id", "text_hash", "start", "end"]
     span = F.struct(F.concat(F.lit("found_"), F.col("found_kind")).alias("kind"), "start", "end")
     extra = (
         found.filter("kind IS NULL")
-        .join(cues, "cue")
+        .select(*place, F.explode("patterns").alias("pattern"))
+        .join(patterns.withColumnRenamed("kind", "found_kind"), "pattern")
+        .groupBy(*place)
+        .agg(F.max_by("found_kind", F.struct("confidence", "found_kind")).alias("found_kind"))
         .groupBy("doc_id", "text_hash")
         .agg(F.array_sort(F.collect_set(span)).alias("extra"))
     )

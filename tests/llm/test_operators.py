@@ -215,6 +215,20 @@ def test_cues_find_unseen_identifiers(spark):
     assert private_data.find_private(empty(spark)).count() == 0
 
 
+def test_any_context_of_a_base_span_is_a_pattern(spark):
+    names = ["anna.smith@x.org", "bo@y.net", "cy_d@z.com", "dee@w.org"]
+    cards = ["4111 1111 1111 1111", "5500 0055 5555 5559", "4012 8888 8888 1881", "4222 2222 2222 2220"]
+    phones = ["+49 30 1234567", "+1 (555) 123-4567", "+44 20 7946 0958", "+33 1 23 45 67 89"]
+    texts = [f"email: {n}, {i}" for i, n in enumerate(names)] + [f"card: {n}; {i}" for i, n in enumerate(cards)]
+    texts += [f"so call me at {n}. {i}" for i, n in enumerate(phones)] + [f"{n} was my {i}th old mailbox" for i, n in enumerate(names)]
+    cases = {
+        "email: eve@localhost, 9": "found_email:7:20", "card: 4111 1111 1111 1112; 9": "found_card:6:25", "do call me at 030 1234567. 9": "found_phone:14:25",
+        "zed@mailhost was my 9th old mailbox": "found_email:0:12", "card:4111-1111-1111-1113": "found_card:5:24", "(or call me at (030) 765 4321)": "found_phone:15:29", "about 1234567 people": "",
+    }
+    rows = private_data.find_private(frame(spark, texts + list(cases))).collect()
+    assert {r.row.text: ",".join(f"{k}:{a}:{b}" for k, a, b in r.extra) for r in rows} == dict.fromkeys(texts, "") | cases
+
+
 def test_overlapping_spans_are_replaced_together(spark):
     df = spark.createDataFrame([("abcdefghij",)], "text string")
     spans = "array(named_struct('kind', 'x', 'start', 4, 'end', 6), named_struct('kind', 'y', 'start', 1, 'end', 5), named_struct('kind', 'z', 'start', 8, 'end', 9))"
