@@ -3,10 +3,12 @@
 What the fixed patterns find (e-mail, IP, card, phone) are the seed entities. The one and two words before and
 behind an entity are lexical patterns. Instances are all seeds, whatever their shape, and all other tokens that
 look like an identifier: numbers whose groups may be parted by spaces, and tokens with two digits or an @. Patterns
-and values form a bipartite graph. Spark scores it in rounds: a pattern's confidence in a kind is the mean
-score of its distinct values (smoothed, and only with enough distinct seeds), and an unseen value's score
-combines its patterns' confidences. Patterns that end with a high confidence mark the unseen identifiers
-beside them.
+and values form a bipartite graph. Spark scores it in steps of a few rounds: a pattern's confidence in a kind is
+the mean score of its distinct values (smoothed, and only with enough distinct values of support), and an unseen
+value's score combines its patterns' confidences. Support are the seeds, and after a step also the values that
+confident patterns have found; so patterns without a seed of their own enter in later steps. Confident patterns
+keep their confidence, and scores by others end with the step, so that nothing raises itself from step to step.
+Steps go on until no pattern becomes confident; confident patterns mark the unseen identifiers beside them.
 
 Native: DataFrame operations only. Matches and their places come from the same regular expression, once
 to extract and once to split; possessive quantifiers and anchors keep it linear and without recursion on
@@ -50,7 +52,8 @@ TOKEN = rf"(?<![^{_PART}])(?:(?:{CUE})?+{_NUMBER}|{_TOKEN})"
 #: Characters before and behind a value in which its words are looked for.
 WINDOW = 130
 
-#: Distinct seeds that a pattern needs, rounds, smoothing, and the confidence from which a pattern marks identifiers.
+#: Distinct seeds or found values that a pattern needs, rounds of a step, smoothing, and the confidence from which a pattern
+#: marks identifiers.
 MIN_SEEDS, ROUNDS, SMOOTH, CONFIDENT = 3, 3, 1.0, 0.6
 
 
@@ -168,28 +171,42 @@ def occurrences(rows: DataFrame) -> DataFrame:
     )
 
 
+def combined(unseen: DataFrame, patterns: DataFrame) -> DataFrame:
+    """value, kind, score of unseen (pattern, value) by patterns (pattern, kind, confidence)."""
+    none_right = F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999))))
+    return unseen.join(patterns, "pattern").groupBy("value", "kind").agg((1 - F.exp(none_right)).alias("score"))
+
+
 def confident_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """pattern, kind, confidence of the patterns that mark identifiers; found: as occurrences makes them."""
     graph = stored(found.select(F.explode("patterns").alias("pattern"), "value").distinct(), "graph")
-    entities = stored(found.filter("kind IS NOT NULL").select("value", "kind").distinct(), "seeds")
-    size = graph.groupBy("pattern").agg(F.count("*").alias("n"))
-    unseen = graph.join(entities, "value", "left_anti")
-    seeds = graph.join(entities, "value").select("pattern", "value", "kind", F.lit(1.0).alias("score"))
-    enough = seeds.groupBy("pattern", "kind").agg(F.count("*").alias("k")).filter(F.col("k") >= MIN_SEEDS)
-    scored, patterns = seeds, None
-    for _ in range(rounds):
-        total = scored.groupBy("pattern", "kind").agg(F.sum("score").alias("s"))
-        patterns = stored(
-            total.join(enough, ["pattern", "kind"]).join(size, "pattern").select("pattern", "kind", (F.col("s") / (F.col("n") + SMOOTH)).alias("confidence")),
-            "patterns",
-        )
-        guess = (
-            unseen.join(patterns, "pattern")
-            .groupBy("value", "kind")
-            .agg((1 - F.exp(F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999)))))).alias("score"))
-        )
-        scored = seeds.unionByName(unseen.join(guess, "value").select("pattern", "value", "kind", "score"))
-    return patterns.filter(F.col("confidence") >= CONFIDENT)
+    seeds = stored(found.filter("kind IS NOT NULL").select("value", "kind", F.lit(1.0).alias("score")).distinct(), "seeds")
+    size = stored(graph.groupBy("pattern").agg(F.count("*").alias("n")), "sizes")
+    strange = stored(graph.join(seeds, "value", "left_anti"), "strange")
+    support, unseen, known = seeds, strange, None
+    while True:
+        held = graph.join(support, "value").groupBy("pattern", "kind").agg(F.sum("score").alias("held"), F.count("*").alias("k"))
+        held = held.filter(F.col("k") >= MIN_SEEDS).join(size, "pattern")
+        if known is not None:
+            held = held.join(known, ["pattern", "kind"], "left_anti")
+        held = stored(held, "support")
+        if held.isEmpty():
+            break
+        patterns = None
+        for _ in range(rounds):
+            sums = held.withColumn("s", F.lit(0.0))
+            if patterns is not None:
+                guess = unseen.join(combined(unseen, patterns), "value").groupBy("pattern", "kind").agg(F.sum("score").alias("s"))
+                sums = held.join(guess, ["pattern", "kind"], "left").withColumn("s", F.coalesce("s", F.lit(0.0)))
+            confidence = (F.col("held") + F.col("s")) / (F.col("n") + SMOOTH)
+            patterns = stored(sums.select("pattern", "kind", confidence.alias("confidence")), "patterns")
+        new = patterns.filter(F.col("confidence") >= CONFIDENT)
+        if new.isEmpty():
+            break
+        known = new if known is None else known.unionByName(new)
+        values = stored(combined(strange, known), "found")
+        support, unseen = seeds.unionByName(values), strange.join(values, "value", "left_anti")
+    return graph.sparkSession.createDataFrame([], "pattern string, kind string, confidence double") if known is None else known
 
 
 def find_private(docs: DataFrame) -> DataFrame:

@@ -229,6 +229,23 @@ def test_any_context_of_a_base_span_is_a_pattern(spark):
     assert {r.row.text: ",".join(f"{k}:{a}:{b}" for k, a, b in r.extra) for r in rows} == dict.fromkeys(texts, "") | cases
 
 
+def test_patterns_enter_through_found_values(spark):
+    seeds, plain = [f"+49 30 {1000000 + 7 * i}" for i in range(30)], [f"030 {5000000 + 11 * i}" for i in range(9)]
+    pins = [f"{8000000 + 13 * i}" for i in range(3)]
+    lines = [("tel:", x) for x in seeds + plain] + [("handset=", x) for x in plain + pins[:1]] + [("rare:", x) for x in pins]
+    texts = [f"a{i}b {cue} {x} c{i}d" for i, (cue, x) in enumerate(lines)]
+    rows = private_data.find_private(frame(spark, texts)).collect()
+    marked = {r.row.doc_id for r in rows if [e.kind for e in r.extra] == ["found_phone"]}
+    assert marked == {i for i, (cue, x) in enumerate(lines) if x not in seeds and cue != "rare:"} and sum(len(r.extra) for r in rows) == len(marked)
+    # a third step: what only handset= has found is support for rare:
+    more = [("handset=", x) for x in pins[1:]]
+    texts += [f"e{i}f {cue} {x} g{i}h" for i, (cue, x) in enumerate(more)]
+    rows = private_data.find_private(frame(spark, texts)).collect()
+    assert all(bool(r.extra) != bool(r.base) for r in rows)
+    found = private_data.occurrences(private_data.with_base(frame(spark, texts)))
+    assert {r.pattern for r in private_data.confident_patterns(found).collect()} == {"tel: _", "handset= _", "rare: _"}
+
+
 def test_overlapping_spans_are_replaced_together(spark):
     df = spark.createDataFrame([("abcdefghij",)], "text string")
     spans = "array(named_struct('kind', 'x', 'start', 4, 'end', 6), named_struct('kind', 'y', 'start', 1, 'end', 5), named_struct('kind', 'z', 'start', 8, 'end', 9))"
