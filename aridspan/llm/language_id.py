@@ -1,6 +1,8 @@
 """Language identification: the mean of hashed subword embeddings goes into a linear softmax. Both are
 trained by stochastic gradient descent in numpy on a bounded sample; scores are calibrated on rows left
-out of training, and so is the score under which a prediction is rejected.
+out of training, and so is the surety under which a prediction is rejected: the sum of its two highest scores, so
+that a text in two learned languages stays. Of two languages that sum is always 1; there the higher score is the
+surety, and an even mixture of both cannot be told from a text in neither. One language alone cannot be rejected.
 
 A mean of embeddings followed by a linear layer is linear in the subword counts, so for predictions the
 two are multiplied out into one table of logits by bucket (fixed size: buckets x languages), which is
@@ -30,9 +32,9 @@ SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, rejecte
 BUCKETS, SIZE, EPOCHS, RATE = 1 << 17, 16, 6, 0.5
 #: The sample for training: about so many documents of a language, of at most so many characters.
 SAMPLE, SAMPLE_CHARS = 1_500, 20_000
-#: The share of rightly predicted calibration rows that may be rejected, and the score over which nothing is, in
-#: multiples of chance: a text in two languages stays.
-LOST, CHANCE = 0.0005, 1.4
+#: The share of rightly predicted calibration rows that may be rejected, and how many standard deviations below the mean
+#: a normal distribution has that share: rows fewer than 1 / LOST do not show the quantile themselves.
+LOST, DEVIATIONS = 0.0005, 3.2905
 
 LETTER = re.compile(r"[^\W\d_]")
 #: ASCII bytes other than letters part words.
@@ -60,12 +62,27 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
+def surety(p: np.ndarray) -> np.ndarray:
+    """Log-odds of the sum of the two highest of more than two probabilities, else of the highest."""
+    p = np.sort(p, -1)
+    rest = p[:, :-2].sum(1) if p.shape[1] > 2 else p[:, :-1].sum(1)
+    return np.log1p(-np.minimum(rest, 1 - 1e-15)) - np.log(np.maximum(rest, 1e-300))
+
+
+def least_surety(right: np.ndarray) -> float:
+    """The LOST quantile of sureties; of few of them, also that of their normal distribution, if it is lower."""
+    if not len(right):
+        return -np.inf
+    found = np.quantile(right, LOST)
+    return float(found if len(right) * LOST >= 1 else min(found, right.mean() - DEVIATIONS * right.std()))
+
+
 @dataclass
 class Model:
     languages: list[str]
     logits: np.ndarray  # buckets x languages
     heat: float  # the logits are divided by it
-    least: float  # a lower score is rejected
+    least: float  # a lower surety is rejected
 
     def scores(self, batch: list[bytes | None]) -> list[tuple[str, float, bool]]:
         """(language, score, rejected) of each text."""
@@ -82,8 +99,8 @@ class Model:
             )
             means.append(total / max(1, len(keys)))
         p = softmax(np.asarray(means) / self.heat)
-        for i, k, x in zip(rows, p.argmax(1).tolist(), p.max(1).tolist()):
-            out[i] = (self.languages[k], min(1.0, x), x < self.least)
+        for i, k, x, low in zip(rows, p.argmax(1).tolist(), p.max(1).tolist(), (surety(p) < self.least).tolist()):
+            out[i] = (self.languages[k], min(1.0, x), low)
         return out
 
 
@@ -120,11 +137,14 @@ def train(rows: list[tuple[str, str, bool]], seed: int = 7) -> Model:
     )
     truth = np.asarray([languages.index(y) for _, y, _ in check])
     at = np.arange(len(check))
+    # as Platt's targets: few rows that are all predicted rightly are no reason for certainty
+    sure = (len(check) + 1) / (len(check) + len(languages))
+    goal = np.full(logit.shape, (1 - sure) / max(1, len(languages) - 1))
+    goal[at, truth] = sure
     heats = np.geomspace(0.05, 20, 60)
-    model.heat = float(min(heats, key=lambda h: -np.log(softmax(logit / h)[at, truth] + 1e-12).mean()))
+    model.heat = float(min(heats, key=lambda h: -(goal * np.log(softmax(logit / h) + 1e-300)).sum(1).mean()))
     p = softmax(logit / model.heat)
-    right = p.max(1)[p.argmax(1) == truth]
-    model.least = float(min(np.quantile(right, LOST), CHANCE / len(languages))) if len(right) else 0.0
+    model.least = least_surety(surety(p)[p.argmax(1) == truth])
     return model
 
 

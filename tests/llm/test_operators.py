@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import random
 import zlib
 from collections import Counter
 
@@ -272,6 +273,34 @@ def test_language_id(spark, sample):
     assert language_id.predict(empty(spark), model).count() == 0
 
 
+def test_unlearned_languages_are_rejected_and_mixed_texts_are_not(spark):
+    path = "/root/testdata/sf0.1/documents.parquet"  # as many rows as the sample takes
+    if not os.path.isfile(path):
+        pytest.skip(f"{path} is not there")
+    docs = spark.read.parquet(path)
+    model = language_id.fit_languages(docs)
+    rejected = lambda texts: [r for _, _, r in model.scores([t.encode() for t in texts])]
+    rng = random.Random(1)
+    gibberish = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 9))) for _ in range(60)) for _ in range(20)]
+    unlearned = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.", "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах.", "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar.",
+        "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti.",
+    ]
+    leaning = [" ".join(t.split()[:6]) for t in gibberish]
+    assert all(rejected(gibberish)) and all(rejected(unlearned)) and sum(rejected(leaning)) >= 18
+    rows = duckdb.sql(f"SELECT lang, text FROM '{path}' WHERE length(text) BETWEEN 300 AND 3000 AND lang IS NOT NULL ORDER BY doc_id").fetchall()
+    by = {x: [t[:1000] for lang, t in rows if lang == x][:5] for x in model.languages}
+    mixed = [f"{s} {t}" for a in by for b in by if a < b for s, t in zip(by[a], by[b])]
+    assert sum(rejected(mixed)) <= 0.1 * len(mixed) and sum(rejected([t for _, t in rows])) <= 0.005 * len(rows)
+
+
+def test_least_surety_is_the_quantile():
+    right = np.linspace(0, 1, 4001)
+    assert language_id.least_surety(right) == pytest.approx(0.0005) and language_id.least_surety(right[:10]) < 0
+    assert language_id.least_surety(right[:0]) == -np.inf
+
+
 # 6 URL filter
 
 
