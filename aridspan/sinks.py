@@ -28,9 +28,9 @@ def write_report(report: DataFrame, path: str) -> None:
     report.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def text_table(report: DataFrame, rows: int = 1_000) -> str:
-    """A small report as right-aligned text."""
-    return report.limit(rows).toPandas().to_string(index=False)
+def text_table(report: DataFrame) -> str:
+    """A report as right-aligned text, with all of its rows."""
+    return report.toPandas().to_string(index=False)
 
 
 def markdown(report: DataFrame) -> str:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from aridspan import sinks
 from aridspan.config import DownloadConfig, IndexConfig, find_root, read_yaml
 from aridspan.functions import names
 from aridspan.operators import catalog as cat
@@ -116,3 +117,8 @@ def test_index_config(tmp_path):
     config = IndexConfig.of(read_yaml(tmp_path / "c.yml"))
     assert config.periods == {"cdd": "MS", "cwd": "QS-DEC"} and config.thresholds["cwd"] == 2.0
     assert config.experiments == ["historical"] and config.bounds.north == -20
+
+
+def test_text_table_has_all_rows(spark):
+    lines = sinks.text_table(spark.range(1_501).toDF("n")).split("\n")
+    assert len(lines) == 1_502 and lines[-1].strip() == "1500"
