@@ -1,8 +1,9 @@
 """Language identification: the mean of hashed subword embeddings goes into a linear softmax. Both are
 trained by stochastic gradient descent in numpy on a bounded sample; scores are calibrated on rows left
 out of training, and so is the surety under which a prediction is rejected: the sum of its two highest scores, so
-that a text in two learned languages stays. Of two languages that sum is always 1; there the higher score is the
-surety, and an even mixture of both cannot be told from a text in neither. One language alone cannot be rejected.
+that a text in two learned languages stays (mixtures of two calibration rows calibrate it as well). Of two
+languages that sum is always 1; there the higher score is the surety, and an even mixture of both cannot be told
+from a text in neither. One language alone cannot be rejected.
 
 A mean of embeddings followed by a linear layer is linear in the subword counts, so for predictions the
 two are multiplied out into one table of logits by bucket (fixed size: buckets x languages), which is
@@ -145,22 +146,32 @@ def train(rows: list[tuple[str, str, bool]], seed: int = 7) -> Model:
     model.heat = float(min(heats, key=lambda h: -(goal * np.log(softmax(logit / h) + 1e-300)).sum(1).mean()))
     p = softmax(logit / model.heat)
     model.least = least_surety(surety(p)[p.argmax(1) == truth])
+    if len(languages) > 2:  # even mixtures of two rows in two languages, so that such texts stay as often as others
+        other = rng.permutation(len(check))
+        two = truth != truth[other]
+        p = softmax((logit[two] + logit[other][two]) / 2 / model.heat)
+        found = np.sort(np.argsort(p, 1)[:, -2:], 1) == np.sort(np.stack([truth[two], truth[other][two]], 1), 1)
+        model.least = min(model.least, least_surety(surety(p)[found.all(1)])) if found.all(1).any() else model.least
     return model
 
 
 def fit_languages(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Trains on about sample documents of each language, drawn by a hash of doc_id from rows that are
-    labelled and not held out; a fifth of them calibrates."""
+    labelled and not held out; a fifth of them calibrates. Texts of over SAMPLE_CHARS characters count only where a
+    language has fewer than sample others, and then by their first SAMPLE_CHARS characters."""
     known = docs.select("doc_id", "text", "lang").filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     )
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    share = F.lit(0.0)
-    for lang, n in known.groupBy("lang").count().collect():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample / n) * 1e6)).otherwise(share)
+    short = F.char_length("text") <= SAMPLE_CHARS
+    share, fits = F.lit(0.0), short
+    for lang, n, n_short in known.groupBy("lang").agg(F.count("*"), F.count_if(short)).collect():
+        own, few = F.col("lang") == lang, n_short < sample
+        share = F.when(own, F.lit(min(1.0, sample / (n if few else n_short)) * 1e6)).otherwise(share)
+        fits = fits | own if few else fits
     rows = (
-        known.filter((drawn < share) & (F.char_length("text") <= SAMPLE_CHARS))
-        .select("text", "lang", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(5)) == 0).alias("check"), "doc_id")
+        known.filter((drawn < share) & fits)
+        .select(F.substring("text", 1, SAMPLE_CHARS), "lang", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(5)) == 0).alias("check"), "doc_id")
         .collect()
     )
     return train([(r[0], r[1], r[2]) for r in sorted(rows, key=lambda r: (r[3], r[0])) if LETTER.search(r[0])])
