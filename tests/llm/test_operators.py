@@ -295,6 +295,12 @@ def test_unlearned_languages_are_rejected_and_mixed_texts_are_not(spark):
     assert sum(rejected(mixed)) <= 0.1 * len(mixed) and sum(rejected([t for _, t in rows])) <= 0.005 * len(rows)
 
 
+def test_languages_of_long_texts_are_learned(spark):
+    rows = [(i, f"the thing and other words {i} " * 3, "en") for i in range(40)] + [(100 + i, "schöne große Straße über Häuser " * 800, "de") for i in range(40)]
+    model = language_id.fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["de", "en"] and model.scores(["große Häuser".encode(), b"the other"])[0][0] == "de"
+
+
 def test_least_surety_is_the_quantile():
     right = np.linspace(0, 1, 4001)
     assert language_id.least_surety(right) == pytest.approx(0.0005) and language_id.least_surety(right[:10]) < 0
