@@ -1,20 +1,31 @@
 """Suffix-array dedup: every byte covered by a 50-byte string that also starts in a document with a smaller
 doc_id is removed.
 
-Merging Burrows-Wheeler transforms costs some 50 rounds over every byte, so only text that can matter gets
+Merging Burrows-Wheeler transforms costs many rounds over every byte, so only text that can matter gets
 there, and nothing that can is left out:
 
 1. Each 50-byte window belongs to the smallest hash of its 24-byte grams; windows with equal text belong
-   to the same hash. A run of windows with one hash is a snippet. Snippets (hashes and places, no text) are
-   combined within a block of documents, packed and shuffled by that hash.
-2. A snippet that a smaller document holds unchanged is removed there and then. A hash whose snippets
-   differ between documents goes on, each different snippet once.
-3. The text of those snippets is fetched from their documents and brought together by hash.
-4. Their transforms are made by shard and merged (bwt.py); repeated intervals with a smaller document
-   mark the windows to remove. A hash with very many different snippets is cut into its windows, which are
-   spread by their text, so that no task gets an unbounded group.
+   to the same hash. A run of windows with one hash at one place is a snippet, of 76 bytes at most; a
+   snippet that follows itself again and again (a line of dashes) is one with a count. Snippets (hashes and
+   places, no text) are combined within a block of documents, packed and shuffled by that hash.
+2. Equal snippets are one string, which belongs to the smallest document that holds it; it is removed from
+   the others. Of different snippets of one hash those go on whose windows may be equal: the 24 bytes and 20
+   more around them, of which every 7 consecutive windows share one form (a cell), are in two documents.
+   A hash whose strings would be too many bytes for one merge is split by cells, and a cell that is still too
+   large by its single windows. So what one task holds has a bound in bytes, whatever a third of all rows share.
+3. The text of those snippets is cut from their documents, and its transforms are made there, by shard: the
+   strings of a few documents that belong to one bucket of hashes.
+4. The transforms of a bucket's shards, which come from many tasks, are merged by refining their interleave
+   (bwt.py); repeated intervals with a smaller document mark the windows to remove. Windows that step 2 split
+   off are combined by (128-bit hash, smallest document), first within their documents' task.
 5. The marks meet their documents.
 
+Rows of a bucket are folded in a stream: only one row of each different string is held. A hash with more different
+snippets than HELD is not held either, and goes on by single windows.
+
+Strings are taken as equal where the hash of their gram (43 bits), a polynomial hash (64 bits) and a hash of
+their words of 8 bytes (32 bits) are, or 128 bits of xxHash for single windows; else only by their bytes.
+
 Defined cases: a null text is empty; texts under 50 bytes lose nothing; rows without doc_id are neither
 searched nor cut; of rows that repeat a doc_id, marks of one apply to each; an empty table gives an
 empty result.
@@ -31,21 +42,25 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aridspan.llm.bwt import repeated_in_smaller
+from aridspan.llm.bwt import Shard, repeats_across, shard_transform
 from aridspan.llm.common import blocks, stored, table, texts
 
 MATCH, GRAM = 50, 24
-#: A match holds its gram and as many bytes at least before or behind it.
-BESIDE = (MATCH - GRAM) // 2
+#: Windows of a cell, and cells: a window begins 0 to 26 bytes before its gram.
+CELL, CELLS = 7, 4
 #: Low bits of a gram's hash that give way to its place in the block.
 PLACE = np.uint64((1 << 21) - 1)
-ANY = -1
-#: Different snippets of one hash from which it is cut into windows, and bytes that are merged at once.
-MANY, CHUNK = 2048, 1 << 20
-BLOCK = 2 << 20
+#: Bytes of strings with one hash (or cell) that go to the same merge, and bytes of a merge on average.
+LIMIT, CHUNK = 1 << 18, 1 << 20
+#: Bytes of text that are searched at once, rows that a fold takes in at once, different snippets of one hash that it holds.
+BLOCK, ROWS, HELD = 1 << 20, 1 << 19, 1 << 16
+#: Windows of a bucket on average.
+WINDOWS = 1 << 18
 
 P1, P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-MARKS, WANTED, TEXT = 0, 1, 2
+MARKS, WANTED, TEXT, SHARD, SINGLE = 0, 1, 2, 3, 4
+#: Columns of packed snippets. unit: windows of the repeated unit + 32 * the first one's distance to the gram; span: windows.
+COLUMNS = ("key", "poly", "words", "doc", "start", "span", "unit", "sides")
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -70,9 +85,9 @@ def by_bucket(bucket: np.ndarray, *arrays: np.ndarray) -> Iterator[tuple]:
     """(bucket, the rows of each array) of each bucket."""
     order = np.argsort(bucket, kind="stable")
     b = bucket[order]
-    edges = np.flatnonzero(np.append(True, b[1:] != b[:-1]))
+    at = np.flatnonzero(edges(b))
     sliced = [a[order] for a in arrays]
-    for a, e in zip(edges, np.append(edges[1:], len(b))):
+    for a, e in zip(at, np.append(at[1:], len(b))):
         yield int(b[a]), [x[a:e] for x in sliced]
 
 
@@ -80,20 +95,24 @@ def doc_bucket(doc: np.ndarray, count: int) -> np.ndarray:
     return (mixed(doc.view(np.uint64) + P2) % np.uint64(count)).astype(np.int64)
 
 
-def gram_hashes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the 24, of the 32 and of the 13 bytes from each place on."""
+def gram_hashes(text: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """Hashes of the 24 bytes from each place on; polynomials of 4, 8 and 32 bytes."""
     h = mixed(np.arange(1, 257, dtype=np.uint64) * P2)[text]
-    power = lambda n: np.uint64(pow(int(P1), n, 1 << 64))
-    sizes = {1: h}
+    sizes = {}
     length = 1
     while length < 32:
         h = h[:-length] * power(length) + h[length:]
         length *= 2
-        sizes[length] = h
-    n, m = len(text) - GRAM + 1, len(text) - BESIDE + 1
-    grams = sizes[16][:n] * power(8) + sizes[8][16 : 16 + n]
-    beside = (sizes[8][:m] * power(4) + sizes[4][8 : 8 + m]) * P1 + sizes[1][12 : 12 + m]
-    return mixed(grams), mixed(sizes[32]), mixed(beside)
+        if length in (4, 8, 16, 32):
+            sizes[length] = h
+    n = len(text) - GRAM + 1
+    grams = mixed(sizes[16][:n] * power(8) + sizes[8][16 : 16 + n])
+    del sizes[16]
+    return grams, sizes
+
+
+def power(n: int) -> np.uint64:
+    return np.uint64(pow(int(P1), n, 1 << 64))
 
 
 def window_minima(h: np.ndarray, width: int) -> np.ndarray:
@@ -105,89 +124,117 @@ def window_minima(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(h[:-rest], h[rest:]) if rest else h
 
 
-def snippets(docs: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, ...]:
-    """key, content hash, doc, start, windows, sides of each snippet of texts of 50 bytes or more. sides: 16-bit hashes
-    of the 13 bytes before and behind the gram that all of its windows hold (0 beyond the snippet), or ANY
-    where its windows hold different places of that gram."""
+def word_hashes(text: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """32-bit hashes of texts of 50 to 80 bytes by their words of 8 bytes."""
+    words = np.ndarray((len(text) - 7,), "<u8", text, 0, (1,))
+    out = (end - first).astype(np.uint64) * P1
+    for at in (*(first + 8 * i for i in range(6)), *(end - 8 * i for i in range(1, 5))):
+        out = (out ^ words[at]) * P2
+        out ^= out >> np.uint64(29)
+    return mixed(out) >> np.uint64(32)
+
+
+def snippets(docs: list[bytes], ids: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
+    """COLUMNS of each snippet of texts of 50 bytes or more; begin: where each text begins in its document. sides: for each
+    cell 16 bits of a hash of the 44 bytes that its windows share, 0 for cells without a window."""
     lengths = np.array([len(d) for d in docs])
     begins = np.cumsum(lengths) - lengths
     text = np.frombuffer(b"".join(docs), np.uint8)
-    grams, wide, beside = gram_hashes(text)
-    grams = (grams & ~PLACE) | (np.arange(len(grams), dtype=np.uint64) & PLACE)
+    grams, sizes = gram_hashes(text)
+    grams &= ~PLACE
+    grams |= np.arange(len(grams), dtype=np.uint64) & PLACE
     least = window_minima(grams, MATCH - GRAM + 1)
-    key = least >> np.uint64(21)
     n = len(least)
     inside = np.ones(n, bool)
     for a in (begins + lengths)[:-1]:
         inside[a - MATCH + 1 : a] = False
     edge = np.ones(n, bool)
-    edge[1:] = key[1:] != key[:-1]
+    edge[1:] = least[1:] != least[:-1]
     edge[1:] |= inside[1:] != inside[:-1]
     edge[begins] = True
     first = np.flatnonzero(edge)
     after = np.append(first[1:], n)
     keep = inside[first]
     first, after = first[keep], after[keep]
-    end = after + MATCH - 1  # of the snippet's text
+    unit, end = after - first, after + MATCH - 1
+    lead = ((least[first] & PLACE) - first.astype(np.uint64) & PLACE).astype(np.int64)  # from the first window to the gram
+    wide, eight, four = sizes[32], sizes[8], sizes[4]
     middle = np.minimum(first + 32, end - 32)
-    content = mixed(mixed(mixed(wide[first] + np.uint64(1)) + wide[middle]) + wide[end - 32]) + (end - first).astype(np.uint64)
-    for i in np.flatnonzero(end - first > 96):
-        content[i] = xxhash.xxh3_64_intdigest(text[first[i] : end[i]])
-    same = (least[first] & PLACE) == (least[after - 1] & PLACE)
-    at = first + (((least[first] & PLACE) - first.astype(np.uint64)) & PLACE).astype(np.int64)
-    side = lambda x: (beside[np.clip(x, 0, len(beside) - 1)] % np.uint64(65_535)).astype(np.int64) + 1
-    before = np.where(at - BESIDE >= first, side(at - BESIDE), 0)
-    behind = np.where(at + GRAM + BESIDE <= end, side(at + GRAM), 0)
-    sides = np.where(same & (len(text) <= int(PLACE)), before * 65_536 + behind, ANY)
+    poly = mixed(mixed(mixed(wide[first] + np.uint64(1)) + wide[middle]) + wide[end - 32]) + (end - first).astype(np.uint64)
+    words = word_hashes(text, first, end)
+    sides = np.zeros(len(first), np.uint64)
+    for c in range(CELLS):
+        at = np.clip(first + lead - CELL * c, 0, len(wide) - 13)
+        h = mixed(wide[at] * power(12) + eight[at + 32] * power(4) + four[at + 40])
+        there = (lead >= CELL * c) & (lead - unit < CELL * (c + 1) - 1)
+        sides |= np.where(there, h % np.uint64(65_535) + np.uint64(1), np.uint64(0)) << np.uint64(16 * c)
     which = np.searchsorted(begins, first, side="right") - 1
-    return key[first], mixed(content) >> np.uint64(16), ids[which], first - begins[which], after - first, sides
+    # snippets that follow themselves become one
+    again = np.append(False, (poly[1:] == poly[:-1]) & (words[1:] == words[:-1]) & (first[1:] == after[:-1]) & (which[1:] == which[:-1]))
+    one = np.flatnonzero(~again)
+    span = after[np.append(one[1:], len(first)) - 1] - first[one]
+    places = (ids[which], first - begins[which] + begin[which])
+    key, poly, words, doc, start, unit, sides = (x[one].astype(np.int64) for x in (least[first] >> np.uint64(21), poly, words, *places, unit + 32 * lead, sides))
+    return [key, poly, words, doc, start, span, unit, sides]
+
 
+OUT = "bucket long, kind long, size long, data binary"
+SHARDS = "bucket long, kind long, data binary, strings binary, places binary"
 
-def out_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [()] * len(names)
-    kinds = [pa.int64()] * (len(names) - 1) + [pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+def batch_of(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    fields = [f.split() for f in schema.split(", ")]
+    columns = list(zip(*rows)) or [()] * len(fields)
+    kinds = {"long": pa.int64(), "binary": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], [name for name, _ in fields])
 
 
 def marks(count: int, doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[tuple]:
     """Rows (bucket, kind, data) of byte ranges to remove."""
-    return [(b, MARKS, pack(*x)) for b, x in by_bucket(doc_bucket(doc, count), doc, start, end)] if len(doc) else []
+    return [(b, MARKS, pack(*x)) for b, x in by_bucket(doc_bucket(doc, count), doc, start, end)]
+
+
+def marked(rows: list[tuple]) -> list[tuple]:
+    """marks as rows of OUT."""
+    return [(b, kind, 0, data) for b, kind, data in rows]
+
+
+def portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+    """Texts of about BLOCK bytes together, their documents, and where they begin there: longer texts are cut so that
+    each window is in one part."""
+    held, size = [], 0
+    for block in blocks(batches, "text", BLOCK):
+        for text, doc in zip(texts(block), block.column("doc_id").to_pylist()):
+            for at in range(0, len(text or b"") - MATCH + 1, BLOCK):
+                part = text[at : at + BLOCK + MATCH - 1]
+                if held and size + len(part) > BLOCK:
+                    yield [x[0] for x in held], *(np.array([x[i] for x in held], np.int64) for i in (1, 2))
+                    held, size = [], 0
+                held.append((part, doc, at))
+                size += len(part)
+    if held:
+        yield [x[0] for x in held], *(np.array([x[i] for x in held], np.int64) for i in (1, 2))
 
 
 def scanned(docs: DataFrame, count: int) -> DataFrame:
-    """Step 1: bucket, kind, data: snippets by the bucket of their key (WANTED), and marks of snippets that a smaller
-    document of the same block holds."""
+    """Step 1: OUT: snippets by the bucket of their key (WANTED), and marks of snippets that a smaller document of the
+    same block holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text", BLOCK):
-            pairs = [(t, d) for t, d in zip(texts(block), block.column("doc_id").to_pylist()) if t is not None and len(t) >= MATCH]
-            if not pairs:
-                continue
-            key, content, doc, start, n, sides = snippets([t for t, _ in pairs], np.array([d for _, d in pairs], np.int64))
-            order = np.lexsort((doc, content, key))
-            k, c, d = key[order], content[order], doc[order]
-            head = np.append(True, (k[1:] != k[:-1]) | (c[1:] != c[:-1]))
+        for part in portions(batches):
+            columns = snippets(*part)
+            poly, words, doc, start, span = columns[1:6]
+            order = np.lexsort((doc, words, poly))
+            d, head = doc[order], edges(poly[order], words[order])
             later = np.empty(len(order), bool)
             later[order] = d > d[head][np.cumsum(head) - 1]
-            rows = marks(count, doc[later], start[later], start[later] + n[later] + MATCH - 1)
-            rest = ~later
-            columns = (key[rest].astype(np.int64), content[rest].astype(np.int64), doc[rest], start[rest], n[rest], sides[rest])
-            for b, (k, c, d, *more) in by_bucket(columns[0] % count, *columns):
-                rows.append((b, WANTED, pack(k, c, np.diff(d, prepend=0), *more)))
-            yield out_batch(rows, ["bucket", "kind", "data"])
-
-    return docs.filter("doc_id IS NOT NULL").mapInArrow(run, "bucket long, kind long, data binary")
+            rows = marked(marks(count, doc[later], start[later], start[later] + span[later] + MATCH - 1))
+            for b, x in by_bucket(columns[0][~later] % count, *(c[~later] for c in columns)):
+                x[3] = np.diff(x[3], prepend=0)
+                rows.append((b, WANTED, 0, pack(*x)))
+            yield batch_of(rows, OUT)
 
-
-def alike_beside(group: np.ndarray, sides: np.ndarray) -> np.ndarray:
-    """Which different snippets may share a window with another of their group: those that share the bytes before or
-    behind the gram, or all of a group where these are not known of one."""
-    out = np.zeros(len(group), bool)
-    for side in (sides >> 16, sides & 65_535):
-        known = np.flatnonzero((sides != ANY) & (side > 0))
-        _, at, n = np.unique(group[known] * 65_536 + side[known], return_inverse=True, return_counts=True)
-        out[known] |= n[at] > 1
-    return out | np.isin(group, group[sides == ANY])
+    return docs.filter("doc_id IS NOT NULL").mapInArrow(run, OUT)
 
 
 def groups(batches: Iterator[pa.RecordBatch], column: str = "bucket") -> Iterator[tuple[int, Iterator[dict]]]:
@@ -198,49 +245,115 @@ def groups(batches: Iterator[pa.RecordBatch], column: str = "bucket") -> Iterato
     return groupby(rows, key=lambda r: r[column])
 
 
-def compared(rows: DataFrame, count: int) -> DataFrame:
-    """Step 2: bucket (now of documents), kind, data: marks, and the snippets whose text is wanted: doc, start,
-    windows, key, whether the key has very many."""
-
-    def decide(parts: list[bytes]) -> list[tuple]:
-        arrays = [unpack(p, 6) for p in parts]
-        for a in arrays:
-            a[2] = np.cumsum(a[2])
-        key, content, doc, start, n, sides = (np.concatenate(x) for x in zip(*arrays))
-        order = np.lexsort((start, doc, content, key))
-        key, content, doc, start, n, sides = (x[order] for x in (key, content, doc, start, n, sides))
-        new_key = np.append(True, key[1:] != key[:-1])
-        new = new_key | np.append(True, content[1:] != content[:-1])
-        which = np.cumsum(new) - 1
-        owner = doc[new][which]  # smallest document of each different snippet
-        later = doc > owner
-        out = marks(count, doc[later], start[later], start[later] + n[later] + MATCH - 1)
-        group = np.cumsum(new_key) - 1
-        heads = np.flatnonzero(new_key)
-        mixed_docs = np.maximum.reduceat(owner, heads) > np.minimum.reduceat(owner, heads)
-        alike = alike_beside(group[new], sides[new])
-        different = np.bincount(group[new][alike], minlength=len(heads))
-        wanted = mixed_docs[group] & alike[which] & ~later
-        many = (different > MANY)[group].astype(np.int64)
-        if wanted.any():
-            columns = [x[wanted] for x in (doc, start, n, key, many)]
-            out += [(b, WANTED, pack(*x)) for b, x in by_bucket(doc_bucket(columns[0], count), *columns)]
-        return out
+def edges(*columns: np.ndarray) -> np.ndarray:
+    """Where a row of sorted columns differs from the one before."""
+    out = np.zeros(len(columns[0]), bool)
+    for c in columns:
+        out[1:] |= c[1:] != c[:-1]
+    out[:1] = True
+    return out
+
+
+def owned(columns: list[np.ndarray], identity: int, doc: int, start: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Sorted rows whose document is the smallest of those with equal first columns, and the other rows."""
+    order = np.lexsort((columns[start], columns[doc], *columns[:identity][::-1]))
+    columns = [c[order] for c in columns]
+    new = edges(*columns[:identity])
+    later = columns[doc] > columns[doc][new][np.cumsum(new) - 1]
+    return [c[~later] for c in columns], [c[later] for c in columns]
+
+
+def cells_shared(group: np.ndarray, owner: np.ndarray, sides: np.ndarray, size: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each cell: which different snippets share its 44 bytes with another document's of their group, and the bytes of
+    all that do."""
+    out = []
+    for c in range(CELLS):
+        h = (sides >> (16 * c)) & 65_535
+        some = np.flatnonzero(h)
+        shared, total = np.zeros(len(group), bool), np.zeros(len(group), np.int64)
+        if len(some):
+            some = some[np.lexsort((h[some], group[some]))]
+            at = np.flatnonzero(edges(group[some], h[some]))
+            n = np.diff(np.append(at, len(some)))
+            several = np.maximum.reduceat(owner[some], at) > np.minimum.reduceat(owner[some], at)
+            shared[some] = np.repeat(several, n)
+            total[some] = np.repeat(np.add.reduceat(size[some], at), n)
+        out.append((shared, total))
+    return out
+
+
+def wanted_parts(columns: list[np.ndarray], limit: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Of snippets (sorted, owners only): which rows are wanted, and how, and how many bytes and windows that will be. The
+    lower 8 bits of how have two for each cell, 1: its windows are merged, 2: they are compared one by one; 256: the
+    whole range of cells goes together."""
+    key, poly, words, owner, _, _, unit, sides = columns
+    new_key, new = edges(key), edges(key, poly, words)
+    which, group = np.cumsum(new) - 1, (np.cumsum(new_key) - 1)[new]
+    size = (unit[new] & 31) + MATCH - 1
+    shared = cells_shared(group, owner[new], sides[new], size)
+    wanted = np.logical_or.reduce([s for s, _ in shared])
+    together = np.bincount(group, weights=wanted * size, minlength=1)[group] <= limit
+    how = np.where(together & wanted, 256, 0)
+    for c, (s, total) in enumerate(shared):
+        how |= np.where(s, np.where(together | (total <= limit), 1, 2), 0) << (2 * c)
+    return how[which] > 0, how[which]
+
+
+def decided(rows: DataFrame, count: int) -> DataFrame:
+    """Step 2: OUT (bucket now of documents): marks, and the snippets whose text is wanted: doc, start, span, unit, key,
+    sides, how; size: their bytes, and windows compared singly << 32."""
+
+    def ask(columns: list[np.ndarray], how: np.ndarray) -> list[tuple]:
+        key, _, _, doc, start, span, unit, sides = columns
+        n = unit & 31
+        single = np.zeros(len(how), np.int64)
+        for c in range(CELLS):
+            single += ((how >> (2 * c)) & 3 == 2) * np.minimum(n, CELL)
+        size = np.where(how & 85, n + MATCH - 1, 0) + (single << 32)
+        asked = (doc, start, span, unit, key, sides, how, size)
+        return [(b, WANTED, int(x[-1].sum()), pack(*x[:-1])) for b, x in by_bucket(doc_bucket(doc, count), *asked)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, members in groups(batches):
-            parts, out = [], []
+            state = [np.zeros(0, np.int64)] * len(COLUMNS)
+            large = np.zeros(0, np.int64)
+            held, n_held = [], 0
+
+            def fold() -> list[tuple]:
+                nonlocal state, large, held, n_held
+                columns = [np.concatenate(x) for x in zip(state, *held)]
+                held, n_held, out = [], 0, []
+                now = np.isin(columns[0], large)
+                if now.any():
+                    out += ask([c[now] for c in columns], np.full(now.sum(), 170))
+                    columns = [c[~now] for c in columns]
+                state, later = owned(columns, 3, 3, 4)
+                out += marked(marks(count, later[3], later[4], later[4] + later[5] + MATCH - 1))
+                found, n = np.unique(state[0][edges(*state[:3])], return_counts=True)
+                if (n > HELD).any():
+                    more = found[n > HELD]
+                    large, now = np.append(large, more), np.isin(state[0], more)
+                    out += ask([c[now] for c in state], np.full(now.sum(), 170))
+                    state = [c[~now] for c in state]
+                return out
+
             for r in members:
                 if r["kind"] == MARKS:
-                    out.append((r["bucket"], MARKS, r["data"]))
-                else:
-                    parts.append(r["data"])
-            if parts:
-                out += decide(parts)
-            yield out_batch(out, ["bucket", "kind", "data"])
+                    yield batch_of([tuple(r[c] for c in ("bucket", "kind", "size", "data"))], OUT)
+                    continue
+                x = unpack(r["data"], len(COLUMNS))
+                x[3] = np.cumsum(x[3])
+                held.append(x)
+                n_held += len(x[0])
+                if n_held >= max(ROWS, len(state[0])):
+                    yield batch_of(fold(), OUT)
+            out = fold() if held else []
+            if len(state[0]):
+                wanted, how = wanted_parts(state, LIMIT)
+                out += ask([c[wanted] for c in state], how[wanted])
+            yield batch_of(out, OUT)
 
-    dealt = rows.repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "bucket long, kind long, data binary")
+    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, OUT)
 
 
 def beside_texts(docs: DataFrame, rows: DataFrame, count: int) -> DataFrame:
@@ -274,85 +387,169 @@ def gathered(parts: list[bytes], count: int) -> list[np.ndarray]:
     return [a[order] for a in arrays]
 
 
-def fetched(docs: DataFrame, wanted: DataFrame, count: int) -> DataFrame:
-    """Step 3: bucket (of keys), key, doc_id, start, data: the text of each wanted snippet."""
-    names = ["bucket", "key", "doc_id", "start", "data"]
+def pieces_of(asked: list[np.ndarray], merges: int) -> list[np.ndarray]:
+    """doc, start, windows, reach (windows from the first to that of the last repeat), bucket, kind of what is cut from
+    documents for asked snippets; buckets of single windows follow from their text."""
+    doc, start, span, unit, key, sides, how = asked
+    n, lead = unit & 31, unit >> 5
+    parts = []
+
+    def part(some: np.ndarray, low: np.ndarray, high: np.ndarray, bucket: np.ndarray, kind: int) -> None:
+        first, last = np.maximum(0, lead - (CELL * high + CELL - 1)), np.minimum(n - 1, lead - CELL * low)
+        some = some & (last >= first)
+        columns = (doc, start + first, last - first + 1, span - n, bucket)
+        parts.append([*(c[some] for c in columns), np.full(some.sum(), kind)])
+
+    cell = [(how >> (2 * c)) & 3 for c in range(CELLS)]
+    low, high = np.full(len(how), CELLS), np.full(len(how), -1)
+    for c in range(CELLS):
+        low, high = np.where(cell[c] > 0, np.minimum(low, c), low), np.where(cell[c] > 0, c, high)
+    whole = how >= 256
+    part(whole, low, high, (mixed(key.view(np.uint64)) % np.uint64(merges)).astype(np.int64), SHARD)
+    for c in range(CELLS):
+        own = mixed(mixed(key.view(np.uint64)) + ((sides >> (16 * c)) & 65_535).astype(np.uint64) * np.uint64(CELLS) + np.uint64(c))
+        each = np.full(len(how), c)
+        part(~whole & (cell[c] == 1), each, each, (own % np.uint64(merges)).astype(np.int64), SHARD)
+        part(cell[c] == 2, each, each, np.zeros(len(how), np.int64), SINGLE)
+    out = [np.concatenate(x) for x in zip(*parts)]
+    order = np.lexsort((out[1], out[0]))
+    return [x[order] for x in out]
+
+
+class Strings:
+    """Different strings by bucket, each with its smallest document and its places there."""
+
+    def __init__(self, count: int) -> None:
+        self.count, self.size, self.held, self.lost = count, 0, {}, []
+
+    def add(self, bucket: int, text: bytes, doc: int, start: int, reach: int) -> None:
+        known = self.held.setdefault(bucket, {})
+        found = known.get(text)
+        if found is None or doc < found[0]:
+            if found:
+                self.lost += [(found[0], a, a + b + len(text)) for a, b in found[1]]
+            else:
+                self.size += len(text)
+            known[text] = (doc, [(start, reach)])
+        elif doc > found[0]:
+            self.lost.append((doc, start, start + reach + len(text)))
+        else:
+            found[1].append((start, reach))
+
+    def flush(self) -> list[tuple]:
+        """SHARDS: a shard's transform for each bucket, and marks."""
+        lost = np.array(self.lost, np.int64).reshape(-1, 3)
+        out = [(*x, None, None) for x in marks(self.count, *(lost[:, i].copy() for i in range(3)))]
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for bucket, known in self.held.items():
+            shard = shard_transform(list(known))
+            doc = np.array([d for d, _ in known.values()], np.int64)
+            n = np.array([len(p) for _, p in known.values()], np.int64)
+            places = np.array([p for _, ps in known.values() for p in ps], np.int64)
+            out.append((bucket, SHARD, squeeze(shard.symbols.tobytes()), pack(doc, shard.ends, n), pack(places[:, 0], places[:, 1])))
+        self.size, self.held, self.lost = 0, {}, []
+        return out
+
+
+def smallest_windows(rows: list[tuple]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Of (text, doc, start, reach): hash (two columns), doc, start, reach of the rows of each text's smallest document, and
+    of the others."""
+    at = [np.array([x[i] for x in rows], np.int64) for i in (1, 2, 3)]
+    h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x[0]) for x in rows), "<i8").reshape(-1, 2)
+    return owned([h[:, 0], h[:, 1], *at], 2, 2, 3)
+
+
+def fetched(docs: DataFrame, wanted: DataFrame, count: int, merges: int, singles: int) -> DataFrame:
+    """Step 3: SHARDS, by bucket: transforms of shards (below merges), single windows (below merges + singles), marks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stretch = zstandard.ZstdDecompressor().decompress
+        strings, windows = Strings(count), []
+
+        def flush(windows: list[tuple]) -> pa.RecordBatch:
+            out = strings.flush()
+            if windows:
+                own, later = smallest_windows(windows)
+                out += [(*x, None, None) for x in marks(count, later[2], later[3], later[3] + later[4] + MATCH)]
+                bucket = merges + (own[0].view(np.uint64) % np.uint64(singles)).astype(np.int64)
+                out += [(b, SINGLE, pack(*x), None, None) for b, x in by_bucket(bucket, *own)]
+            return batch_of(out, SHARDS)
+
         for _, members in groups(batches):
-            parts, asked, out = [], None, []
+            parts, asked = [], None
             for r in members:
                 if r["kind"] == WANTED:
                     parts.append(r["data"])
                     continue
-                asked = asked or gathered(parts, 5)
-                doc, start, n, key, many = asked
+                asked = asked or pieces_of(gathered(parts, 7), merges)
                 if r["doc_id"] is None:
                     continue
-                a, b = np.searchsorted(doc, [r["doc_id"], r["doc_id"] + 1])
+                a, b = np.searchsorted(asked[0], [r["doc_id"], r["doc_id"] + 1])
                 if a == b:
                     continue
                 text = stretch(r["data"])
-                for s, w, k, m in zip(*(x[a:b].tolist() for x in (start, n, key, many))):
-                    if not m:
-                        out.append((k % count, k, r["doc_id"], s, text[s : s + w + MATCH - 1]))
+                for start, n, reach, bucket, kind in zip(*(x[a:b].tolist() for x in asked[1:])):
+                    if start + n + MATCH - 1 > len(text):  # of another row with this doc_id
                         continue
-                    for at in range(s, s + w):
-                        window = text[at : at + MATCH]
-                        h = xxhash.xxh3_64_intdigest(window) >> 2
-                        out.append((h % count, h, r["doc_id"], at, window))
-                if len(out) > 20_000:
-                    yield out_batch(out, names)
-                    out = []
-            yield out_batch(out, names)
+                    if kind == SHARD:
+                        strings.add(bucket, text[start : start + n + MATCH - 1], r["doc_id"], start, reach)
+                    else:
+                        windows += [(text[i : i + MATCH], r["doc_id"], i, reach) for i in range(start, start + n)]
+                if strings.size > 8 * CHUNK or len(windows) > WINDOWS:
+                    yield flush(windows)
+                    windows = []
+        yield flush(windows)
 
-    return beside_texts(docs, wanted, count).mapInArrow(run, "bucket long, key long, doc_id long, start long, data binary")
+    return beside_texts(docs, wanted, count).mapInArrow(run, SHARDS)
 
 
-def merged_marks(found: DataFrame, count: int) -> DataFrame:
-    """Step 4: marks (bucket of documents, kind, data) from snippets' texts."""
+def merged_marks(found: DataFrame, count: int, tasks: int) -> DataFrame:
+    """Step 4: OUT (buckets of documents): marks of shards' repeated strings and of single windows."""
 
     def search(rows: list[dict]) -> list[tuple]:
-        first: dict[tuple, int] = {}
-        for r in rows:  # windows of a key that was cut may be equal; the smallest document stands for them
-            at = (r["key"], r["data"])
-            first[at] = min(first.get(at, r["doc_id"]), r["doc_id"])
-        out = [(r["doc_id"], r["start"], r["start"] + len(r["data"])) for r in rows if r["doc_id"] > first[r["key"], r["data"]]]
-        left = [r for r in rows if r["doc_id"] == first[r["key"], r["data"]] and len(r["data"]) >= MATCH]
-        if left:
-            hits = repeated_in_smaller([r["data"] for r in left], np.array([r["doc_id"] for r in left], np.int64), MATCH)
-            for r, at in zip(left, hits):
-                if len(at):
-                    edge = np.flatnonzero(np.append(True, np.diff(at) > MATCH))
-                    ends = np.append(edge[1:], len(at)) - 1
-                    out += [(r["doc_id"], r["start"] + int(at[i]), r["start"] + int(at[j]) + MATCH) for i, j in zip(edge, ends)]
-        return out
+        stretch = zstandard.ZstdDecompressor().decompress
+        about = [unpack(r["strings"], 3) for r in rows]
+        places = [np.concatenate(x) for x in zip(*(unpack(r["places"], 2) for r in rows))]
+        shards = [Shard(np.frombuffer(stretch(r["data"]), np.uint8), a[1].astype(np.int32)) for r, a in zip(rows, about)]
+        doc, n = (np.concatenate([a[i] for a in about]) for i in (0, 2))
+        who, at = repeats_across(shards, doc, MATCH)
+        if not len(who):
+            return []
+        first = np.flatnonzero(np.append(True, (who[1:] != who[:-1]) | (np.diff(at) > MATCH)))
+        last = np.append(first[1:], len(who)) - 1
+        who, low, high = who[first], at[first], at[last] + MATCH
+        times = n[who]  # a string's places
+        place = np.repeat((np.cumsum(n) - n)[who] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        start, reach = places[0][place], places[1][place]
+        return marked(marks(count, np.repeat(doc[who], times), start + np.repeat(low, times), start + reach + np.repeat(high, times)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
-        size = 0
-        for _, members in groups(batches, "key"):
+        for _, members in groups(batches):
+            shards, held, n_held, state = [], [], 0, None
             for r in members:
-                held.append(r)
-                size += len(r["data"])
-            if size >= CHUNK:
-                yield flush(held)
-                held, size = [], 0
-        if held:
-            yield flush(held)
-
-    def flush(rows: list[dict]) -> pa.RecordBatch:
-        got = np.array(search(rows), np.int64).reshape(-1, 3)
-        return out_batch(marks(count, got[:, 0].copy(), got[:, 1], got[:, 2]), ["bucket", "kind", "data"])
+                if r["kind"] == MARKS:
+                    yield batch_of([(r["bucket"], MARKS, 0, r["data"])], OUT)
+                elif r["kind"] == SHARD:
+                    shards.append(r)
+                else:
+                    held.append(unpack(r["data"], 5))
+                    n_held += len(held[-1][0])
+                    if n_held >= max(ROWS, len(state[0]) if state else 0):
+                        state, later = owned([np.concatenate(x) for x in zip(*([state] if state else []), *held)], 2, 2, 3)
+                        held, n_held = [], 0
+                        yield batch_of(marked(marks(count, later[2], later[3], later[3] + later[4] + MATCH)), OUT)
+            if shards:
+                yield batch_of(search(shards), OUT)
+            if held:
+                _, later = owned([np.concatenate(x) for x in zip(*([state] if state else []), *held)], 2, 2, 3)
+                yield batch_of(marked(marks(count, later[2], later[3], later[3] + later[4] + MATCH)), OUT)
 
-    dealt = found.repartition("bucket").sortWithinPartitions("bucket", "key")
-    return dealt.mapInArrow(run, "bucket long, kind long, data binary")
+    return found.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(run, OUT)
 
 
 def cut(docs: DataFrame, removed: DataFrame, count: int) -> DataFrame:
     """Step 5: doc_id, n_bytes, n_removed, n_spans, kept (binary)."""
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stretch = zstandard.ZstdDecompressor().decompress
@@ -381,11 +578,11 @@ def cut(docs: DataFrame, removed: DataFrame, count: int) -> DataFrame:
                 out.append((r["doc_id"], len(text), len(text) - len(rest), spans, rest))
                 size += len(rest)
                 if size > 4 << 20:
-                    yield out_batch(out, names)
+                    yield batch_of(out, schema)
                     out, size = [], 0
-            yield out_batch(out, names)
+            yield batch_of(out, schema)
 
-    return beside_texts(docs, removed, count).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return beside_texts(docs, removed, count).mapInArrow(run, schema)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -393,10 +590,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     count = 4 * max(4, docs.rdd.getNumPartitions())
-    decided = stored(compared(scanned(docs, count), count), "repeat-marks")
-    found = fetched(docs, decided.filter(F.col("kind") == WANTED), count)
-    more = stored(merged_marks(found, count), "repeat-marks")
-    return cut(docs, decided.filter(F.col("kind") == MARKS).unionByName(more), count)
+    first = stored(decided(scanned(docs, count), count), "repeat-marks")
+    wanted = first.filter(F.col("kind") == WANTED)
+    n_bytes, n_windows = wanted.agg(F.sum(F.col("size").bitwiseAND(F.lit((1 << 32) - 1))), F.sum(F.shiftright("size", 32))).first()
+    merges, singles = 1 + (n_bytes or 0) // CHUNK, 1 + (n_windows or 0) // WINDOWS
+    found = fetched(docs, wanted, count, merges, singles)
+    more = stored(merged_marks(found, count, max(8, (merges + singles) // 4)), "repeat-marks")
+    return cut(docs, first.filter(F.col("kind") == MARKS).unionByName(more), count)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

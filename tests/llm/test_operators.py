@@ -10,6 +10,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -371,34 +372,37 @@ def test_decontamination_on_any_words(spark, docs, items):
 # 8 repeated text
 
 
-def test_merged_transforms():
+def test_refined_interleave():
     rng = np.random.default_rng(5)
-    strings = ["".join(rng.choice(list("ab"), n)).encode() for n in rng.integers(1, 40, 30)]
-    shards = [bwt.joined(strings[i : i + 7]) for i in range(0, 30, 7)]
-    places, common, shard = bwt.merged(shards, 10)
-    whole = np.concatenate(shards).tobytes()
-    starts = np.cumsum([0, *map(len, shards)])
-    rows = []
-    for p in places.tolist():
-        k = int(np.searchsorted(starts, p, side="right") - 1)
-        own = whole[starts[k] : starts[k + 1]]
-        at = p - starts[k]
-        rows.append(((own + own)[at : at + 10] if len(own) >= 10 else (own * 10)[at : at + 10]))
-    assert rows == sorted(rows) and sorted(places.tolist()) == list(range(len(whole)))
+    strings = [list({"".join(rng.choice(list("ab"), n)).encode() for n in rng.integers(1, 40, 7)}) for _ in range(5)]
+    shards = [bwt.shard_transform(x) for x in strings]
+    circles = [b"\xff".join(x) + b"\xff" for x in strings]
+    symbols, shard = np.concatenate([x.symbols for x in shards]), np.repeat(np.arange(5, dtype=np.uint8), [len(x) for x in circles])
+    for x, circle in zip(shards, circles):  # the transform itself
+        rows = sorted(range(len(circle)), key=lambda i: circle[i:] + circle[:i])
+        assert x.symbols.tolist() == [circle[i - 1] for i in rows] and [circle[rows[r]] for r in x.ends] == [255] * len(x.ends)
+    step = bwt.last_to_first(symbols, shard)
+    interleave, common = bwt.refined(symbols, shard, step, 10)
+    taken, rows = [iter(sorted((c + c * 10)[i : len(c) + i] for i in range(len(c)))) for c in circles], []
+    for k in interleave.tolist():  # each shard's rows in its own order
+        rows.append((next(taken[k]) * 10)[:10])
+    assert rows == sorted(rows) and len(rows) == len(symbols)
     for i in range(1, len(rows)):
         n = next((k for k in range(10) if rows[i][k] != rows[i - 1][k]), 10)
-        assert common[i] == n - n % 2
-    assert all(starts[s] <= p < starts[s + 1] for p, s in zip(places, shard))
+        assert common[i] <= n and (common[i] == 10) == (n == 10)
+    owner, left, length = bwt.walked(symbols, step, np.concatenate([x.ends + a for x, a in zip(shards, np.cumsum([0, *map(len, circles[:-1])]))]))
+    every = [t for x in strings for t in x]
+    assert length.tolist() == [len(t) for t in every] and sorted(zip(owner.tolist(), left.tolist())) == [(i, k) for i, t in enumerate(every) for k in range(len(t) + 1)]
 
 
-@settings(max_examples=30, deadline=None)
-@given(st.lists(st.text("ab", max_size=30), min_size=1, max_size=12))
-def test_repeated_substrings(texts):
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.text("ab", max_size=30), max_size=12), st.sampled_from([1, 5, 6, 9]), st.sampled_from([1, 40, 1000]))
+def test_repeated_substrings(texts, n, shard_bytes):
     strings = [t.encode() for t in texts]
     docs = np.arange(len(strings))
-    hits = bwt.repeated_in_smaller(strings, docs, 6, shard_bytes=40)
+    hits = bwt.repeated_in_smaller(strings, docs, n, shard_bytes=shard_bytes)
     for d, s in enumerate(strings):
-        want = [i for i in range(len(s) - 5) if any(s[i : i + 6] in strings[e] for e in range(d))]
+        want = [i for i in range(len(s) - n + 1) if any(s[i : i + n] in strings[e] for e in range(d))]
         assert hits[d].tolist() == want
 
 
@@ -419,15 +423,35 @@ def test_repeated_text(spark, sample):
     assert {r.doc_id: r.n_removed for r in repeated_text.remove_repeats(lost).collect()} == {None: 0, 1: 0, 2: len(PASSAGE)}
 
 
-def test_many_snippets_of_one_key_are_cut_into_windows(spark, monkeypatch):
-    monkeypatch.setattr(repeated_text, "MANY", 2)
+@pytest.mark.parametrize("bounds", [{"LIMIT": 0}, {"LIMIT": 900}, {"LIMIT": 900, "HELD": 8, "ROWS": 10}, {"CHUNK": 100, "WINDOWS": 7, "ROWS": 1, "LIMIT": 300}])
+def test_large_groups_are_split(spark, monkeypatch, bounds):
+    for name, value in bounds.items():
+        monkeypatch.setattr(repeated_text, name, value)
     rng = np.random.default_rng(2)
     tail = lambda: "".join(rng.choice(list("abcdef "), 60))
-    docs = [(i, f"{tail()}{PASSAGE}{tail()}{PASSAGE[:90]}{tail()}") for i in range(25)]
+    docs = [(i, f"{tail()}{PASSAGE}{tail()}{PASSAGE[:90]}{tail()}" + ("-" * 300 + "ab" * 70 + "-" * 70) * (i % 3)) for i in range(25)]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
     assert removed(df) == brute.repeats(docs)
 
 
+def test_many_near_copies_and_long_runs_of_one_character(spark):
+    rng = np.random.default_rng(3)
+    at = rng.integers(0, len(PASSAGE), 20_000).tolist()
+    docs = [(i, PASSAGE[:a] + f"{i:x}" + PASSAGE[a:]) for i, a in enumerate(at)]
+    docs += [(30_000 + i, "-" * (20_000 + i) + PASSAGE[:60] + "=" * 49) for i in range(12)]
+    assert removed(spark.createDataFrame(docs, "doc_id long, text string").repartition(6)) == brute.repeats(docs)
+
+
+def test_long_texts_are_searched_in_parts(monkeypatch):
+    monkeypatch.setattr(repeated_text, "BLOCK", 100)
+    text = "".join(np.random.default_rng(4).choice(list("abcdefgh"), 1000))
+    batch = pa.RecordBatch.from_arrays([pa.array([7, 8, 9]), pa.array([text, None, text[:49]])], ["doc_id", "text"])
+    windows = []
+    for parts, docs, begin in repeated_text.portions(iter([batch])):
+        windows += [(d, b + i, p[i : i + 50].decode()) for p, d, b in zip(parts, docs.tolist(), begin.tolist()) for i in range(len(p) - 49)]
+    assert windows == [(7, i, text[i : i + 50]) for i in range(951)]
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.lists(st.sampled_from(["a", "b", PASSAGE[:30], PASSAGE[20:80], "é" * 12, "xy" * 20]), max_size=9), min_size=1, max_size=8))
 def test_repeated_text_on_any_parts(spark, parts):
