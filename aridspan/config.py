@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from pathlib import Path
 
 import yaml
@@ -90,3 +90,13 @@ class DownloadConfig:
             ranges,
             fallback,
         )
+
+    def only(self, model: str | None, experiment: str | None, variable: str | None, years: tuple[int, int] | None) -> DownloadConfig:
+        """The same for one model, experiment, variable or span of years alone; None: all."""
+        out = replace(
+            self,
+            models=[model] if model else self.models,
+            experiments=[experiment] if experiment else self.experiments,
+            variables=[variable] if variable else self.variables,
+        )
+        return out if years is None else replace(out, time_ranges={e: (years[0], years[1]) for e in out.experiments})

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# fixed values of the reports
 COMPLETE, PARTIAL, EXCESS, MISSING = "✅", "⚠️", "🔴", "❌ MISSING"
 
+#: Names of experiments.
+EXPERIMENT = r"historical|ssp\d+"
 #: variable_day_model_experiment_run_grid_year[_version].nc; a model's name may hold underscores, so the
 #: experiment anchors the expression.
-FILE_NAME = r"^([^_]+)_day_(.+)_(historical|ssp\d+)_(r\d+i\d+p\d+f\d+)_([^_]+)_(\d{4})(?:_(v[\d.]+))?\.nc$"
+FILE_NAME = rf"^([^_]+)_day_(.+)_({EXPERIMENT})_(r\d+i\d+p\d+f\d+)_([^_]+)_(\d{{4}})(?:_(v[\d.]+))?\.nc$"
 
 
 def file_name(variable: Column, model: Column, experiment: Column, run: Column, label: Column, year: Column, version: str | None = None) -> Column:
@@ -80,3 +83,13 @@ def status_row(name: Column, count: Column, sign: Column) -> Column:
 
 def or_dash(text: Column, dash: str = "—") -> Column:
     return F.coalesce(F.nullif(text, F.lit("")), F.lit(dash))
+
+
+def title_case(text: Column) -> Column:
+    """The first letter in upper case, all others in lower case."""
+    return F.concat(F.upper(F.substring(text, 1, 1)), F.lower(F.substring(text, 2, 1 << 30)))
+
+
+def tokens(text: Column) -> Column:
+    """The parts of a text between runs of white space, without empty ones."""
+    return F.filter(F.split(text, r"\s+"), lambda t: t != "")

@@ -23,6 +23,18 @@ def datasets(documents: DataFrame) -> DataFrame:
     return each.select("url", "position", name.alias("name")).filter("name IS NOT NULL")
 
 
+def files(documents: DataFrame) -> DataFrame:
+    """url, position, name of every file that the documents of a variable name, all versions; order by url and position."""
+    return datasets(documents)
+
+
+def file_list(documents: DataFrame) -> DataFrame:
+    """url, files: the names of files() in the document's order, with repeats; a document without files has none."""
+    named = files(documents).groupBy("url").agg(F.array_sort(F.collect_list(F.struct("position", "name"))).alias("rows"))
+    names = F.transform(F.coalesce("rows", F.array().cast("array<struct<position:int,name:string>>")), lambda r: r["name"])
+    return documents.select("url").join(named, "url", "left").select("url", names.alias("files"))
+
+
 def xpath_names(documents: DataFrame) -> DataFrame:
     """url, names: of all references that have one, by XPath."""
     return documents.select("url", F.expr("xpath(xml, \"//*[local-name()='catalogRef']/@name\")").alias("names"))

@@ -109,6 +109,12 @@ def detail_report(checked: DataFrame, expected_by_experiment: dict[str, int]) ->
     return cells.join(sums, ["model", "variable"]).withColumnsRenamed({"model": "Model", "variable": "Variable"})
 
 
+def in_config_order(report: DataFrame, config: DownloadConfig) -> DataFrame:
+    """The wide report in the order in which the configuration lists models and variables."""
+    at = lambda column, names_: F.array_position(F.array(*map(F.lit, names_)), F.col(column))
+    return report.orderBy(at("Model", config.models), at("Variable", config.variables))
+
+
 def scenario_matrix(checked: DataFrame, experiments: Sequence[str]) -> DataFrame:
     """Model and a percentage, to one place, for each experiment; holes are 0."""
     shares = totals(checked, "model", "experiment").select("model", "experiment", F.bround("percent", 1).alias("percent"))
@@ -124,10 +130,17 @@ def overall(checked: DataFrame) -> DataFrame:
 
 
 def count_by_model(files: DataFrame, least: int = 1) -> DataFrame:
-    """model, n_files, status."""
-    return files.groupBy("model").agg(F.count("*").alias("n_files")).withColumn("status", names.presence(F.col("n_files"), least))
+    """model, n_files, status, by model."""
+    return with_presence(files.groupBy("model").agg(F.count("*").alias("n_files")), least).orderBy("model")
+
+
+def with_presence(counted: DataFrame, least: int = 1) -> DataFrame:
+    """Adds status to counted (n_files)."""
+    return counted.withColumn("status", names.presence(F.col("n_files"), least))
 
 
-def count_by_model_experiment(files: DataFrame, experiments: Sequence[str]) -> DataFrame:
-    """model and the number of files in each experiment."""
-    return files.groupBy("model").pivot("experiment", list(experiments)).count().fillna(0)
+def count_by_model_experiment(files: DataFrame, experiments: Sequence[str], rejects: DataFrame | None = None) -> DataFrame:
+    """model and the number of files in each experiment, by model; rejects (file_id): files (file) that do not count."""
+    if rejects is not None:
+        files = files.join(rejects.select(F.col("file_id").alias("file")).distinct(), "file", "left_anti")
+    return files.groupBy("model").pivot("experiment", list(experiments)).count().fillna(0).orderBy("model")

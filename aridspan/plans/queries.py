@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aridspan.config import Bounds, IndexConfig
+from aridspan import sinks
+from aridspan.config import Bounds, DownloadConfig, IndexConfig
 from aridspan.functions import names
 from aridspan.functions.geometry import from_web_mercator
 from aridspan.operators import catalog as cat
@@ -16,6 +18,8 @@ from aridspan.operators import grid as gridops
 from aridspan.operators import regions as reg
 from aridspan.plans import analog, dispatcher
 from aridspan.plans import oracles as sql
+from aridspan.shipping import shared_folder
+from aridspan.sources import crawl, grid_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -473,8 +477,94 @@ def catalog_report(spark, sf_dir):
 
 @query(sql.EXPECTED + " SELECT model, string_agg('pr_day_M' || model || '_' || year || '_' || o_orderstatus || '.nc', ', ' ORDER BY year, o_orderstatus) AS files FROM found GROUP BY ALL")
 def catalog_files(spark, sf_dir):
-    files = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("year", "o_orderstatus", "file"))), lambda x: x["file"]), ", ")
-    return analog.found_orders(spark, sf_dir).groupBy("model").agg(files.alias("files"))
+    """The files of a variable's document, in its order."""
+    found = analog.found_orders(spark, sf_dir).groupBy("model").agg(F.array_sort(F.collect_list(F.struct("year", "o_orderstatus", "file"))).alias("rows"))
+    entries = F.array_join(F.transform("rows", lambda x: F.concat(F.lit('<dataset name="'), x["file"], F.lit('" urlPath="p"/>'))), "")
+    documents = found.select(F.col("model").alias("url"), F.concat(F.lit("<catalog>"), entries, F.lit("</catalog>")).alias("xml"))
+    return cat.file_list(documents).select(F.col("url").alias("model"), F.array_join("files", ", ").alias("files"))
+
+
+@query("SELECT r_name AS model, n_name AS experiment, 'b/' || r_name || '/' || n_name || '/catalog.xml' AS url FROM region JOIN nation ON r_regionkey = n_regionkey")
+def catalog_level(spark, sf_dir):
+    """From a level of the catalogue to the next: a row for each reference of each parent's document."""
+    rows = analog.table(spark, sf_dir, "region").join(analog.table(spark, sf_dir, "nation"), F.col("r_regionkey") == F.col("n_regionkey"))
+    url = F.concat(F.lit("b/"), F.col("r_name"), F.lit("/catalog.xml"))
+    refs = F.array_join(F.transform(F.collect_list("n_name"), lambda n: F.concat(F.lit('<catalogRef xlink:title="'), n, F.lit('"/>'))), "")
+    documents = rows.groupBy(url.alias("url")).agg(F.concat(F.lit("<catalog>"), refs, F.lit("</catalog>")).alias("xml"))
+    parents = analog.table(spark, sf_dir, "region").select(url.alias("url"), F.col("r_name").alias("model"))
+    return crawl.below(parents, documents, "experiment").select("model", "experiment", "url")
+
+
+@query("SELECT n_nationkey AS k, upper(left(n_name, 1)) || lower(substr(n_name, 2)) AS title, len(regexp_extract_all(n_name, '[^ ]+')) + 2 AS n_tokens FROM nation")
+def text_forms(spark, sf_dir):
+    nations = analog.table(spark, sf_dir, "nation")
+    text = F.concat(F.lit(" a \t"), F.col("n_name"), F.lit("\n  b "))
+    return nations.select(F.col("n_nationkey").alias("k"), names.title_case(F.col("n_name")).alias("title"), F.size(names.tokens(text)).cast("long").alias("n_tokens"))
+
+
+@query("SELECT Model, Variable FROM (SELECT r_name AS Model, v AS Variable, r_regionkey AS i, v = 'pr' AS j FROM region CROSS JOIN (VALUES ('pr'), ('tas')) t(v)) ORDER BY i DESC, j")
+def report_order(spark, sf_dir):
+    """The wide report's rows in the order of the configuration."""
+    rows = analog.table(spark, sf_dir, "region").select(F.col("r_name").alias("Model"), F.explode(F.array(F.lit("pr"), F.lit("tas"))).alias("Variable"))
+    models = [r.Model for r in analog.table(spark, sf_dir, "region").orderBy(F.desc("r_regionkey")).select(F.col("r_name").alias("Model")).collect()]
+    config = DownloadConfig(BOX, models, [], ["tas", "pr"], "", "", {}, {}, None)
+    return inventory.in_config_order(rows, config)
+
+
+# files
+
+
+def written_files(spark, sf_dir) -> str:
+    """A folder with the daily grid as files of flux, a file that is broken, one of unknown units, and one whose name has
+    another form and whose folders say what it is."""
+    folder = shared_folder(spark, "grid-files")
+    sinks.write_daily(analog.grid(spark, sf_dir, place="n_regionkey"), folder).count()
+    place = Path(folder) / "pr" / "Z" / "historical"
+    place.mkdir(parents=True, exist_ok=True)
+    (place / "pr_day_Z_historical_r1i1p1f1_gn_1995.nc").write_bytes(b"CDF\1 broken")
+    for name, units in (("pr_day_Z_historical_r1i1p1f1_gn_1996.nc", b"cubits s-1"), ("other_form.nc", None)):
+        raw = next(Path(folder).glob("pr/A/historical/*_1996.nc")).read_bytes()
+        (place / name).write_bytes(raw.replace(b"kg m-2 s-1", units) if units else raw)
+    return folder
+
+
+NO_RAIN = "value < 0.5"
+FILES = sql.grid(True, "n_regionkey") + ", own AS (SELECT * FROM grid UNION ALL SELECT * REPLACE ('Z' AS model, 'Z_1996' AS file_id) FROM grid WHERE model = 'A' AND file_year = 1996)"
+
+
+@query(FILES + sql.spells(NO_RAIN, "YS", "own") + sql.TIME_MEAN + sql.ENSEMBLE)
+def files_to_cdd(spark, sf_dir):
+    """From files of flux to the ensemble mean: the whole way, with units, names and rejects."""
+    config = IndexConfig(Bounds(-90.0, 90.0, -180.0, 360.0), ["historical", "ssp245"], ["cdd"], {"cdd": 0.5}, {})
+    daily, _ = grid_files.read_grid(spark, f"file://{written_files(spark, sf_dir)}", bounds=config.bounds)
+    return rounded(dispatcher.run_index(daily, "cdd", config)).select("experiment", "lat", "lon", "value", "n_files")
+
+
+@query("SELECT * FROM (VALUES ('pr_day_Z_historical_r1i1p1f1_gn_1995.nc', true), ('pr_day_Z_historical_r1i1p1f1_gn_1996.nc', true)) t(file_id, has_error)")
+def files_rejected(spark, sf_dir):
+    _, rejects = grid_files.read_grid(spark, f"file://{written_files(spark, sf_dir)}")
+    return rejects.select("file_id", F.col("error").isNotNull().alias("has_error"))
+
+
+@query(FILES + " SELECT model, count(*) FILTER (value >= 9.5) AS n_heavy FROM own WHERE lon BETWEEN 20 AND 28 AND file_year = 1996 AND model <> 'Z' GROUP BY ALL")
+def files_by_data_source(spark, sf_dir):
+    """Heavy days by the data source gridnc, with box and year pushed into it."""
+    folder = written_files(spark, sf_dir)
+    rows = grid_files.register(spark).read.format("gridnc").option("variable", "pr").option("errors", "skip").load(folder)
+    box = rows.filter((F.col("lon") >= 20.0) & (F.col("lon") <= 28.0) & (F.col("file_year") == 1996))
+    return box.groupBy("model").agg(F.count_if(F.col("value") >= 9.5).alias("n_heavy"))
+
+
+@query(FILES + sql.spells(NO_RAIN, "YS", "own") + sql.TIME_MEAN + sql.MASK + sql.MEANS.format(mean="avg(value)") + """
+SELECT r.region_id, r.name, round(m.value, 6) AS value, row_number() OVER (ORDER BY m.value DESC NULLS LAST, r.name) AS rank
+FROM regions r LEFT JOIN (SELECT * FROM means WHERE experiment = 'historical') m USING (region_id)""")
+def files_to_regions(spark, sf_dir):
+    """From files to polygons: each region's mean over the historical files, ranked."""
+    config = IndexConfig(Bounds(-90.0, 90.0, -180.0, 360.0), ["historical"], ["cdd"], {"cdd": 0.5}, {})
+    daily, _ = grid_files.read_grid(spark, f"file://{written_files(spark, sf_dir)}", bounds=config.bounds)
+    shapes = analog.regions(spark)
+    files = dispatcher.index_files(daily, "cdd", config)
+    return rounded(dispatcher.region_table(files, shapes, "historical"))
 
 
 @query(

@@ -1,14 +1,17 @@
-"""Where results go: Parquet by experiment, attributes, reports as CSV, Markdown and text, NetCDF."""
+"""Where results go: Parquet by experiment, attributes, reports as CSV, Markdown and text, NetCDF files of an ensemble
+(by the driver) or of the daily grid (by tasks)."""
 
 from __future__ import annotations
 
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aridspan.operators.catalog import HEADER
+from aridspan.shipping import ship
 from aridspan.sources import netcdf3
 
 MAX_CELLS = 4_000_000
@@ -59,3 +62,38 @@ def write_netcdf(ensemble: DataFrame, experiment: str, variable: str, target: st
     )
     Path(target).parent.mkdir(parents=True, exist_ok=True)
     Path(target).write_bytes(netcdf3.write(data))
+
+
+def write_daily(grid: DataFrame, folder: str, units: str = "kg m-2 s-1", factor: float = 1.0 / 86_400.0) -> DataFrame:
+    """Writes the daily grid as classic NetCDF files variable/model/experiment/name.nc under folder, which all machines
+    mount, each in a task; returns file, n_days of what was written. Values are multiplied by factor to be in units;
+    missing cells and days of a file are NaN. A file's rows are held by one task: it is as large as its file."""
+    keys = ["variable", "model", "experiment", "run", "grid_label", "file_year", "calendar"]
+
+    def write(rows: pd.DataFrame) -> pd.DataFrame:
+        variable, model, experiment, run, label, year, calendar = (rows[k].iloc[0] for k in keys)
+        lat, lon = np.unique(rows["lat"]), np.unique(rows["lon"])
+        time = np.unique(rows["day_ordinal"])
+        values = np.full((len(time), len(lat), len(lon)), np.nan)
+        at = (np.searchsorted(time, rows["day_ordinal"]), np.searchsorted(lat, rows["lat"]), np.searchsorted(lon, rows["lon"]))
+        values[at] = rows["value"].to_numpy(float) * factor
+        since = pd.Timestamp(rows["day"].min()).strftime("days since %Y-%m-%d")
+        axis = lambda name, v, u: netcdf3.Variable((name,), v, {"units": u})
+        data = netcdf3.Dataset(
+            {"time": len(time), "lat": len(lat), "lon": len(lon)},
+            {
+                "time": netcdf3.Variable(("time",), (time - time[0]).astype("f8"), {"units": since, "calendar": calendar}),
+                "lat": axis("lat", lat, "degrees_north"),
+                "lon": axis("lon", lon, "degrees_east"),
+                variable: netcdf3.Variable(("time", "lat", "lon"), values, {"units": units}),
+            },
+        )
+        target = Path(folder) / variable / model / experiment / f"{variable}_day_{model}_{experiment}_{run}_{label}_{year}.nc"
+        target.parent.mkdir(parents=True, exist_ok=True)
+        part = target.with_suffix(".part")
+        part.write_bytes(netcdf3.write(data))
+        part.replace(target)
+        return pd.DataFrame({"file": [target.name], "n_days": [len(time)]})
+
+    ship(grid.sparkSession)
+    return grid.groupBy(*keys).applyInPandas(write, "file string, n_days long")

@@ -1,8 +1,9 @@
 """Gridded files as rows of the daily grid.
 
-``read_grid`` lists and reads files through Spark's own file source, so any store that Spark knows will do,
-and decodes each file in a task. ``gridnc`` is the same as a data source for files that are mounted on
-every machine: one partition for each file, with coordinate filters pushed into the decoder.
+``read_files`` lists and reads files through Spark's own file source, so any store that Spark knows will do,
+and decodes each file in a task, day by day, in one pass that gives rows and rejects. ``gridnc`` is the same as
+a data source for files that are mounted on every machine: one partition for each file, with coordinate filters
+pushed into the decoder. Precipitation is in millimetres a day from here on, whatever its files' units.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import datetime as dt
 import re
 from calendar import monthrange
 from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -18,30 +20,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThanOrEqual, InputPartition, LessThanOrEqual
-from pyspark.sql.types import StructType
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StringType, StructField, StructType
 
-from aridspan.functions.names import FILE_NAME, path_model
+from aridspan.config import Bounds
+from aridspan.functions.names import EXPERIMENT, FILE_NAME, path_model
+from aridspan.functions.units import mm_factor
 from aridspan.schemas import GRID_DAILY, REJECTS
-from aridspan.sources import netcdf3
+from aridspan.shipping import ship
+from aridspan.sources import hdf5, netcdf3
 
 
 CALENDARS = {"gregorian": "standard", "proleptic_gregorian": "standard", "365_day": "noleap"}
 
 
-def decode(data: bytes) -> netcdf3.Dataset:
-    """A file's bytes as a dataset; the HDF5-based format needs the netCDF4 library."""
-    if data[:3] == b"CDF":
-        return netcdf3.read(data)
-    try:
-        import netCDF4
-    except ImportError as error:
-        raise RuntimeError("this file needs the netCDF4 library, which is not installed") from error
-    with netCDF4.Dataset("memory", memory=data) as source:
-        source.set_auto_mask(False)
-        variables = {
-            n: netcdf3.Variable(v.dimensions, np.asarray(v[:]), {a: v.getncattr(a) for a in v.ncattrs()}) for n, v in source.variables.items()
-        }
-        return netcdf3.Dataset({n: len(d) for n, d in source.dimensions.items()}, variables)
+def decode(data: bytes, wanted: set[str] | None = None) -> netcdf3.Dataset:
+    """A file's bytes as a dataset, of the classic or of the HDF5-based format; wanted: variables that are needed."""
+    return netcdf3.read(data) if data[:3] == b"CDF" else hdf5.read(data, wanted)
 
 
 def dates(variable: netcdf3.Variable) -> tuple[list[dt.date], str]:
@@ -66,16 +61,21 @@ def dates(variable: netcdf3.Variable) -> tuple[list[dt.date], str]:
     return out, calendar
 
 
-def long_rows(dataset: netcdf3.Dataset, variable: str, bounds: dict[str, tuple[float, float]] | None = None) -> Iterator[pa.RecordBatch]:
-    """calendar, lat, lon, day, day_ordinal, value, one batch for each day; fill values and NaN are null."""
+def long_rows(
+    dataset: netcdf3.Dataset, variable: str, bounds: dict[str, tuple[float, float]] | None = None, stride: int = 1
+) -> Iterator[pa.RecordBatch]:
+    """calendar, lat, lon, day, day_ordinal, value, one batch for each day; fill values and NaN are null. bounds: of lat
+    and lon, ends included; stride: every stride-th cell of that box along both axes. What cannot be read raises before
+    the first batch."""
     if variable not in dataset.variables:
         raise ValueError(f"the file has no variable {variable!r}")
     v = dataset.variables[variable]
+    factor = mm_factor(variable, v.attributes.get("units"))
     lat, lon = (dataset.variables[n].values.astype(float) for n in ("lat", "lon"))
-    keep = [np.ones(len(lat), bool), np.ones(len(lon), bool)]
-    for i, (name, axis) in enumerate((("lat", lat), ("lon", lon))):
+    keep = []
+    for name, axis in (("lat", lat), ("lon", lon)):
         low, high = (bounds or {}).get(name, (-np.inf, np.inf))
-        keep[i] = (axis >= low) & (axis <= high)
+        keep.append(np.flatnonzero((axis >= low) & (axis <= high))[::stride])
     values = np.moveaxis(v.values, [v.dimensions.index(d) for d in ("time", "lat", "lon")], [0, 1, 2])
     fill = [np.atleast_1d(v.attributes[a]) for a in ("_FillValue", "missing_value") if a in v.attributes]
     days, calendar = dates(dataset.variables["time"])
@@ -89,24 +89,32 @@ def long_rows(dataset: netcdf3.Dataset, variable: str, bounds: dict[str, tuple[f
             missing |= np.isin(raw, f.astype(raw.dtype))
         yield pa.RecordBatch.from_arrays(
             [pa.array([calendar] * n), pa.array(y.reshape(-1)), pa.array(x.reshape(-1)), pa.array([day] * n, pa.date32()),
-             pa.array(np.full(n, i), pa.int32()), pa.array(got, mask=missing)],
+             pa.array(np.full(n, i), pa.int32()), pa.array(got * factor, mask=missing)],
             ["calendar", "lat", "lon", "day", "day_ordinal", "value"],
         )
 
 
-def name_fields(path: str) -> dict[str, object]:
-    """What a path says about its file; nulls where the name has another form."""
-    name = path.rsplit("/", 1)[-1]
+def name_fields(path: str, variable: str | None = None) -> dict[str, object]:
+    """What a path says about its file. Folders named variable/model/experiment come first, then the parts of the file's
+    name; of a name of another form the third part is the model, and a year of four digits at its end counts."""
+    *folders, name = path.split("/")
     m = re.match(FILE_NAME, name)
     keys = ("variable", "model", "experiment", "run", "grid_label", "file_year")
     fields = dict(zip(keys, m.groups()[:6])) if m else dict.fromkeys(keys)
-    if m:
-        fields["file_year"] = int(fields["file_year"])
+    at = next((i for i, f in enumerate(folders) if i and re.fullmatch(EXPERIMENT, f)), None)
+    if at is not None:
+        fields |= {"experiment": folders[at], "model": folders[at - 1]}
+    if not m:
+        stem = name.rsplit(".", 1)[0]
+        parts, year = stem.split("_"), re.search(r"_(\d{4})(?:_v[\d.]+)?$", stem)
+        fields["model"] = fields["model"] or (parts[2] if len(parts) > 2 else None)
+        fields["variable"], fields["file_year"] = variable, year and year[1]
+    fields["file_year"] = int(fields["file_year"]) if fields["file_year"] else None
     return fields | {"file_id": name}
 
 
-def with_identity(batch: pa.RecordBatch, path: str) -> pa.RecordBatch:
-    fields = name_fields(path)
+def with_identity(batch: pa.RecordBatch, path: str, variable: str, error: bool = False) -> pa.RecordBatch:
+    fields = name_fields(path, variable)
     arrays = []
     for f in GRID_DAILY.fields:
         if f.name in batch.schema.names:
@@ -114,7 +122,9 @@ def with_identity(batch: pa.RecordBatch, path: str) -> pa.RecordBatch:
         else:
             kind = pa.int32() if f.name == "file_year" else pa.string()
             arrays.append(pa.array([fields[f.name]] * batch.num_rows, kind))
-    return pa.RecordBatch.from_arrays(arrays, GRID_DAILY.names)
+    if error:
+        arrays.append(pa.nulls(batch.num_rows, pa.string()))
+    return pa.RecordBatch.from_arrays(arrays, [*GRID_DAILY.names, *["error"] * error])
 
 
 def listed_files(spark: SparkSession, root: str, pattern: str = "*.nc") -> DataFrame:
@@ -133,30 +143,41 @@ def found_files(spark: SparkSession, root: str, experiments: list[str]) -> DataF
     return rows.filter(F.col("experiment").isin(experiments))
 
 
-def read_grid(spark: SparkSession, root: str, variable: str = "pr") -> tuple[DataFrame, DataFrame]:
-    """The daily grid of all files under root, and file_id and error of files that could not be decoded."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.nc").load(root).select("path", "content")
+def read_files(spark: SparkSession, root: str, variable: str = "pr", bounds: Bounds | None = None) -> DataFrame:
+    """The daily grid (schemas.GRID_DAILY) of all files under root within bounds, and error: a file that cannot be read
+    is one row with its file_id and error alone. Each file is decoded once and a day at a time is held as rows."""
+    files = ship(spark).read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.nc").load(root).select("path", "content")
+    box = {"lat": (bounds.south, bounds.north), "lon": (bounds.west, bounds.east)} if bounds else None
+    stride = bounds.stride if bounds else 1
+    schema = StructType([*GRID_DAILY.fields, StructField("error", StringType())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [to_arrow_type(f.dataType) for f in schema.fields]
         for batch in batches:
-            for path, content in zip(*(c.to_pylist() for c in batch.columns)):
+            for i in range(batch.num_rows):
+                path = batch.column("path")[i].as_py()
                 try:
-                    found = list(long_rows(decode(content), variable))
-                except Exception:  # noqa: BLE001  reported by rejects
+                    found = long_rows(decode(batch.column("content")[i].as_py(), {variable, "time", "lat", "lon"}), variable, box, stride)
+                    first = next(found, None)
+                except Exception as error:  # noqa: BLE001  one file's trouble is a row, not the end
+                    bad = name_fields(path) | {"error": f"{type(error).__name__}: {error}"}
+                    yield pa.RecordBatch.from_arrays([pa.array([bad.get(f.name)], k) for f, k in zip(schema.fields, kinds)], schema.names)
                     continue
-                yield from (with_identity(b, path) for b in found)
+                for b in chain([first] if first is not None else [], found):
+                    yield with_identity(b, path, variable, True)
 
-    def rejects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bad = []
-            for path, content in zip(*(c.to_pylist() for c in batch.columns)):
-                try:
-                    next(long_rows(decode(content), variable), None)
-                except Exception as error:  # noqa: BLE001
-                    bad.append((path.rsplit("/", 1)[-1], f"{type(error).__name__}: {error}"))
-            yield pa.RecordBatch.from_arrays([pa.array([b[i] for b in bad], pa.string()) for i in (0, 1)], REJECTS.names)
+    return files.mapInArrow(rows, schema)
+
+
+def parts_of(read: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The daily grid and the rejects (schemas.REJECTS) of what read_files gave, or of a table that it was written to."""
+    return read.filter("error IS NULL").select(*GRID_DAILY.names), read.filter("error IS NOT NULL").select(*REJECTS.names)
 
-    return files.mapInArrow(rows, GRID_DAILY), files.mapInArrow(rejects, REJECTS)
+
+def read_grid(spark: SparkSession, root: str, variable: str = "pr", bounds: Bounds | None = None) -> tuple[DataFrame, DataFrame]:
+    """The daily grid of all files under root, and file_id and error of files that could not be read; plans that use
+    both write read_files first, so that files are decoded once."""
+    return parts_of(read_files(spark, root, variable, bounds))
 
 
 class _File(InputPartition):
@@ -165,8 +186,8 @@ class _File(InputPartition):
 
 
 class GridReader(DataSourceReader):
-    def __init__(self, root: str, variable: str) -> None:
-        self.root, self.variable = root, variable
+    def __init__(self, root: str, variable: str, skip: bool) -> None:
+        self.root, self.variable, self.skip = root, variable, skip
         self.bounds: dict[str, tuple[float, float]] = {}
         self.year: int | None = None
 
@@ -190,12 +211,20 @@ class GridReader(DataSourceReader):
     def read(self, partition: _File | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # no file is left
             return
-        for batch in long_rows(decode(Path(partition.path).read_bytes()), self.variable, self.bounds):
-            yield with_identity(batch, partition.path)
+        try:
+            found = long_rows(decode(Path(partition.path).read_bytes(), {self.variable, "time", "lat", "lon"}), self.variable, self.bounds)
+            first = next(found, None)
+        except Exception:
+            if self.skip:
+                return
+            raise
+        for batch in chain([first] if first is not None else [], found):
+            yield with_identity(batch, partition.path, self.variable)
 
 
 class GridSource(DataSource):
-    """spark.dataSource.register(GridSource); spark.read.format("gridnc").option("variable", "pr").load(folder)"""
+    """register(spark); spark.read.format("gridnc").option("variable", "pr").load(folder), a folder that all machines
+    mount. Option errors: ``raise`` at a file that cannot be read, or ``skip`` it."""
 
     @classmethod
     def name(cls) -> str:
@@ -205,4 +234,11 @@ class GridSource(DataSource):
         return GRID_DAILY
 
     def reader(self, schema: StructType) -> GridReader:
-        return GridReader(self.options["path"].removeprefix("file://"), self.options.get("variable", "pr"))
+        return GridReader(self.options["path"].removeprefix("file://"), self.options.get("variable", "pr"), self.options.get("errors", "raise") == "skip")
+
+
+def register(spark: SparkSession) -> SparkSession:
+    """Makes the format gridnc known, here and on the executors, and lets filters reach it."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    ship(spark).dataSource.register(GridSource)
+    return spark

@@ -6,12 +6,15 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from aridspan import cli, sinks
+from aridspan import cli, shipping, sinks
+from aridspan.config import Bounds, IndexConfig
 from aridspan.operators import grid as gridops
 from aridspan.operators import indices
-from aridspan.schemas import CATALOG, GRID_DAILY
+from aridspan.plans import dispatcher
+from aridspan.schemas import CATALOG, GRID_DAILY, REGIONS
 from aridspan.sources import grid_files, netcdf3, shapefile, tables
 from aridspan.streaming.arrivals import arrivals, heavy_days, index_files
+from tests import hdf5_writer
 
 
 def sample(days=5, calendar="standard", variable="pr"):
@@ -61,13 +64,14 @@ def test_calendars_of_files():
 def test_reading_grids(spark, folder):
     rows, rejects = grid_files.read_grid(spark, str(folder))
     assert rows.count() == 30 and rows.filter("value IS NULL").count() == 2
+    assert rows.agg(F.max("value")).first()[0] == 29 * 86_400.0  # flux, in mm a day
     assert rows.select("model", "experiment", "file_year").distinct().first() == ("M1", "historical", 2000)
     assert [r.file_id for r in rejects.collect()] == ["pr_day_M2_historical_r1i1p1f1_gn_2000.nc"]
-    want = rows.filter("lat = -30 AND value > 5").collect()
+    want = rows.filter("lat = -30 AND value > 500000").collect()
     (folder / "pr" / "M2" / "historical" / "pr_day_M2_historical_r1i1p1f1_gn_2000.nc").unlink()
-    spark.dataSource.register(grid_files.GridSource)
+    grid_files.register(spark)
     source = spark.read.format("gridnc").option("variable", "pr").load(str(folder))
-    box = source.filter((F.col("lat") >= -30.5) & (F.col("lat") <= -29.0) & (F.col("file_year") == 2000) & (F.col("value") > 5))
+    box = source.filter((F.col("lat") >= -30.5) & (F.col("lat") <= -29.0) & (F.col("file_year") == 2000) & (F.col("value") > 500000))
     assert sorted(map(tuple, box.collect()), key=str) == sorted(map(tuple, want), key=str)
     assert source.filter("file_year = 1999").count() == 0
 
@@ -182,4 +186,130 @@ def test_command_line(spark, tmp_path, capsys):
     (place / "pr_day_A_historical_r1i1p1f1_gn_2000.nc").write_bytes(b"x")
     (tmp_path / "d.yml").write_text("region: {lat_min: -35, lat_max: -20, lon_min: 16, lon_max: 33}\nmodels: {select: [A]}\nexperiments: {select: [historical], time_ranges: {historical: [2000, 2001]}}\nvariables: {daily: [pr]}\n")
     lines = cli.main(["verify", "--config", f"{tmp_path}/d.yml", "--data", f"{tmp_path}/data", "--out", f"{tmp_path}/v"])
-    assert lines == ["Found: 1", "Expected: 2", "Complete: 50.00%"]
+    assert lines[-3:] == ["Found: 1", "Expected: 2", "Complete: 50.00%"] and lines[1].split()[:2] == ["A", "pr"]
+
+
+def place(root, data, model="M1", experiment="historical", name=None):
+    folder = root / "pr" / model / experiment
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / (name or f"pr_day_{model}_{experiment}_r1i1p1f1_gn_2001.nc")).write_bytes(data)
+
+
+def year_of_rain(mm, units="kg m-2 s-1", factor=1 / 86_400, hdf=False):
+    """One year on two cells: mm a day, and nothing."""
+    values = np.zeros((365, 1, 2), "f8")
+    values[:, 0, 0] = mm * factor
+    time = np.arange(365, dtype="f8"), {"units": "days since 2001-01-01", "calendar": "standard"}
+    if hdf:
+        return hdf5_writer.write({"time": (("time",), *time), "lat": (("lat",), np.array([-30.0]), {}), "lon": (("lon",), np.array([20.0, 21.0]), {}),
+                                  "pr": (("time", "lat", "lon"), values, {"units": units})}, (100, 1, 2))
+    variables = {
+        "time": netcdf3.Variable(("time",), *time), "lat": netcdf3.Variable(("lat",), np.array([-30.0])),
+        "lon": netcdf3.Variable(("lon",), np.array([20.0, 21.0])), "pr": netcdf3.Variable(("time", "lat", "lon"), values, {"units": units} if units else {}),
+    }
+    return netcdf3.write(netcdf3.Dataset({"time": 365, "lat": 1, "lon": 2}, variables))
+
+
+INDEX_YML = "region: {lat_min: -35, lat_max: -20, lon_min: 16, lon_max: 33}\nexperiments: {select: [historical, ssp245]}\nrun_indices: [cdd, cwd, none, r10mm]\n"
+
+
+def test_from_files_to_netcdf(spark, tmp_path):
+    data = tmp_path / "data"
+    place(data, year_of_rain(5.0))
+    place(data, year_of_rain(5.0, hdf=True), "M2")
+    place(data, year_of_rain(5.0, "mm day-1", 1.0), "M3", name="foreign.nc")
+    place(data, year_of_rain(5.0, None), "M4")
+    place(data, year_of_rain(5.0, "furlongs"), "M5")
+    place(data, b"CDF\1 no", "M6")
+    (tmp_path / "i.yml").write_text(INDEX_YML)
+    lines = cli.main(["run", "--config", f"{tmp_path}/i.yml", "--data", str(data), "--out", f"{tmp_path}/o"])
+    assert "historical: 6 files" in lines and "ssp245: no files found, skipped" in lines and lines[-1].startswith("Completed in")
+    assert sum("furlongs" in x for x in lines) == 1 and sum(x.startswith("pr_day_M6") for x in lines) == 1
+    assert "CDD: done" in lines and "R10MM: done" in lines and any(x.startswith("NONE: KeyError") for x in lines)
+    for index, output, wet, dry in (("cdd", "max_cdd", 0, 365), ("cwd", "max_cwd", 365, 0), ("r10mm", "r10mm", 0, 0)):
+        got = netcdf3.read((tmp_path / "o" / index / f"{index}_ensemble_mean_historical.nc").read_bytes())
+        assert got.variables[output].values.tolist() == [[wet, dry]] and got.attributes["models_included"] == "M1, M2, M3, M4"
+        assert got.attributes["title"].endswith("- historical") and got.attributes["units"] == "days"
+        assert not (tmp_path / "o" / index / f"{index}_ensemble_mean_ssp245.nc").exists()
+
+
+def test_an_index_that_fails_while_it_is_written_does_not_stop_the_next():
+    done = dispatcher.Outcome({"a": 1, "b": 2}, {"c": "no"})
+
+    def write(name, table):
+        if name == "a":
+            raise OSError("disk")
+
+    assert done.carry_out(write).report() == ["A: OSError: disk", "B: done", "C: no"]
+
+
+def test_identity_of_files():
+    get = lambda p: tuple(grid_files.name_fields(p, "pr")[k] for k in ("variable", "model", "experiment", "file_year"))
+    assert get("file:/x/pr/M_a/ssp245/pr_day_B_historical_r1i1p1f1_gn_1999.nc") == ("pr", "M_a", "ssp245", 1999)
+    assert get("/flat/pr_day_B_historical_r1i1p1f1_gn_1999_v1.1.nc") == ("pr", "B", "historical", 1999)
+    assert get("/x/M/historical/any_2003.nc") == ("pr", "M", "historical", 2003) and get("one_two_three.nc") == ("pr", "three", None, None)
+    assert get("/x/M/historical/any.nc") == ("pr", "M", "historical", None)
+
+
+def test_boxes_and_strides_are_cut_from_files(spark, tmp_path):
+    place(tmp_path, netcdf3.write(sample()))
+    rows, _ = grid_files.read_grid(spark, str(tmp_path), bounds=Bounds(-31, -30, 20, 20.5, 2))
+    assert {(r.lat, r.lon) for r in rows.select("lat", "lon").collect()} == {(-31.0, 20.0), (-31.0, 20.5)}
+    rows, rejects = grid_files.read_grid(spark, str(tmp_path), bounds=Bounds(50, 60, 0, 1))
+    assert rows.count() == 0 and rejects.count() == 0
+
+
+def test_daily_files_round_trip(spark, tmp_path):
+    rows = daily(spark, 40)
+    assert sinks.write_daily(rows, str(tmp_path)).first().n_days == 40
+    back, _ = grid_files.read_grid(spark, str(tmp_path))
+    want, got = ([tuple(r) for r in x.select("model", "experiment", "day", "lat", "lon", F.round("value", 9)).collect()] for x in (rows, back))
+    assert sorted(got) == sorted(want)
+
+
+def test_regions_of_files(spark, tmp_path):
+    place(tmp_path / "data", year_of_rain(5.0))
+    rings = {"a": [(19.5, -31.0), (19.5, -29.0), (20.5, -29.0), (20.5, -31.0)], "b": [(20.5, -31.0), (20.5, -29.0), (22.0, -29.0), (22.0, -31.0)]}
+    metres = lambda x, y: (np.radians(x) * 6_378_137.0, np.arcsinh(np.tan(np.radians(y))) * 6_378_137.0)
+    shapes = spark.createDataFrame([(0, "a", 4326, [rings["a"]]), (1, "b", 3857, [[tuple(map(float, metres(*p))) for p in rings["b"]]]), (2, "c", 4326, [])], REGIONS)
+    config = IndexConfig(Bounds(-35, -20, 16, 33), ["historical"], ["cdd"])
+    got = dispatcher.run_regions(spark, str(tmp_path / "data"), shapes, config, f"{tmp_path}/o").collect()
+    assert [(r.Bioregion, r.Max_CDD_days) for r in got] == [("b", 365.0), ("a", 0.0), ("c", None)]
+    assert spark.read.option("header", True).csv(f"{tmp_path}/o/regions_cdd").count() == 3
+    with pytest.raises(RuntimeError):
+        (tmp_path / "none").mkdir()
+        place(tmp_path / "none", b"CDF\1")
+        dispatcher.run_regions(spark, str(tmp_path / "none"), shapes, config, f"{tmp_path}/o2")
+
+
+def test_catalogue_and_download_commands(spark, tmp_path):
+    base, ref = tmp_path / "cat", '<c:catalogRef xlink:title="{}" name=""/>'
+    for parts, body in {
+        (): ref.format("M1") + ref.format("M2"), ("M1",): ref.format("historical"), ("M2",): ref.format("historical"),
+        ("M1", "historical"): ref.format("r1"), ("M2", "historical"): ref.format("r1") + ref.format("r2"),
+        ("M1", "historical", "r1"): ref.format("tas") + ref.format("pr"), ("M2", "historical", "r1"): '<dataset name="pr_a.nc"/><dataset name="pr_b.nc"/>',
+        ("M2", "historical", "r2"): "", ("M1", "historical", "r1", "pr"): '<dataset name="b.nc"/><dataset name="a.nc"/><dataset name="b.nc"/>',
+        ("M1", "historical", "r1", "tas"): "",
+    }.items():
+        folder = base.joinpath(*parts)
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / "catalog.xml").write_text(f"<catalog>{body}</catalog>")
+    url = f"file://{base}"
+    assert cli.main(["crawl", "--base", url, "--out", f"{tmp_path}/t"]) == ["3 runs"]
+    at = ["--catalog", f"{tmp_path}/t/catalog"]
+    assert cli.main(["info", *at, "M2"]) == ["historical:", "  r1: pr", "  r2: —"] and cli.main(["vars", *at, "M1", "historical", "r1"]) == ["pr, tas"]
+    assert cli.main(["vars", *at, "M2", "historical", "r2"]) == ["No variables found"]
+    assert cli.main(["files", "--base", url, "M1", "historical", "r1", "pr"]) == ["b.nc", "a.nc", "b.nc"]
+    assert cli.main(["files", "--base", url, "M1", "historical", "r1", "tas"]) == ["No files found"]
+    with pytest.raises(OSError):
+        cli.main(["files", "--base", url, "M1", "historical", "r9", "pr"])
+    (tmp_path / "d.yml").write_text("region: {lat_min: -35, lat_max: -20, lon_min: 16, lon_max: 33}\nmodels: {select: [B, A]}\nexperiments: {select: [historical], time_ranges: {historical: [2000, 2001]}}\nvariables: {daily: [tas, pr]}\n")
+    place(tmp_path / "data", b"x", "A", name="pr_day_A_historical_r1i1p1f1_gn_2000.nc")
+    lines = cli.main(["download", "--config", f"{tmp_path}/d.yml", "--data", f"{tmp_path}/data", "--base", url, "--model", "A", "--variable", "pr"])
+    assert len(lines) == 2 and lines[0].startswith("A historical pr 2001: pr_day_A") and lines[1] == "All downloads completed: 1 were there"
+    lines = cli.main(["verify", "--config", f"{tmp_path}/d.yml", "--data", f"{tmp_path}/data", "--out", f"{tmp_path}/v"])
+    assert [x.split()[:2] for x in lines[1:5]] == [["B", "tas"], ["B", "pr"], ["A", "tas"], ["A", "pr"]]
+
+
+def test_shared_folder_of_a_cluster_must_be_named(spark):
+    assert shipping.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
