@@ -6,7 +6,6 @@ columns they state, so further columns of the input, whatever their names, never
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -15,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aridspan.shipping import ship
+from aridspan.shipping import shared_dir, ship
 
 #: White space that parts words, and all ASCII characters that part words of letters and digits.
 SPACES = "".join(map(chr, [*range(0x09, 0x0E), 0x20]))
@@ -43,15 +42,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='aridspan-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it again: lineage ends there, so that
     a lost executor costs a reread of files and no recomputation."""
@@ -61,6 +51,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def n_tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def join_spread(rows: DataFrame, totals: DataFrame, key: str, spread: str, how: str = "inner") -> DataFrame:
+    """rows joined (inner or left) with totals (a stored table: one row for each key, n: how many of rows have it). Rows of a hot key are
+    dealt out to all tasks by the column spread. Hot are keys with over a thousand rows and over a ten-thousandth of
+    all; so there are fewer than 10,000 of them, which are broadcast."""
+    least = max(1_000, (totals.agg(F.sum("n")).first()[0] or 0) // 10_000)
+    hot = F.broadcast(totals.filter(F.col("n") > least).select(key, F.lit(True).alias("_hot")))
+    salt, every = F.pmod(F.xxhash64(spread), F.lit(n_tasks(rows))), F.sequence(F.lit(0), F.lit(n_tasks(rows) - 1))
+    dealt = rows.join(hot, key, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0).cast("int")).drop("_hot")
+    copied = totals.join(hot, key, "left").withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))).drop("_hot")
+    return dealt.join(copied, [key, "_salt"], how).drop("_salt")
+
+
 def words_of(text: Column, parting: str, lower: bool = False) -> Column:
     """The words of a text between characters of parting (null: none), with A-Z lower-cased if asked. Characters are
     exchanged one by one and the split is at a single space: many times faster than a pattern for words."""

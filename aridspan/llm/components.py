@@ -1,8 +1,12 @@
 """Connected components by alternating large-star and small-star (Kiveris et al., 2014).
 
 Each round is joins and aggregations over the edge table, written to the shared folder; the driver sees
-one count and one checksum of a round. A star whose centre a third of all nodes hang on moves as small
-rows: minima are combined before they are shuffled, and its join is one that adaptive execution splits.
+one count and one checksum of a round. A centre that a third of all nodes hang on is no task's burden: minima
+are combined before they are shuffled and go back to the edges by broadcast while the round's counted edges
+are few; beyond that edges are parted by their other ends, and each part gets the minimum of all parts.
+
+Defined cases: loops and repeated edges change nothing; an edge counts in both directions; nodes without an edge
+to another node are not in the result; no edges give an empty result; null ends are not allowed.
 """
 
 from __future__ import annotations
@@ -10,22 +14,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aridspan.llm.common import stored
+from aridspan.llm.common import n_tasks, stored
+
+
+#: Edges up to which minima are broadcast: at most two a edge, of 16 bytes.
+MAX_BROADCAST_EDGES = 200_000
+
+
+def with_least(pairs: DataFrame, few: bool) -> DataFrame:
+    """pairs (u, v) and m, the smallest v of each u; few: whether the minima may be broadcast."""
+    if few:
+        return pairs.join(F.broadcast(pairs.groupBy("u").agg(F.min("v").alias("m"))), "u")
+    dealt = pairs.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(n_tasks(pairs))).cast("int"))
+    parts = dealt.groupBy("u", "part").agg(F.min("v").alias("m"))
+    least = parts.groupBy("u").agg(F.min("m").alias("m"))
+    return dealt.join(parts.select("u", "part").join(least, "u"), ["u", "part"]).drop("part")
 
 
-def large_star(edges: DataFrame) -> DataFrame:
+def large_star(edges: DataFrame, few: bool) -> DataFrame:
     """Connects each node's larger neighbours to the smallest node around it."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.filter("v > u").join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    near = with_least(both, few).withColumn("m", F.least("u", "m"))
+    return near.filter("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def small_star(edges: DataFrame) -> DataFrame:
+def small_star(edges: DataFrame, few: bool) -> DataFrame:
     """Connects each node and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    near = down.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return near.unionByName(least.select("u", F.col("m").alias("v")))
+    near = with_least(down, few)
+    # the edge to the smallest one stays as it is
+    return near.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -39,4 +57,5 @@ def components(edges: DataFrame) -> DataFrame:
                 now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             )
         state = seen
-        now = stored(small_star(large_star(now)).distinct(), "edges")
+        few = seen[0] <= MAX_BROADCAST_EDGES
+        now = stored(small_star(large_star(now, few), few).distinct(), "edges")

@@ -5,11 +5,15 @@ confirmation on full shingle sets, and connected components by large-star and sm
    for each minimum. Documents with equal sets become one class before anything else moves.
 2. Classes that share a band's bucket are candidates. Each class is first held against the best looking
    of its buckets' smallest members (one confirmation a class), which settles groups of copies.
-3. Buckets that still hold more than one component are searched whole: pairs across components whose
-   signatures look alike are confirmed where they are found, and only links leave the task, at most one
-   fewer than it has members. Buckets are cut into blocks, so that a task holds two blocks at most.
+3. Buckets that still hold more than one component are searched whole. They are cut into blocks with a bound in
+   members and in shingles, a large component into blocks of its own, and every two blocks meet that do not belong
+   to one component. They meet by signatures first; only members that look like one of another component
+   bring their shingle sets, pairs are confirmed where they are found, and only links leave the task, at most
+   one fewer than it has members.
 4. All links are confirmed on the full shingle sets of both texts; they are the edges of the components.
 
+Members of a hot bucket are never brought together: joins by bucket deal them out, and blocks spread them.
+
 A pair at similarity 0.75 misses all 48 bands of 5 minima with probability 2e-6, and falls under the
 signature threshold with less; every pair that is reported linked has been confirmed exactly.
 
@@ -29,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aridspan.llm.common import Recent, blocks, stored, table, texts
+from aridspan.llm.common import Recent, blocks, join_spread, stored, table, texts
 from aridspan.llm.components import components
 
 SHINGLE = 5
@@ -38,8 +42,11 @@ PERCENT = 75
 BANDS, ROWS = 48, 5
 #: Pairs whose signatures look less alike than this are not confirmed; 0.75 is over four deviations away.
 LOOKS = 0.62
-#: Members of a bucket that one block holds.
-BLOCK = 512
+#: Members of a bucket that one block holds, and their shingles together (but for a longer text alone).
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
+
+#: Stands for the components that share blocks.
+SHARED = -(1 << 63)
 
 P1, P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -140,18 +147,38 @@ def linked(x: np.ndarray, y: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
+def across_parts(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, int, bool]:
+    """Signatures and numbered components of a group's rows, sorted by their block; how many are of the first block;
+    whether there is but one block."""
+    rows.sort(key=lambda r: (r["own"] != r["i"], r["node"]))
+    s = np.frombuffer(b"".join(r["signature"] for r in rows), np.uint8).reshape(len(rows), -1)
+    _, part = np.unique(np.array([r["component"] for r in rows]), return_inverse=True)
+    return s, part, sum(r["own"] == r["i"] for r in rows), rows[0]["i"] == rows[0]["k"]
+
+
+def looking_alike(rows: list[dict]) -> list[dict]:
+    """The rows of a group that look like one of another component in the other block."""
+    s, part, first, alone = across_parts(rows)
+    out = np.zeros(len(rows), bool)
+    for x in range(first):
+        start = x + 1 if alone else first
+        other = start + np.flatnonzero(part[start:] != part[x])
+        if len(other):
+            other = other[alike(s[x], s[other]) >= LOOKS]
+            out[other] = True
+            out[x] |= len(other) > 0
+    return [rows[i] for i in np.flatnonzero(out)]
+
+
 def links_across(rows: list[dict]) -> tuple[list[int], list[int]]:
     """Links between members of different components, for one bucket's blocks i and k (own: a member's block). Members
     that a link has joined are not held against each other again."""
-    rows.sort(key=lambda r: (r["own"], r["node"]))
+    s, part, first, alone = across_parts(rows)
     node = [r["node"] for r in rows]
     sets = [np.frombuffer(r["shingles"], np.uint64) for r in rows]
-    s = np.frombuffer(b"".join(r["signature"] for r in rows), np.uint8).reshape(len(rows), -1)
-    _, part = np.unique(np.array([r["component"] for r in rows]), return_inverse=True)
-    first = sum(r["own"] == r["i"] for r in rows)
     u, v = [], []
     for x in range(first):
-        start = first if rows[0]["i"] != rows[0]["k"] else x + 1
+        start = x + 1 if alone else first
         other = start + np.flatnonzero(part[start:] != part[x])
         if not len(other):
             continue
@@ -165,18 +192,76 @@ def links_across(rows: list[dict]) -> tuple[list[int], list[int]]:
     return u, v
 
 
-def across(groups: DataFrame) -> DataFrame:
-    """Links (u, v) between components for each (bucket, i, k) of groups (sorted rows with node, component, signature,
-    shingles, own)."""
+GROUP = "bucket long, i long, k long, own long, node long, component long, signature binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (r for batch in batches for at in range(0, batch.num_rows, 256) for r in batch.slice(at, 256).to_pylist())
-        for _, group in groupby(rows, key=lambda r: (r["bucket"], r["i"], r["k"])):
-            u, v = links_across(list(group))
+
+def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """The rows of each (bucket, i, k) of batches sorted by these."""
+    rows = (r for batch in batches for at in range(0, batch.num_rows, 256) for r in batch.slice(at, 256).to_pylist())
+    for _, group in groupby(rows, key=lambda r: (r["bucket"], r["i"], r["k"])):
+        yield list(group)
+
+
+def dealt(groups: DataFrame) -> DataFrame:
+    return groups.repartition("bucket", "i", "k").sortWithinPartitions("bucket", "i", "k")
+
+
+def meeting(rows: DataFrame) -> DataFrame:
+    """GROUP: each member once for every pair of blocks in which it meets others; rows: bucket, class_id, component,
+    n_shingles, signature, of buckets with several components. Members of a component that fills a block have blocks of
+    their own, which do not meet each other; the others share blocks."""
+    weigh = lambda n, w: F.greatest(n / F.lit(BLOCK), w / F.lit(BLOCK_SHINGLES))
+    sizes = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"))
+    large = weigh(F.col("n"), F.col("w")) >= 1
+    filled = (
+        sizes.withColumn("holder", F.when(large, F.col("component")))
+        .groupBy("bucket", "holder")
+        .agg(F.sum("n").alias("n"), F.ceil(weigh(F.sum("n"), F.sum("w"))).alias("parts"))
+    )
+    shape = F.struct(F.coalesce("holder", F.lit(SHARED)).alias("holder"), "parts")
+    shapes = stored(
+        filled.groupBy("bucket").agg(F.sum("n").alias("n"), F.collect_list(shape).alias("shapes"), F.collect_list(F.col("holder")).alias("large")), "blocks"
+    )
+    placed = join_spread(rows, shapes, "bucket", "class_id").drop("n")
+    number = lambda holder, j: F.xxhash64(holder, j)
+    holder = F.when(F.array_contains("large", F.col("component")), F.col("component")).otherwise(F.lit(SHARED))
+    own_parts = F.get(F.filter("shapes", lambda x: x["holder"] == F.col("holder")), F.lit(0))["parts"]
+    every = F.flatten(
+        F.transform(
+            F.filter("shapes", lambda x: (x["holder"] == F.lit(SHARED)) | (x["holder"] != F.col("holder"))),
+            lambda x: F.transform(F.sequence(F.lit(0).cast("long"), x["parts"] - 1), lambda j: number(x["holder"], j)),
+        )
+    )
+    return (
+        placed.withColumn("holder", holder.cast("long"))
+        .withColumn("own", number(F.col("holder"), F.pmod(F.xxhash64("class_id"), own_parts)))
+        .withColumn("other", F.explode(every))
+        .select(
+            "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("k"), "own",
+            F.col("class_id").alias("node"), "component", "signature",
+        )
+    )
+
+
+def across(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (u, v) between components of a bucket; rows: as of meeting; sets: class_id, shingles."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = {"long": pa.int64(), "binary": pa.binary()}
+        names = [f.split() for f in GROUP.split(", ")]
+        for group in grouped(batches):
+            if found := looking_alike(group):
+                yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in found], kinds[k]) for n, k in names], [n for n, _ in names])
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in grouped(batches):
+            u, v = links_across(group)
             if u:
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
-    return groups.mapInArrow(run, "u long, v long")
+    found = stored(dealt(meeting(rows)).mapInArrow(look, GROUP), "looking-alike")
+    whole = found.join(sets, F.col("node") == F.col("class_id")).drop("class_id")
+    return dealt(whole).mapInArrow(confirm, "u long, v long")
 
 
 def shingle_sets(rows: DataFrame) -> DataFrame:
@@ -224,15 +309,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = sketch.filter("doc_id IS NOT NULL AND set_hash IS NOT NULL")
     classes = stored(
         named.groupBy("set_hash")
-        .agg(F.min("doc_id").alias("class_id"), F.min_by(F.struct("bands", "signature"), "doc_id").alias("x"))
-        .select("set_hash", "class_id", "x.bands", "x.signature"),
+        .agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n"), F.min_by(F.struct("bands", "signature", "n_shingles"), "doc_id").alias("x"))
+        .select("set_hash", "class_id", "n", "x.bands", "x.signature", "x.n_shingles"),
         "classes",
     )
     entries = classes.select("class_id", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.min("class_id").alias("head"), F.max("class_id").alias("last"), F.count("*").alias("n"))
-    members = stored(entries.join(shared.filter("head <> last"), "bucket").drop("last"), "members")
+    shared = stored(shared.filter("head <> last").drop("last"), "buckets")
+    members = stored(join_spread(entries, shared, "bucket", "class_id").drop("n"), "members")
     signatures = stored(
-        classes.join(members.select("class_id").distinct(), "class_id", "left_semi").select("class_id", "signature"), "signatures"
+        classes.join(members.select("class_id").distinct(), "class_id", "left_semi").select("class_id", "signature", "n_shingles"), "signatures"
     )
     wanted = signatures.select("class_id")
     # always a merge join: texts move once, whether few or many of them are wanted
@@ -240,40 +326,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = stored(shingle_sets(held), "shingle-sets")
 
     # each class and the best looking of its buckets' heads
-    stars = members.filter("class_id <> head").select("class_id", "head").distinct()
-    looked = looked_alike(
-        stars.join(signatures.withColumnRenamed("signature", "s"), "class_id").join(
-            signatures.select(F.col("class_id").alias("head"), F.col("signature").alias("t")), "head"
-        )
-    )
+    stars = stored(members.filter("class_id <> head").select("class_id", "head").distinct(), "stars")
+    heads = stars.groupBy("head").agg(F.count("*").alias("n")).join(signatures, F.col("head") == F.col("class_id"))
+    heads = stored(heads.select("head", "n", F.col("signature").alias("t")), "heads")
+    own = signatures.select("class_id", F.col("signature").alias("s"))
+    looked = looked_alike(join_spread(stars, heads, "head", "class_id").join(own, "class_id"))
     best = looked.groupBy("class_id").agg(F.max_by("head", F.struct("looks", -F.col("head"))).alias("head"))
     edges = stored(confirmed(best.select(F.col("head").alias("a"), F.col("class_id").alias("b")), sets), "links")
     found = components(edges)
 
     # pairs across the components that remain in a bucket
     placed = members.join(found, F.col("class_id") == F.col("node"), "left").select(
-        "bucket", "n", "class_id", F.coalesce("component", "class_id").alias("component")
+        "bucket", "class_id", F.coalesce("component", "class_id").alias("component")
     )
     placed = stored(placed, "placed")
-    open_ = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
-    rows = placed.join(open_, "bucket", "left_semi").join(signatures, "class_id").join(sets, "class_id")
-    parts = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = (
-        rows.withColumn("own", F.pmod(F.xxhash64("class_id"), parts.cast("long")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .select(
-            "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("k"), "own",
-            F.col("class_id").alias("node"), "component", "signature", "shingles",
-        )
-    )
-    more = stored(across(rows.repartition("bucket", "i", "k").sortWithinPartitions("bucket", "i", "k")), "links")
+    least = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"))
+    open_ = stored(least.filter("x <> y").select("bucket", "n"), "open-buckets")
+    rows = stored(join_spread(placed, open_, "bucket", "class_id").drop("n").join(signatures, "class_id"), "open")
+    more = stored(across(rows, sets), "links")
     found = stored(components(edges.unionByName(more)), "components")
 
     # back to the documents
-    names = classes.select("set_hash", "class_id").join(found, F.col("class_id") == F.col("node"), "left").select(
-        "set_hash", F.coalesce("component", "class_id").alias("component_id")
+    names = classes.select("set_hash", "class_id", "n").join(found, F.col("class_id") == F.col("node"), "left").select(
+        "set_hash", "n", F.coalesce("component", "class_id").alias("component_id")
     )
-    out = sketch.select("doc_id", "n_shingles", "set_hash").join(names, "set_hash", "left")
+    rows = sketch.select("doc_id", "n_shingles", "set_hash")
+    out = join_spread(rows, stored(names, "names"), "set_hash", "doc_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")

@@ -1,7 +1,10 @@
 """Token counts as rollups that are maintained by deltas: inserts, deletes and revised counts are signed
 rows, combined by source, language and tokenizer version, and added to totals. A batch is committed
-once: its folder in the ledger counts from the moment its success mark is there, a batch that failed
-half-way is written anew, and a batch that is sent again changes nothing.
+once: it is written under a name of its attempt, and one strict rename makes it count, so that of two writers
+of a batch one wins, one that failed half-way leaves nothing that counts, and a batch that is sent again
+changes nothing. Compaction writes the totals beside the batches; one rename of a manifest, which keeps the
+names of all batches in them, makes these totals count and the old folders not. So a crash at any moment counts
+nothing twice, and old batches may be sent again for ever.
 
 Native: counts are made by built-in functions inside the scan. Only a document's counts move, and every
 sum is combined before its shuffle, so a hot source is a few rows by then.
@@ -13,13 +16,16 @@ an empty batch.
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aridspan.llm.common import PARTING, SPACES, blocks, shared_dir, stored, table, texts, words_of
+from aridspan.llm.common import PARTING, SPACES, blocks, join_spread, shared_dir, stored, table, texts, words_of
 
 KEYS = ("source", "lang", "tokenizer")
 DELTA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
@@ -62,46 +68,97 @@ class Ledger:
 
     spark: SparkSession
     folder: str
+    _path: object = field(init=False, repr=False)
     _files: object = field(init=False, repr=False)
+    _strict: object = field(init=False, repr=False)
 
     def __post_init__(self) -> None:
         jvm = self.spark._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
-        self._files = self._path(self.folder).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        conf = self.spark._jsc.hadoopConfiguration()
+        self._files = self._path(self.folder).getFileSystem(conf)
+        self._strict = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._files.getUri(), conf)
+        self._files.mkdirs(self._path(self.folder))
+
+    def _listed(self, pattern: str) -> list[str]:
+        found = self._files.globStatus(self._path(f"{self.folder}/{pattern}"))
+        return sorted(x.getPath().getName() for x in found or ())
+
+    def _named(self, attempt: str, name: str) -> bool:
+        """Gives an attempt its name; False, and the attempt goes, if that name is taken."""
+        options = self.spark._jvm.org.apache.hadoop.fs.Options
+        none = self.spark.sparkContext._gateway.new_array(getattr(options, "Rename"), 0)
+        try:
+            self._strict.rename(self._path(f"{self.folder}/{attempt}"), self._path(f"{self.folder}/{name}"), none)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" not in str(error.java_exception):
+                raise
+            self._files.delete(self._path(f"{self.folder}/{attempt}"), True)
+            return False
+        return True
+
+    def _manifest(self) -> dict:
+        """The latest manifest: number, folder of totals, names of the batches in them."""
+        found = self._listed("manifest-*.json")
+        if not found:
+            return {"number": 0, "folder": None, "batches": []}
+        return json.loads(self.spark.read.text(f"{self.folder}/{found[-1]}", wholetext=True).first()[0])
+
+    def _loose(self, manifest: dict) -> list[str]:
+        """The batches that count beside the manifest's totals."""
+        return sorted({x.removeprefix("batch=") for x in self._listed("batch=*")} - set(manifest["batches"]))
 
     def committed(self) -> list[str]:
-        """The names of the batches that count."""
-        found = self._files.globStatus(self._path(f"{self.folder}/batch=*/_SUCCESS"))
-        return sorted(x.getPath().getParent().getName().removeprefix("batch=") for x in found or ())
+        """The names of the batches that count, compacted ones too."""
+        manifest = self._manifest()
+        return sorted([*manifest["batches"], *self._loose(manifest)])
 
     def commit(self, batch: str, rows: DataFrame) -> bool:
         """Adds signed rows (DELTA) as a batch; False, and no change, if that batch is there."""
         if batch in self.committed():
             return False
         combined = rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        combined.write.mode("overwrite").parquet(f"{self.folder}/batch={batch}")
-        return True
+        attempt = f"attempt-{uuid.uuid4().hex}"
+        combined.write.parquet(f"{self.folder}/{attempt}")
+        return self._named(attempt, f"batch={batch}")
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, n_docs, n_tokens over all batches that count."""
-        paths = [f"{self.folder}/batch={b}" for b in self.committed()]
+        manifest = self._manifest()
+        names = [*([manifest["folder"]] if manifest["folder"] else []), *(f"batch={b}" for b in self._loose(manifest))]
+        paths = [f"{self.folder}/{name}" for name in names]
         rows = self.spark.read.schema(DELTA).parquet(*paths) if paths else self.spark.createDataFrame([], DELTA)
         sums = rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
         return sums.filter("n_docs <> 0 OR n_tokens <> 0")
 
-    def compact(self, name: str) -> None:
-        """Replaces the batches that count by one of their totals; for quiet times, as old names may then be sent again."""
-        old = self.committed()
-        self.totals().coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/batch={name}")
-        for batch in old:
-            self._files.delete(self._path(f"{self.folder}/batch={batch}"), True)
+    def compact(self) -> bool:
+        """Puts the totals in place of the batches that count now; False, and no change, if another compaction was first.
+        For times without readers, as folders that no longer count are deleted in the end."""
+        before = self._manifest()
+        names, number = sorted([*before["batches"], *self._loose(before)]), before["number"] + 1
+        folder = f"totals-{number:08d}-{uuid.uuid4().hex}"
+        self.totals().coalesce(1).write.parquet(f"{self.folder}/{folder}")
+        attempt = f"attempt-{uuid.uuid4().hex}"
+        out = self._files.create(self._path(f"{self.folder}/{attempt}"))
+        out.write(bytearray(json.dumps({"number": number, "folder": folder, "batches": names}).encode()))
+        out.close()
+        if not self._named(attempt, f"manifest-{number:08d}.json"):
+            self._files.delete(self._path(f"{self.folder}/{folder}"), True)
+            return False
+        self.tidy()
+        return True
+
+    def tidy(self) -> None:
+        """Deletes folders that do not count: compacted batches, older totals and their manifests."""
+        now = self._manifest()
+        old = [f"batch={b}" for b in now["batches"]] + [x for x in self._listed("totals-*") if x != now["folder"]]
+        for name in [*old, *self._listed("manifest-*.json")[:-1]]:
+            self._files.delete(self._path(f"{self.folder}/{name}"), True)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after four batches: all documents inserted; exact copies (all but the smallest doc_id of a text) deleted;
     the others with repeated lines counted anew without the repeats; and the second batch sent again."""
-    import uuid
-
     lines = F.split("text", "\n", -1)
     shorter = F.when(F.size(F.array_distinct(lines)) < F.size(lines), F.array_join(F.array_distinct(lines), "\n"))
     per = []
@@ -114,8 +171,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "token-counts",
     )
     first = counts.filter("text_hash IS NOT NULL").groupBy("text_hash").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
-    first = first.filter("n > 1").drop("n")
-    marked = counts.join(first, "text_hash", "left").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False)))
+    first = stored(first.filter("n > 1"), "copies")
+    marked = join_spread(counts, first, "text_hash", "doc_id", "left").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False)))
     rows = stored(marked.select("source", "lang", "copy", F.inline("per")), "token-rows")
     ledger = Ledger(spark, f"{shared_dir(spark)}/aridspan/ledger-{uuid.uuid4().hex}")
     ledger.commit("1-insert", deltas(rows, 1))

@@ -17,7 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from aridspan.llm import (
-    bwt, components, decontamination, language_id, license_scan, line_rules, near_duplicates, packing, private_data, repeated_text, token_counts, tokens, url_filter,
+    bwt, common, components, decontamination, language_id, license_scan, line_rules, near_duplicates, packing, private_data, repeated_text, token_counts, tokens, url_filter,
 )
 from tests.llm import brute
 
@@ -72,13 +72,39 @@ def test_ledger_is_idempotent_and_additive(spark, tmp_path):
     ledger.commit("c", token_counts.deltas(renewed, None, "was"))
     want = [("s", "en", "v", 2, 15)]
     assert [tuple(r) for r in ledger.totals().collect()] == want
-    half = tmp_path / "ledger" / "batch=d"
+    half = tmp_path / "ledger" / "attempt-d"
     half.mkdir()
     (half / "part-0.parquet").write_bytes(b"broken")
     assert [tuple(r) for r in ledger.totals().collect()] == want
     assert ledger.commit("d", token_counts.deltas(counts.limit(0), 1)) and ledger.committed() == ["a", "b", "c", "d"]
-    ledger.compact("base")
-    assert ledger.committed() == ["base"] and [tuple(r) for r in ledger.totals().collect()] == want
+
+
+def test_compaction_counts_nothing_twice(spark, tmp_path, monkeypatch):
+    ledger = token_counts.Ledger(spark, f"file://{tmp_path}/ledger")
+    counts = spark.createDataFrame([("s", "en", "v", 5)], "source string, lang string, tokenizer string, n_tokens long")
+    total = lambda: [(r.n_docs, r.n_tokens) for r in ledger.totals().collect()]
+    ledger.commit("a", token_counts.deltas(counts, 1))
+    ledger.commit("b", token_counts.deltas(counts, 1))
+    monkeypatch.setattr(token_counts.Ledger, "tidy", lambda self: None)  # a crash between the switch and the deletes
+    assert ledger.compact() and total() == [(2, 10)]
+    monkeypatch.undo()
+    assert not ledger.commit("a", token_counts.deltas(counts, 1)) and total() == [(2, 10)]  # an old batch, sent again
+    assert ledger.commit("c", token_counts.deltas(counts, 1)) and total() == [(3, 15)]
+    monkeypatch.setattr(token_counts.Ledger, "_named", lambda self, attempt, name: 1 / 0)  # a crash before the switch
+    with pytest.raises(ZeroDivisionError):
+        ledger.compact()
+    monkeypatch.undo()
+    assert total() == [(3, 15)] and ledger.compact() and total() == [(3, 15)] and ledger.committed() == ["a", "b", "c"]
+    assert sorted(x.split("-")[0] for x in ledger._listed("*") if not x.startswith("attempt")) == ["manifest", "totals"]
+    stale = ledger._manifest() | {"number": 1}
+    monkeypatch.setattr(token_counts.Ledger, "_manifest", lambda self: stale)  # another compaction was first
+    assert not ledger.compact()
+    monkeypatch.undo()
+    # of two writers of a batch that both saw it missing one wins
+    monkeypatch.setattr(token_counts.Ledger, "committed", lambda self: [])
+    assert ledger.commit("d", token_counts.deltas(counts, 1)) and not ledger.commit("d", token_counts.deltas(counts, 1))
+    monkeypatch.undo()
+    assert total() == [(4, 20)]
 
 
 def test_token_counts(spark, sample, tmp_path):
@@ -486,21 +512,50 @@ def test_near_duplicates(spark, sample):
     assert rows == [(0, None, True), (2, 2, True), (3, 2, False), (3, 2, False)]
 
 
-def test_blocks_of_a_bucket_are_all_compared(spark, monkeypatch):
-    monkeypatch.setattr(near_duplicates, "BLOCK", 3)
-    docs = list(enumerate([*variants(5, 25, 2, 60), *variants(6, 20, 3, 90)]))
+@pytest.mark.parametrize("bounds", [{"BLOCK": 3}, {"BLOCK": 1000, "BLOCK_SHINGLES": 300}])
+def test_blocks_of_a_bucket_are_all_compared(spark, monkeypatch, bounds):
+    for name, value in bounds.items():
+        monkeypatch.setattr(near_duplicates, name, value)
+    docs = [(i - 7, t) for i, t in enumerate([*variants(5, 25, 2, 60), *variants(6, 20, 3, 90), *variants(7, 40, 6, 70)])]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert by_id(near_duplicates.near_duplicates(df), "n_shingles", "component_id") == brute.near(docs)
 
 
+def test_a_hot_bucket_of_many_unlike_members(spark, monkeypatch):
+    """Every document shares a bucket with all others and links with few: components that look alike and are not linked."""
+    monkeypatch.setattr(near_duplicates, "BANDS", 60)
+    monkeypatch.setattr(near_duplicates, "ROWS", 1)
+    rng = np.random.default_rng(9)
+    base = [f"w{x}" for x in range(200)]
+    texts = [" ".join([*base, *(f"g{i % 40}x{k}" for k in range(60 + i % 40)), *(f"u{x}" for x in rng.integers(0, 10**9, i % 7))]) for i in range(240)]
+    docs = list(enumerate(texts))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(near_duplicates, "BLOCK", 20)
+    assert by_id(near_duplicates.near_duplicates(df), "n_shingles", "component_id") == brute.near(docs)
+
+
+def test_hot_keys_are_dealt_out(spark):
+    rows = spark.range(5000).selectExpr("IF(id % 10 < 4, 7, IF(id % 10 = 4, NULL, id)) k", "id")
+    totals = common.stored(rows.filter("k IS NOT NULL").groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("least")), "totals")
+    got = common.join_spread(rows, totals, "k", "id", "left")
+    assert sorted(map(tuple, got.select("id", "least", "n").collect()), key=str) == sorted(
+        ((i, 0 if i % 10 < 4 or i == 7 else None if i % 10 == 4 else i, 2001 if i % 10 < 4 or i == 7 else None if i % 10 == 4 else 1) for i in range(5000)), key=str
+    )
+    assert common.join_spread(rows, totals.limit(0), "k", "id").count() == 0
+    dealt = common.join_spread(rows.filter("k = 7"), totals, "k", "id")
+    assert dealt.count() == 2001 and "_salt" in dealt._jdf.queryExecution().toString()
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=30))
-def test_components(spark, edges):
+@given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=30), st.sampled_from([0, 10**6]))
+def test_components(spark, edges, few):
+    components.MAX_BROADCAST_EDGES = few
     root = {x: x for e in edges for x in e}
     for _ in range(30):
         for a, b in edges:
             root[a] = root[b] = min(root[a], root[b])
     found = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    components.MAX_BROADCAST_EDGES = 200_000
     touched = {x for a, b in edges if a != b for x in (a, b)}
     assert found == {x: root[x] for x in touched}
 
