@@ -4,7 +4,8 @@ list passes possible hits to an exact hash join, which removes false positives.
 Native: DataFrame operations only. The filter is a table of 64-bit words, one for each block; a key sets
 four bits of one block. It is broadcast only while its fixed number of blocks keeps it under 8 MB; beyond
 that Spark joins it by block number. URLs are made distinct (with a map-side combine) before anything
-else moves, so a host or URL that holds a third of all pages is one row by then.
+else moves, so a host or URL that holds a third of all pages is one row by then; the pages of a hot URL that is
+listed are dealt out to all tasks when verdicts come back to them. The list is a table, key by key.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path, fits no rule and is allowed;
 repeated rows are each judged; an empty list blocks nothing; an empty table gives an empty result.
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aridspan.llm.common import table
+from aridspan.llm.common import join_spread, stored, table
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -27,8 +28,9 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-#: Canonical URLs that are blocked: a host with a slash stands for all of its pages and subdomains.
-LISTED = ("casino-win.example.org/", "cheap-pills.example.com/", "free-bets.example.com/", "spam-farm.example.org/")
+#: The query's list: each of these names under each of these domains, as hosts with all of their pages and subdomains.
+NAMES = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+DOMAINS = ("example.com", "example.info", "example.net", "example.org")
 
 #: Blocks of 64 bits for each listed URL, and rows of the filter up to which it is broadcast.
 BLOCKS_PER_URL, MAX_BROADCAST_ROWS = 0.25, 1 << 18
@@ -79,27 +81,32 @@ def bloom(listed: DataFrame, blocks: int) -> DataFrame:
 
 
 def listed_urls(pages: DataFrame, listed: DataFrame) -> DataFrame:
-    """The distinct URLs of pages (url) that listed (key) holds in some canonical form."""
+    """url, n (its pages) of each URL of pages (url) that listed (key) holds in some canonical form."""
     listed = listed.select("key").distinct()
     blocks = 1 << max(6, (int(listed.count() * BLOCKS_PER_URL)).bit_length())
     filter_ = bloom(listed, blocks)
     if blocks <= MAX_BROADCAST_ROWS:
         filter_ = F.broadcast(filter_)
-    urls = with_parts(pages.select("url").filter("url IS NOT NULL").distinct()).filter("host <> ''")
-    every = urls.select("url", F.explode(keys()).alias("key")).withColumn("block", block_of(blocks))
-    possible = every.join(filter_, "block").filter(F.expr(f"(bits & {MASK}) = {MASK}")).select("url", "key")
-    return possible.join(listed, "key", "left_semi").select("url").distinct()
+    urls = with_parts(pages.filter("url IS NOT NULL").groupBy("url").agg(F.count("*").alias("n"))).filter("host <> ''")
+    every = urls.select("url", "n", F.explode(keys()).alias("key")).withColumn("block", block_of(blocks))
+    possible = every.join(filter_, "block").filter(F.expr(f"(bits & {MASK}) = {MASK}")).select("url", "n", "key")
+    return possible.join(listed, "key", "left_semi").select("url", "n").distinct()
+
+
+def default_list(spark: SparkSession) -> DataFrame:
+    """key: the canonical URLs of the query's list."""
+    values = lambda xs: ", ".join(f"('{x}')" for x in xs)
+    return spark.sql(f"SELECT concat(n, '.', d, '/') AS key FROM VALUES {values(NAMES)} a(n) CROSS JOIN VALUES {values(DOMAINS)} b(d)")
 
 
 def judge_urls(pages: DataFrame, rules: tuple = RULES, listed: DataFrame | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict and whether the URL is listed, for each row of pages (page_id, url)."""
     spark = pages.sparkSession
-    if listed is None:
-        listed = spark.createDataFrame([(x,) for x in LISTED], "key string")
+    listed = default_list(spark) if listed is None else listed
     rows = pages.select("page_id", "url")
-    hits = listed_urls(rows, listed).withColumn("hit", F.lit(True))
+    hits = stored(listed_urls(rows, listed).withColumn("hit", F.lit(True)), "listed-urls")
     name, verdict = rule_column(rules)
-    out = with_parts(rows.join(hits, "url", "left")).withColumn("listed", F.coalesce("hit", F.lit(False)))
+    out = with_parts(join_spread(rows, hits, "url", "page_id", "left")).withColumn("listed", F.coalesce("hit", F.lit(False)))
     method = F.when(F.col("listed"), "block").otherwise("allow")
     return out.select(
         "page_id",
@@ -131,7 +138,7 @@ WITH cut AS (
          WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/es/') THEN 'net/es/'
          WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
          WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/' END AS rule,
-    regexp_matches(host, '(^|[.])(casino-win[.]example[.]org|cheap-pills[.]example[.]com|free-bets[.]example[.]com|spam-farm[.]example[.]org)$') AS listed
+    regexp_matches(host, '(^|[.])(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)[.]example[.](com|info|net|org)$') AS listed
   FROM parts
 )
 SELECT page_id, host, path, rule,
