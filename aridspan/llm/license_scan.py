@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -105,8 +106,9 @@ def scan(text: bytes | None, notices: tuple = NOTICES) -> tuple:
         if hits := places(norm, b" " + phrase.encode() + b" "):
             starts += hits
             labels.add(label)
-    word = lambda at: norm.count(b" ", 0, at + 1) - 1  # noqa: E731  the word that holds, or begins after, this byte
     near = fuzzy(norm, notices)
+    spaces = np.flatnonzero(np.frombuffer(norm, np.uint8) == 32) if starts or near else np.zeros(0, np.int64)
+    word = lambda at: int(np.searchsorted(spaces, at, side="right")) - 1  # noqa: E731  the word that holds, or begins after, this byte
     every = labels | {x[0] for x in near}
     score = 1.0 if labels else max((x[4] for x in near), default=0.0)
     spans = [{"label": x[0], "first_word": max(0, word(x[1])), "last_word": max(0, word(x[2] - 1)), "errors": x[3]} for x in near]
