@@ -245,6 +245,11 @@ def groups(batches: Iterator[pa.RecordBatch], column: str = "bucket") -> Iterato
     return groupby(rows, key=lambda r: r[column])
 
 
+def by_task(rows: DataFrame, tasks: int) -> DataFrame:
+    """Buckets dealt out in turn, so that no task gets more than its share of them."""
+    return rows.repartitionById(tasks, F.col("bucket").cast("int"))
+
+
 def edges(*columns: np.ndarray) -> np.ndarray:
     """Where a row of sorted columns differs from the one before."""
     out = np.zeros(len(columns[0]), bool)
@@ -353,7 +358,7 @@ def decided(rows: DataFrame, count: int) -> DataFrame:
                 out += ask([c[wanted] for c in state], how[wanted])
             yield batch_of(out, OUT)
 
-    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, OUT)
+    return by_task(rows, count).sortWithinPartitions("bucket").mapInArrow(run, OUT)
 
 
 def beside_texts(docs: DataFrame, rows: DataFrame, count: int) -> DataFrame:
@@ -377,7 +382,7 @@ def beside_texts(docs: DataFrame, rows: DataFrame, count: int) -> DataFrame:
 
     moved = docs.mapInArrow(run, "bucket long, kind long, doc_id long, data binary")
     every = moved.unionByName(rows.select("bucket", "kind", F.lit(None).cast("long").alias("doc_id"), "data"))
-    return every.repartition("bucket").sortWithinPartitions("bucket", "kind")
+    return by_task(every, count).sortWithinPartitions("bucket", "kind")
 
 
 def gathered(parts: list[bytes], count: int) -> list[np.ndarray]:
@@ -544,7 +549,7 @@ def merged_marks(found: DataFrame, count: int, tasks: int) -> DataFrame:
                 _, later = owned([np.concatenate(x) for x in zip(*([state] if state else []), *held)], 2, 2, 3)
                 yield batch_of(marked(marks(count, later[2], later[3], later[3] + later[4] + MATCH)), OUT)
 
-    return found.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(run, OUT)
+    return by_task(found, tasks).sortWithinPartitions("bucket").mapInArrow(run, OUT)
 
 
 def cut(docs: DataFrame, removed: DataFrame, count: int) -> DataFrame:
