@@ -35,15 +35,30 @@ WIDE_ENDS = tuple(x.encode() for x in "…”’»。！？；：」』）؟۔
 INNER_END = re.compile(b"[.!?] ")
 #: What stands between the entries of a menu.
 SEPARATORS = re.compile(b"\\||>|\xe2\x80\xba|\xc2\xbb|\xc2\xb7|\xe2\x80\xa2")
-MENU_WORDS = frozenset(
-    b"home login logout register search menu sitemap contact about help faq next previous share print "
-    b"subscribe download upload cart checkout account settings profile top back more".split()
-)
-PHRASES = re.compile(
-    b"all rights reserved|terms of (?:use|service)|privacy policy|cookie policy|(?:uses?|accept(?: all)?) cookies"
-    b"|lorem ipsum|enable javascript|javascript (?:is|must be)|click here|read more|sign up for|powered by"
-    b"|subscribe to our|follow us on|skip to (?:main )?content|copyright (?:\xc2\xa9|\\(c\\))"
-)
+#: Entries of menus and phrases of boilerplate (patterns), by language. A-Z is lower-cased before they are looked for, other
+#: letters are not. Every list holds for every text, as sites mix languages; words that often stand alone are left out.
+MENUS = {
+    "en": "home login logout register search menu sitemap contact about help faq next previous share print "
+    "subscribe download upload cart checkout account settings profile top back more",
+    "de": "startseite anmelden abmelden registrieren suche suchen menü übersicht impressum kontakt hilfe zurück drucken warenkorb kasse "
+    "konto einstellungen profil datenschutz agb",
+    "es": "inicio registrarse buscar menú contacto ayuda siguiente anterior compartir imprimir carrito cuenta ajustes perfil volver",
+    "fr": "accueil connexion déconnexion inscription rechercher recherche contactez aide suivant précédent partager imprimer panier "
+    "compte paramètres profil retour",
+}
+BOILERPLATE = {
+    "en": "all rights reserved|terms of (?:use|service)|privacy policy|cookie policy|(?:uses?|accept(?: all)?) cookies"
+    "|lorem ipsum|enable javascript|javascript (?:is|must be)|click here|read more|sign up for|powered by"
+    "|subscribe to our|follow us on|skip to (?:main )?content|copyright (?:©|\\(c\\))",
+    "de": "alle rechte vorbehalten|nutzungsbedingungen|datenschutzerklärung|(?:verwende[nt]|nutz(?:en|t)) cookies|cookies (?:akzeptieren|zulassen)"
+    "|javascript (?:muss|aktivieren)|hier klicken|klicken sie hier|weiterlesen|newsletter (?:abonnieren|anmelden)|zum inhalt springen",
+    "es": "todos los derechos reservados|(?:términos|condiciones) de uso|política de (?:privacidad|cookies)|(?:usa(?:mos)?|utiliza(?:mos)?|aceptar) cookies"
+    "|activar? javascript|(?:haga|haz) clic aquí|leer más|suscríb(?:ase|ete) a|(?:saltar|ir) al contenido",
+    "fr": "tous droits réservés|conditions (?:générales )?(?:d(?:\\x27|’)utilisation|de vente)|politique de confidentialité|mentions légales"
+    "|(?:utilise|utilisons|accepter) (?:des |les )?cookies|activer javascript|cliquez ici|lire la suite|abonnez-vous|aller au contenu",
+}
+MENU_WORDS = frozenset(w.encode() for words in MENUS.values() for w in words.split())
+PHRASES = re.compile("|".join(BOILERPLATE.values()).encode())
 
 
 def repeated_words(words: list[bytes]) -> int:

@@ -144,6 +144,28 @@ def test_lines_that_fail(spark):
     assert not rows[2].kept and not rows[3].kept and rows[3].clean_text is None
 
 
+@pytest.mark.parametrize(
+    "line, fault",
+    [
+        ("Startseite | Suche | Kontakt", 2), ("Startseite Impressum Kontakt", 2), ("Inicio Contacto Ayuda.", 2), ("Accueil > Aide > Panier", 2), ("Précédent.", 2), ("Conditions d’utilisation", 3),
+        ("précédent suivant", 2), ("Alle Rechte vorbehalten.", 3), ("Diese Seite verwendet Cookies.", 3), ("Todos los derechos reservados.", 3),
+        ("Utilizamos cookies en este sitio.", 3), ("Tous droits réservés.", 3), ("Lire la suite", 3), ("Conditions d'utilisation", 3), ("Copyright © 2020 by us.", 3),
+        ("Das Haus am See steht seit vielen Jahren leer.", 0), ("Die Suche nach dem Kind dauerte die ganze Nacht.", 0), ("Il faut plus de temps.", 0),
+        ("La cuenta de la cena la pagó mi hermano.", 0), ("Le retour fut long, et la pluie tombait.", 0), ("Más vale tarde que nunca.", 0),
+    ],
+)
+def test_lines_of_four_languages(line, fault):
+    """Judged by hand, not by the module's lists."""
+    assert line_rules.line_fault(line.encode()) == fault
+
+
+def test_repeated_rows_are_each_judged(spark):
+    rows = line_rules.clean_lines(frame(spark, TEXTS + TEXTS)).collect()
+    assert len(rows) == 2 * len(TEXTS)
+    judged = {r.doc_id: r[1:] for r in rows}
+    assert all(repr(judged[i]) == repr(judged[i + len(TEXTS)]) for i in range(len(TEXTS)))
+
+
 # 3 packing
 
 
