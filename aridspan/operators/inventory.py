@@ -6,9 +6,9 @@ found grows with the store and is counted before it is joined.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aridspan.config import DownloadConfig
@@ -89,24 +89,19 @@ def detail(checked: DataFrame) -> DataFrame:
     return checked.withColumn("status", names.status(F.col("found"), F.col("expected")))
 
 
-def totals(checked: DataFrame, *keys: str) -> DataFrame:
-    """Sums over all but keys, their ratio, sign and percentage."""
-    sums = checked.groupBy(*keys).agg(F.sum("found").cast("long").alias("found"), F.sum("expected").cast("long").alias("expected"))
+def totals(checked: DataFrame, *keys: str, more: Iterable[Column] = ()) -> DataFrame:
+    """Sums over all but keys, their ratio, sign and percentage; more: further aggregates."""
+    sums = checked.groupBy(*keys).agg(F.sum("found").cast("long").alias("found"), F.sum("expected").cast("long").alias("expected"), *more)
     f, e = F.col("found"), F.col("expected")
     return sums.withColumns({"total": names.ratio(f, e), "overall": names.overall_sign(f, e), "percent": names.percent(f, e)})
 
 
 def detail_report(checked: DataFrame, expected_by_experiment: dict[str, int]) -> DataFrame:
     """The wide report: a column of statuses for each experiment, named with its expected count, Total and Overall."""
-    cells = (
-        detail(checked)
-        .groupBy("model", "variable")
-        .pivot("experiment", list(expected_by_experiment))
-        .agg(F.first("status"))
-        .withColumnsRenamed({e: f"{e} ({n})" for e, n in expected_by_experiment.items()})
-    )
-    sums = totals(checked, "model", "variable").select("model", "variable", F.col("total").alias("Total"), F.col("overall").alias("Overall"))
-    return cells.join(sums, ["model", "variable"]).withColumnsRenamed({"model": "Model", "variable": "Variable"})
+    cells = (F.any_value(F.when(F.col("experiment") == e, F.col("status")), True).alias(f"{e} ({n})") for e, n in expected_by_experiment.items())
+    shown = ("model", "variable", *(f"`{e} ({n})`" for e, n in expected_by_experiment.items()))
+    rows = totals(detail(checked), "model", "variable", more=cells).select(*shown, F.col("total").alias("Total"), F.col("overall").alias("Overall"))
+    return rows.withColumnsRenamed({"model": "Model", "variable": "Variable"})
 
 
 def in_config_order(report: DataFrame, config: DownloadConfig) -> DataFrame:
