@@ -417,6 +417,26 @@ def test_decontamination_on_any_words(spark, docs, items):
     assert by_id(judged, "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == brute.contaminated(docs, items)
 
 
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.integers(1, 12), st.integers(13, 90), st.integers(1, 80), st.lists(st.sampled_from("ab"), max_size=9))
+def test_decontamination_of_periodic_texts(spark, period, n_doc, n_item, odd):
+    base = [f"w{i}" for i in range(period)]
+    turn = lambda n, k=0: " ".join(base[(i + k) % period] for i in range(n))
+    docs = [(0, turn(n_doc)), (1, f"{turn(n_doc)} {' '.join(odd)} {turn(n_doc, 3)}"), (2, turn(n_doc // 2))]
+    items = [(0, turn(n_item, 1)), (1, turn(max(1, n_item - 13))), (2, f"{turn(14)} end")]
+    judged = decontamination.judge(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert by_id(judged, "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == brute.contaminated(docs, items)
+
+
+def test_decontamination_of_long_periodic_texts(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a " * 200_000), (2, "a b c " * 20_000), (3, "b c a")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a " * 40), (2, "b c a " * 40), (3, "c a")], "item_id long, text string")
+    want = {1: (200_000, 200_000, 1), 2: (60_000, 60_000, 2), 3: (3, 2, 1)}
+    assert by_id(decontamination.judge(docs, items), "n_words", "n_hit", "n_items") == want
+    monkeypatch.setattr(decontamination, "MAX_BROADCAST_ROWS", 0)  # tables too large to broadcast
+    assert by_id(decontamination.judge(docs, items), "n_words", "n_hit", "n_items") == want
+
+
 # 8 repeated text
 
 
