@@ -113,3 +113,100 @@ every AS (
 )
 SELECT *, NOT base_failed AND 2 * lost_chars <= word_chars AS kept FROM every
 """
+
+#: CRC-32 in SQL: the table of 256 remainders, by its rule, and the checksum of an ASCII string with that table in column t.
+CRC_TABLE = """(SELECT list_transform(range(256), lambda b: list_reduce(range(8),
+  lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS t)"""
+CRC = """xor(list_reduce(list_transform(range(1, len({0}) + 1), lambda i: CAST(ascii(substr({0}, i, 1)) AS BIGINT)),
+  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"""
+
+STRUCTURE_REPAIR = f"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations
+),
+kinds AS (SELECT conv_id, turn, role, text, {CRC.format("k")} % 20 AS kind FROM keyed, {CRC_TABLE}),
+changed AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM kinds WHERE kind <> 0
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+    regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) AS last, left(role, 1) AS initial FROM changed
+),
+seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS k, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed),
+faults AS (
+  SELECT *, CASE WHEN last = '' THEN 'blank' WHEN k > 1 THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM seen
+),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM faults GROUP BY conv_id
+),
+inserts(a, b, k) AS (VALUES ('-', '-', 0), ('-', 'u', 1), ('-', 'a', 2), ('s', 's', 0), ('s', 'u', 1), ('s', 'a', 2), ('u', 'u', 0), ('u', 'a', 1), ('a', 'a', 0), ('a', 'u', 1)),
+edits(initial, a, b, cost, letter) AS (VALUES
+  ('s', '-', 's', 0, 'K'), ('u', '-', 'u', 0, 'K'), ('u', 's', 'u', 0, 'K'), ('u', 'a', 'u', 0, 'K'), ('a', 'u', 'a', 0, 'K'),
+  ('*', '-', 'u', 1, 'R'), ('*', 's', 'u', 1, 'R'), ('*', 'a', 'u', 1, 'R'), ('*', 'u', 'a', 1, 'R'),
+  ('*', '-', '-', 2, 'D'), ('*', 's', 's', 2, 'D'), ('*', 'u', 'u', 2, 'D'), ('*', 'a', 'a', 2, 'D')),
+ways AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, '-' AS state, {{'c': 0, 's': ''}} AS way FROM counts
+  UNION ALL
+  SELECT w.conv_id, f.i, e.b, min({{'c': way.c + 5 * x.k + e.cost + CASE WHEN letter <> 'D' AND fault = 'truncated' THEN 5 ELSE 0 END, 's': way.s || repeat('I', x.k) || letter}})
+  FROM ways w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1 JOIN inserts x ON x.a = state
+  JOIN edits e ON e.a = x.b AND (e.initial = '*' OR e.initial = f.initial) AND (letter = 'D' OR fault NOT IN ('blank', 'duplicate')) GROUP BY w.conv_id, f.i, e.b
+),
+best AS (
+  SELECT w.conv_id, min({{'c': way.c + 5 * x.k, 's': way.s || repeat('I', x.k)}}) AS way
+  FROM ways w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.i JOIN inserts x ON x.a = state AND x.b IN ('-', 'a') GROUP BY w.conv_id
+),
+letters AS (
+  SELECT *, count(*) FILTER (letter <> 'I') OVER p AS i, count(*) FILTER (letter <> 'D') OVER p AS place
+  FROM (SELECT conv_id, unnest(string_split(way.s, '')) AS letter, generate_subscripts(string_split(way.s, ''), 1) AS g FROM best WHERE way.s <> '')
+  WINDOW p AS (PARTITION BY conv_id ORDER BY g)
+),
+rows AS (
+  SELECT l.conv_id, place, letter, f.role, CASE WHEN letter = 'I' THEN '' ELSE f.text END AS text,
+    max(CASE WHEN place = 1 AND letter = 'K' AND f.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY l.conv_id) AS head
+  FROM letters l LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.i = l.i WHERE letter <> 'D'
+),
+repaired AS (
+  SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (place - head) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY place) AS body
+  FROM rows GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, CAST(coalesce(way.c, 0) AS BIGINT) AS cost, coalesce(way.s, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+PREFIX_TRIE = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS k FROM conversations WHERE conv_id IS NOT NULL
+),
+ids AS (
+  SELECT c, c - c % 5 AS base, {CRC.format("CAST(c AS VARCHAR)")} % 9 AS h FROM (SELECT DISTINCT conv_id AS c FROM turns), {CRC_TABLE}
+),
+rebuilt AS (
+  SELECT c, 0 AS part, k, role, text FROM ids JOIN turns ON conv_id = base AND k <= h
+  UNION ALL SELECT c, 1, k, role, text FROM ids JOIN turns ON conv_id = c AND k > h
+),
+placed AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, k) AS d, md5(role) || md5(text) AS x, strlen(text) AS bytes FROM rebuilt),
+paths AS (SELECT c, d, md5(string_agg(x, '') OVER (PARTITION BY c ORDER BY d)) AS p, bytes FROM placed),
+members AS (
+  SELECT c, 0 AS d, 'root' AS p, NULL AS parent, 0 AS bytes FROM ids
+  UNION ALL SELECT c, d, p, coalesce(lag(p) OVER (PARTITION BY c ORDER BY d), 'root'), bytes FROM paths
+),
+nodes AS (SELECT p, d, parent, bytes, count(*) AS n_convs, min(c) AS conv_id FROM members GROUP BY p, d, parent, bytes),
+children AS (SELECT parent, count(*) AS n FROM nodes GROUP BY parent),
+full_nodes AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children ON children.parent = nodes.p),
+below AS (
+  SELECT m.p, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum((n_convs - 1) * n.bytes) AS BIGINT) AS saved_tokens
+  FROM full_nodes n JOIN members m ON m.c = n.conv_id AND m.d <= n.d GROUP BY m.p
+),
+lengths AS (SELECT c, max(d) AS d FROM members GROUP BY c),
+ends AS (SELECT p, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS s FROM members JOIN lengths USING (c, d) GROUP BY p)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, coalesce(s, sha256('')) AS ends_sha256
+FROM full_nodes n JOIN below USING (p) LEFT JOIN nodes u ON u.p = n.parent LEFT JOIN ends ON ends.p = n.p
+"""

@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aridspan.llm import decontamination, language_id, license_scan, line_rules, near_duplicates, oracles, packing, private_data, repeated_text, token_counts, url_filter
+from aridspan.llm import decontamination, language_id, license_scan, line_rules, near_duplicates, oracles, packing, prefix_trie, private_data, repeated_text, structure_repair, token_counts, url_filter
 from aridspan.llm.common import prepared
 
 
@@ -31,6 +31,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_repeated_text": repeated_text.query,
         "op9_near_duplicates": near_duplicates.query,
         "op10_license_scan": license_scan.query,
+        "op12_prefix_trie": prefix_trie.query,
+        "op13_structure_repair": structure_repair.query,
     }
     return {name: shipped(query) for name, query in every.items()}
 
@@ -50,4 +52,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_decontamination": oracles.DECONTAMINATION,
         "op8_repeated_text": oracles.REPEATED_TEXT,
         "op9_near_duplicates": oracles.NEAR_DUPLICATES,
+        "op12_prefix_trie": oracles.PREFIX_TRIE,
+        "op13_structure_repair": oracles.STRUCTURE_REPAIR,
     }
