@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aridspan.llm import decontamination, language_id, license_scan, line_rules, near_duplicates, oracles, packing, prefix_trie, private_data, repeated_text, structure_repair, token_counts, url_filter
+from aridspan.llm import decontamination, language_id, license_scan, line_rules, near_duplicates, oracles, packing, prefix_trie, private_data, quality_model, repeated_text, structure_repair, token_counts, url_filter
 from aridspan.llm.common import prepared
 
 
@@ -31,6 +31,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_repeated_text": repeated_text.query,
         "op9_near_duplicates": near_duplicates.query,
         "op10_license_scan": license_scan.query,
+        "op11_quality_model": quality_model.query,
         "op12_prefix_trie": prefix_trie.query,
         "op13_structure_repair": structure_repair.query,
     }
