@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aridspan.llm.common import blocks, stored, table, texts
 
@@ -189,7 +190,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
 
 def featured(docs: DataFrame, carried: list[str]) -> DataFrame:
     """carried columns and x, the features of text."""
-    schema = docs.select(*carried).schema.add("x", "array<double>")
+    schema = docs.select(*carried).schema.add("x", T.ArrayType(T.DoubleType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):

@@ -20,14 +20,14 @@ def duck():
     if not os.path.isdir(SF_DIR):
         pytest.skip(f"{SF_DIR} is not there")
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
     return con
 
 
 def test_names():
     numbers = sorted(int(name[2:].split("_")[0]) for name in registry.queries())
-    assert numbers == list(range(1, 11)) and set(registry.oracle_sql()) <= set(registry.queries())
+    assert numbers == list(range(1, 14)) and set(registry.oracle_sql()) <= set(registry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
