@@ -57,12 +57,12 @@ def n_tasks(df: DataFrame) -> int:
 
 def join_spread(rows: DataFrame, totals: DataFrame, key: str, spread: str, how: str = "inner") -> DataFrame:
     """rows joined (inner or left) with totals (a stored table: one row for each key, n: how many of rows have it). Rows of a hot key are
-    dealt out to all tasks by the column spread. Hot are keys with over a thousand rows and over a ten-thousandth of
+    dealt out to all tasks by the column spread; so are rows without a key, which meet nothing. Hot are keys with over a thousand rows and over a ten-thousandth of
     all; so there are fewer than 10,000 of them, which are broadcast."""
     least = max(1_000, (totals.agg(F.sum("n")).first()[0] or 0) // 10_000)
     hot = F.broadcast(totals.filter(F.col("n") > least).select(key, F.lit(True).alias("_hot")))
     salt, every = F.pmod(F.xxhash64(spread), F.lit(n_tasks(rows))), F.sequence(F.lit(0), F.lit(n_tasks(rows) - 1))
-    dealt = rows.join(hot, key, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0).cast("int")).drop("_hot")
+    dealt = rows.join(hot, key, "left").withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), salt).otherwise(0).cast("int")).drop("_hot")
     copied = totals.join(hot, key, "left").withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))).drop("_hot")
     return dealt.join(copied, [key, "_salt"], how).drop("_salt")
 

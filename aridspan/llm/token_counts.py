@@ -4,7 +4,8 @@ once: it is written under a name of its attempt, and one strict rename makes it
 of a batch one wins, one that failed half-way leaves nothing that counts, and a batch that is sent again
 changes nothing. Compaction writes the totals beside the batches; one rename of a manifest, which keeps the
 names of all batches in them, makes these totals count and the old folders not. So a crash at any moment counts
-nothing twice, and old batches may be sent again for ever.
+nothing twice, and old batches may be sent again for ever. That needs a file system whose rename of a file or folder
+is atomic and refuses a name that is taken, as HDFS and local disks have; object stores have none.
 
 Native: counts are made by built-in functions inside the scan. Only a document's counts move, and every
 sum is combined before its shuffle, so a hot source is a few rows by then.
@@ -125,7 +126,11 @@ class Ledger:
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, n_docs, n_tokens over all batches that count."""
         manifest = self._manifest()
-        names = [*([manifest["folder"]] if manifest["folder"] else []), *(f"batch={b}" for b in self._loose(manifest))]
+        return self._sums(manifest, self._loose(manifest))
+
+    def _sums(self, manifest: dict, loose: list[str]) -> DataFrame:
+        """The totals of exactly these: what a manifest holds and the batches beside it."""
+        names = [*([manifest["folder"]] if manifest["folder"] else []), *(f"batch={b}" for b in loose)]
         paths = [f"{self.folder}/{name}" for name in names]
         rows = self.spark.read.schema(DELTA).parquet(*paths) if paths else self.spark.createDataFrame([], DELTA)
         sums = rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
@@ -133,11 +138,13 @@ class Ledger:
 
     def compact(self) -> bool:
         """Puts the totals in place of the batches that count now; False, and no change, if another compaction was first.
-        For times without readers, as folders that no longer count are deleted in the end."""
+        A batch that is committed meanwhile stays beside the totals. For times without readers, as folders that no longer
+        count are deleted in the end."""
         before = self._manifest()
-        names, number = sorted([*before["batches"], *self._loose(before)]), before["number"] + 1
+        loose = self._loose(before)
+        names, number = sorted([*before["batches"], *loose]), before["number"] + 1
         folder = f"totals-{number:08d}-{uuid.uuid4().hex}"
-        self.totals().coalesce(1).write.parquet(f"{self.folder}/{folder}")
+        self._sums(before, loose).coalesce(1).write.parquet(f"{self.folder}/{folder}")
         attempt = f"attempt-{uuid.uuid4().hex}"
         out = self._files.create(self._path(f"{self.folder}/{attempt}"))
         out.write(bytearray(json.dumps({"number": number, "folder": folder, "batches": names}).encode()))

@@ -107,6 +107,42 @@ def test_compaction_counts_nothing_twice(spark, tmp_path, monkeypatch):
     assert total() == [(4, 20)]
 
 
+def test_a_batch_committed_during_a_compaction_counts_once(spark, tmp_path, monkeypatch):
+    ledger = token_counts.Ledger(spark, f"file://{tmp_path}/ledger")
+    counts = spark.createDataFrame([("s", "en", "v", 5)], "source string, lang string, tokenizer string, n_tokens long")
+    total = lambda: [(r.n_docs, r.n_tokens) for r in ledger.totals().collect()]
+    ledger.commit("a", token_counts.deltas(counts, 1))
+    sums = token_counts.Ledger._sums
+
+    def meanwhile(self, manifest, loose):
+        monkeypatch.undo()
+        assert ledger.commit("b", token_counts.deltas(counts, 1))
+        return sums(self, manifest, loose)
+
+    monkeypatch.setattr(token_counts.Ledger, "_sums", meanwhile)
+    assert ledger.compact() and total() == [(2, 10)] and ledger.committed() == ["a", "b"]
+    assert ledger.compact() and total() == [(2, 10)]
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_rows_without_a_key_are_dealt_out(spark, how, monkeypatch):
+    monkeypatch.setattr(common, "n_tasks", lambda df: 8)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        key = F.when(F.col("id") % 3 > 0, F.when(F.col("id") % 3 == 1, 7).otherwise(F.col("id")))  # a third null, a third one key
+        rows = spark.range(60_000).select(key.alias("k"), F.col("id").alias("at"))
+        totals = rows.filter("k IS NOT NULL").groupBy("k").agg(F.count("*").alias("n"))
+        out = common.join_spread(rows, totals, "k", "at", how)
+        held = sorted(r[1] for r in out.groupBy(F.spark_partition_id()).count().collect())
+        assert sum(held) == (60_000 if how == "left" else 40_000) and held[-1] <= 2 * held[len(held) // 2]
+    finally:
+        for key in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"):
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_token_counts(spark, sample, tmp_path):
     got = {tuple(r)[:3]: tuple(r)[3:] for r in token_counts.query(spark, SF_DIR).collect()}
     con = duckdb.connect()
