@@ -14,7 +14,7 @@ from aridspan.config import IndexConfig
 from aridspan.functions.geometry import to_degrees
 from aridspan.functions.names import status_row
 from aridspan.operators import ensemble, grid, indices, inventory, regions
-from aridspan.sources import grid_files
+from aridspan.sources import file_catalogue, grid_files
 
 
 @dataclass
@@ -63,11 +63,22 @@ def run_indices(daily: DataFrame, config: IndexConfig) -> Outcome:
 
 def land(spark: SparkSession, data: str, config: IndexConfig, out: str, variable: str = "pr") -> tuple[DataFrame, DataFrame]:
     """The daily grid and the rejects of the files under data, decoded once and kept as a table under out, by experiment
-    and model."""
-    read = grid_files.read_files(spark, data, variable, config.bounds)
+    and model. Of mounted files a catalogue is kept there too, and only those of the configured experiments and box are opened."""
+    files = file_catalogue.refresh(spark, data, f"{out}/_catalogue", variable, config.experiments) if grid_files.mounted(spark, data) else None
+    picked = None if files is None else file_catalogue.pruned(files, variable, config.experiments, config.bounds)
+    read = grid_files.read_files(spark, data, variable, config.bounds, picked)
     path = f"{out}/_daily"
     read.write.mode("overwrite").partitionBy("experiment", "model").parquet(path)
-    return grid_files.parts_of(spark.read.schema(read.schema).parquet(path))
+    daily, rejects = grid_files.parts_of(spark.read.schema(read.schema).parquet(path))
+    if files is not None:
+        rejects = rejects.unionByName(files.filter("error IS NOT NULL").select(*rejects.columns)).distinct()
+    return daily, rejects
+
+
+def summary_lines(found: DataFrame, rejects: DataFrame, config: IndexConfig) -> list[str]:
+    """Each model's number of files in each experiment that could be used, a line for each model."""
+    counted = inventory.count_by_model_experiment(found, config.experiments, rejects).collect()  # one row for each model
+    return [f"{r.model:30}" + "".join(f" {e}: {r[e]:2d}" for e in config.experiments) for r in counted]
 
 
 def file_lines(found: DataFrame, config: IndexConfig) -> list[str]:
@@ -87,7 +98,8 @@ def run_files(spark: SparkSession, data: str, config: IndexConfig, out: str) ->
     """From files to one NetCDF file with attributes for each index and experiment, ``index/index_ensemble_mean_experiment.nc``
     under out (a folder that the driver mounts), beside the same as a table; returns what is to be said about it."""
     began = time.monotonic()
-    lines = file_lines(grid_files.found_files(spark, data, config.experiments), config)
+    found = grid_files.found_files(spark, data, config.experiments)
+    lines = file_lines(found, config)
     daily, rejects = land(spark, data, config, out)
     lines += [f"{r.file_id}: {r.error}" for r in rejects.orderBy("file_id").collect()]  # a row for each bad file
 
@@ -111,7 +123,7 @@ def run_files(spark: SparkSession, data: str, config: IndexConfig, out: str) ->
             done.tables[name] = index_files(daily, name, config)
         except Exception as error:  # noqa: BLE001  reported by index
             done.errors[name] = f"{type(error).__name__}: {error}"
-    return [*lines, *done.carry_out(write).report(), f"Completed in {time.monotonic() - began:.1f} seconds"]
+    return [*lines, *done.carry_out(write).report(), *summary_lines(found, rejects, config), f"Completed in {time.monotonic() - began:.1f} seconds"]
 
 
 def region_table(files: DataFrame, shapes: DataFrame, experiment: str, weight: str = "none") -> DataFrame:

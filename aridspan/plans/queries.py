@@ -19,7 +19,7 @@ from aridspan.operators import regions as reg
 from aridspan.plans import analog, dispatcher
 from aridspan.plans import oracles as sql
 from aridspan.shipping import shared_folder
-from aridspan.sources import crawl, grid_files
+from aridspan.sources import crawl, file_catalogue, grid_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -546,6 +546,25 @@ def files_rejected(spark, sf_dir):
     return rejects.select("file_id", F.col("error").isNotNull().alias("has_error"))
 
 
+@query(FILES + """ SELECT model, count(DISTINCT file_id) FILTER (experiment = 'historical') AS historical, count(DISTINCT file_id) FILTER (experiment = 'ssp245') AS ssp245
+FROM own GROUP BY model""")
+def files_successful(spark, sf_dir):
+    """Files of each model and experiment that can be used: those found without those that a catalogue rejects."""
+    folder = f"file://{written_files(spark, sf_dir)}"
+    experiments = ["historical", "ssp245"]
+    rejects = file_catalogue.scan(grid_files.listed_files(spark, folder)).filter("error IS NOT NULL").select("file_id", "error")
+    return inventory.count_by_model_experiment(grid_files.found_files(spark, folder, experiments), experiments, rejects)
+
+
+@query(FILES + """ SELECT model, experiment, file_year, min(day) AS first_day, max(day) AS last_day, count(DISTINCT day) AS n_days, min(lat) AS south, max(lat) AS north,
+  min(lon) AS west, max(lon) AS east FROM own WHERE experiment = 'ssp245' GROUP BY ALL""")
+def files_catalogue(spark, sf_dir):
+    """What the headers of one experiment's files say about their axes."""
+    folder = f"file://{written_files(spark, sf_dir)}"
+    files = file_catalogue.pruned(file_catalogue.scan(grid_files.listed_files(spark, folder), "pr", ["ssp245"]), "pr", ["ssp245"], Bounds(-90.0, 90.0, -180.0, 360.0))
+    return files.select("model", "experiment", F.col("file_year").cast("long").alias("file_year"), "first_day", "last_day", F.col("n_days").cast("long").alias("n_days"), "south", "north", "west", "east")
+
+
 @query(FILES + " SELECT model, count(*) FILTER (value >= 9.5) AS n_heavy FROM own WHERE lon BETWEEN 20 AND 28 AND file_year = 1996 AND model <> 'Z' GROUP BY ALL")
 def files_by_data_source(spark, sf_dir):
     """Heavy days by the data source gridnc, with box and year pushed into it."""

@@ -4,7 +4,8 @@ What is read, after the public file format specification: superblocks 0 to 3; ob
 continuations; links in symbol tables, in headers and in fractal heaps; integers, floats and texts; contiguous,
 compact and chunked data (version 1 B-trees), with deflate, shuffle and checksums; attributes in headers and in
 fractal heaps, and texts and references of variable length in global heaps. Anything else (other chunk indices,
-other filters, external files) raises a ValueError that says so.
+other filters, external files) raises a ValueError that says so. A file may be given by ranges; of a chunked variable only
+those chunks are fetched and inflated that meet the region asked for, and only the branches of the chunks' tree that lead there.
 
 Attributes named ``_Netcdf4...``, ``DIMENSION_LIST`` and the like bind variables to dimensions and do not show.
 """
@@ -18,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 
 from aridspan.sources.netcdf3 import Dataset, Variable
+from aridspan.sources.ranges import Ranged, Region, Rows, Stored
 
 SIGNATURE = b"\x89HDF\r\n\x1a\n"
 # fixed values of the file format: message types ...
@@ -51,8 +53,8 @@ class _Type:
 
 
 class _File:
-    def __init__(self, data: bytes) -> None:
-        start = data.find(SIGNATURE, 0, 1 << 16)
+    def __init__(self, data: bytes | Ranged) -> None:
+        start = next((p for p in (0, *(512 << i for i in range(8))) if data[p : p + 8] == SIGNATURE), -1)
         if start < 0:
             raise ValueError("not an HDF5 file")
         self.data, version = data, data[start + 8]
@@ -133,9 +135,19 @@ class _File:
                     for i in range(self.number(node + 2, 2)):
                         entry = node + 4 + i * (2 * self.o + 24)
                         name = names + self.number(entry, self.o)
-                        out[self.data[name : self.data.index(b"\0", name)].decode()] = self.address(entry + self.o)
+                        out[self.text(name)] = self.address(entry + self.o)
         return out
 
+    def text(self, at: int) -> str:
+        """What stands at a place up to a zero."""
+        out = b""
+        while (end := out.find(b"\0")) < 0:
+            more = self.data[at + len(out) : at + len(out) + 64]
+            if not more:
+                raise ValueError("the file is cut off")
+            out += more
+        return out[:end].decode()
+
     def link(self, at: int) -> dict[str, int]:
         flags = self.data[at + 1]
         at += 2
@@ -181,7 +193,7 @@ class _File:
         if kind.base is not None:
             each = [self.sequence(kind, at + i * kind.size) for i in range(n)]
             return each[0] if shape == () or (kind.text and n == 1) else each
-        raw = np.frombuffer(self.data, kind.numpy, n, at)
+        raw = np.frombuffer(self.data[at : at + n * kind.numpy.itemsize], kind.numpy, n)
         if kind.text:
             texts = [x.split(b"\0")[0].decode("utf-8", "replace") for x in raw.tolist()]
             return texts[0] if n == 1 else texts
@@ -301,8 +313,9 @@ class _File:
             else:
                 yield child
 
-    def chunks(self, at: int | None, rank: int) -> Iterator[tuple[tuple[int, ...], int, int, int]]:
-        """(offset, place, stored size, mask of filters left out) of each chunk."""
+    def chunks(self, at: int | None, rank: int, first: slice | None = None) -> Iterator[tuple[tuple[int, ...], int, int, int]]:
+        """(offset, place, stored size, mask of filters left out) of each chunk; of a tree's inner nodes only those branches
+        are followed that may hold an offset within first along the first axis."""
         if at is None:
             return
         place = self.signed(at, b"TREE")
@@ -315,7 +328,9 @@ class _File:
             here = place + i * (key + self.o)
             child = self.address(here + key)
             if level:
-                yield from self.chunks(child, rank)
+                begin, end = self.number(here + 8, 8), self.number(here + key + self.o + 8, 8)
+                if first is None or (begin < first.stop and end >= first.start):
+                    yield from self.chunks(child, rank, first)
             else:
                 yield tuple(self.number(here + 8 + 8 * k, 8) for k in range(rank)), child, self.number(here, 4), self.number(here + 4, 4)
 
@@ -334,7 +349,7 @@ class _File:
             at += 4 * count + (4 if version == 1 and count % 2 else 0)
         return out
 
-    def dataset(self, at: int) -> tuple[np.ndarray, object] | None:
+    def dataset(self, at: int) -> tuple[Stored, object] | None:
         """Values and fill value (None: none) of the object whose header is at a place; None of a group."""
         found = {kind: (m, n) for kind, m, n in self.messages(at)}
         if LAYOUT not in found or TYPE not in found:
@@ -342,32 +357,20 @@ class _File:
         m, n = found[TYPE]
         kind, shape = _Type(self.data[m : m + n]), self.shape(found[SPACE][0])
         if kind.kind not in (0, 1, 3) or shape is None:
-            return np.zeros(shape or (), "V1"), None
+            return Empty(shape or (), np.dtype("V1"), None), None
         fill = self.fill(found[FILL][0], kind) if FILL in found else None
         m = found[LAYOUT][0]
         if self.data[m] not in (3, 4) or self.data[m] == 4 and self.data[m + 1] == 2:
             raise ValueError(f"data layout {self.data[m]} is not read")
-        count = int(np.prod(shape, dtype=np.int64))
         if self.data[m + 1] == 0:
-            return np.frombuffer(self.data, kind.numpy, count, m + 4).reshape(shape), fill
+            return Rows(self.data, kind.numpy, shape, m + 4), fill
         if self.data[m + 1] == 1:
             place = self.address(m + 2)
-            if place is None:
-                return np.full(shape, 0 if fill is None else fill, kind.numpy), fill
-            return np.frombuffer(self.data, kind.numpy, count, place).reshape(shape), fill
+            return (Empty(shape, kind.numpy, fill) if place is None else Rows(self.data, kind.numpy, shape, place)), fill
         rank = self.data[m + 2] - 1
         size = tuple(self.number(m + 3 + self.o + 4 * i, 4) for i in range(rank))
         pipeline = self.filters(found[FILTERS][0]) if FILTERS in found else []
-        values = np.full(shape, 0 if fill is None else fill, kind.numpy)
-        for offset, place, stored, mask in self.chunks(self.address(m + 3), rank):
-            raw = self.data[place : place + stored]
-            for i, (code, parameters) in reversed(list(enumerate(pipeline))):
-                if not mask >> i & 1:
-                    raw = unfiltered(raw, code, parameters)
-            piece = np.frombuffer(raw, kind.numpy, int(np.prod(size, dtype=np.int64))).reshape(size)
-            inside = tuple(slice(a, min(a + s, e)) for a, s, e in zip(offset, size, shape))
-            values[inside] = piece[tuple(slice(0, s.stop - s.start) for s in inside)]
-        return values, fill
+        return Chunks(self, self.address(m + 3), kind.numpy, shape, size, fill, pipeline), fill
 
     def fill(self, at: int, kind: _Type) -> object:
         version = self.data[at]
@@ -376,7 +379,48 @@ class _File:
         else:
             there, place = self.data[at + 1] & 32, at + 2
         n = self.number(place, 4) if there else 0
-        return np.frombuffer(self.data, kind.numpy, 1, place + 4)[0] if n == kind.numpy.itemsize else None
+        return np.frombuffer(self.data[place + 4 : place + 4 + n], kind.numpy)[0] if n == kind.numpy.itemsize else None
+
+
+class Empty(Stored):
+    """An array of which nothing was written: its fill value."""
+
+    def __init__(self, shape: tuple[int, ...], dtype: np.dtype, fill: object) -> None:
+        self.shape, self.dtype, self.filled = shape, dtype, fill
+        self.pieces = (1,) * len(shape)
+
+    def read(self, region: Region | None = None) -> np.ndarray:
+        region = region or tuple(slice(0, n) for n in self.shape)
+        shape = tuple(s.stop - s.start for s in region)
+        return np.zeros(shape, self.dtype) if self.filled is None else np.full(shape, self.filled, self.dtype)
+
+
+class Chunks(Empty):
+    """An array in chunks, each of which may be packed by filters; chunks that are not there hold the fill value."""
+
+    def __init__(self, file: _File, tree: int | None, dtype: np.dtype, shape: tuple[int, ...], size: tuple[int, ...], fill: object, pipeline: list) -> None:
+        super().__init__(shape, dtype, fill)
+        self.file, self.tree, self.pieces, self.pipeline = file, tree, size, pipeline
+
+    def read(self, region: Region | None = None) -> np.ndarray:
+        region = region or tuple(slice(0, n) for n in self.shape)
+        out = super().read(region)
+        if not out.size:
+            return out
+        first = slice(region[0].start - region[0].start % self.pieces[0], region[0].stop)
+        for offset, place, stored, mask in self.file.chunks(self.tree, len(self.shape), first):
+            low = [max(o, r.start) for o, r in zip(offset, region)]
+            high = [min(o + s, r.stop) for o, s, r in zip(offset, self.pieces, region)]
+            if any(a >= b for a, b in zip(low, high)):
+                continue
+            raw = self.file.data[place : place + stored]
+            for i, (code, parameters) in reversed(list(enumerate(self.pipeline))):
+                if not mask >> i & 1:
+                    raw = unfiltered(raw, code, parameters)
+            piece = np.frombuffer(raw, self.dtype, int(np.prod(self.pieces, dtype=np.int64))).reshape(self.pieces)
+            inside = tuple(slice(a - r.start, b - r.start) for a, b, r in zip(low, high, region))
+            out[inside] = piece[tuple(slice(a - o, b - o) for a, b, o in zip(low, high, offset))]
+        return out
 
 
 def unfiltered(raw: bytes, code: int, parameters: list[int]) -> bytes:
@@ -392,8 +436,13 @@ def unfiltered(raw: bytes, code: int, parameters: list[int]) -> bytes:
 
 
 def read(data: bytes, wanted: set[str] | None = None) -> Dataset:
-    """The variables of the root group (wanted: only these) with their dimensions; values come unscaled, in their own
-    types. A dimension is the variable that an axis refers to; axes that refer to nothing take the variable of one
+    """See opened; all values are in memory."""
+    return opened(data, wanted).loaded()
+
+
+def opened(data: bytes | Ranged, wanted: set[str] | None = None) -> Dataset:
+    """The variables of the root group (wanted: only these) with their dimensions; values stay in the file,
+    unscaled, in their own types. A dimension is the variable that an axis refers to; axes that refer to nothing take the variable of one
     dimension with their length, or a name of their own."""
     file = _File(data)
     places = file.links(file.root)

@@ -1,7 +1,5 @@
-"""The classic NetCDF format (CDF-1 and CDF-2), read and written with struct and numpy alone.
-
-Files in the HDF5-based format need netCDF4 or h5py, which are optional; see grid_files.
-"""
+"""The classic NetCDF format (CDF-1 and CDF-2), read and written with struct and numpy alone. ``opened`` reads the
+header and leaves values in the file until a region of them is asked for; ``read`` has them all."""
 
 from __future__ import annotations
 
@@ -10,6 +8,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 
+from aridspan.sources.ranges import Ranged, Rows, Stored
+
 #: External types by their code in the file.
 TYPES = {1: "S1", 2: "S1", 3: ">i2", 4: ">i4", 5: ">f4", 6: ">f8"}
 CODES = {"S": 2, "i1": 1, "i2": 3, "i4": 4, "f4": 5, "f8": 6}
@@ -19,7 +19,7 @@ DIMENSION, VARIABLE, ATTRIBUTE = 10, 11, 12
 @dataclass
 class Variable:
     dimensions: tuple[str, ...]
-    values: np.ndarray
+    values: np.ndarray | Stored
     attributes: dict[str, object] = field(default_factory=dict)
 
 
@@ -29,14 +29,20 @@ class Dataset:
     variables: dict[str, Variable]
     attributes: dict[str, object] = field(default_factory=dict)
 
+    def loaded(self) -> Dataset:
+        """The same with all values in memory."""
+        whole = {n: Variable(v.dimensions, v.values.read() if isinstance(v.values, Stored) else v.values, v.attributes) for n, v in self.variables.items()}
+        return Dataset(self.dimensions, whole, self.attributes)
+
 
 class _Cursor:
-    def __init__(self, data: bytes) -> None:
+    def __init__(self, data: bytes | Ranged) -> None:
         self.data, self.at = data, 0
 
     def number(self, form: str = ">i") -> int:
-        value = struct.unpack_from(form, self.data, self.at)[0]
-        self.at += struct.calcsize(form)
+        size = struct.calcsize(form)
+        value = struct.unpack(form, self.data[self.at : self.at + size])[0]
+        self.at += size
         return value
 
     def padded(self, size: int) -> bytes:
@@ -65,6 +71,11 @@ class _Cursor:
 
 def read(data: bytes) -> Dataset:
     """A dataset from a file's bytes; values come unscaled, in their own types."""
+    return opened(data).loaded()
+
+
+def opened(data: bytes | Ranged) -> Dataset:
+    """The same with its values left where they are."""
     if data[:3] != b"CDF" or data[3] not in (1, 2):
         raise ValueError("not a classic NetCDF file")
     wide = data[3] == 2
@@ -85,13 +96,8 @@ def read(data: bytes) -> Dataset:
     dimensions = {n: records if i in unlimited else size for i, (n, size) in enumerate(sizes)}
     variables = {}
     for name, ids, own, kind, _, begin in headers:
-        shape = [dimensions[sizes[i][0]] for i in ids]
-        if ids and ids[0] in unlimited:
-            count = int(np.prod(shape[1:], dtype=np.int64))
-            rows = [np.frombuffer(data, kind, count, begin + r * step) for r in range(records)]
-            values = np.stack(rows).reshape(shape) if rows else np.zeros(shape, kind)
-        else:
-            values = np.frombuffer(data, kind, int(np.prod(shape, dtype=np.int64)), begin).reshape(shape)
+        shape = tuple(dimensions[sizes[i][0]] for i in ids)
+        values = Rows(data, kind, shape, begin, step if ids and ids[0] in unlimited else None)
         variables[name] = Variable(tuple(sizes[i][0] for i in ids), values, own)
     return Dataset(dimensions, variables, attributes)
 
