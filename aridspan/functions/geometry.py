@@ -1,4 +1,4 @@
-"""Plane geometry in columns: rays against edges, points, and inverse Web Mercator."""
+"""Plane geometry in columns: points and inverse Web Mercator."""
 
 from __future__ import annotations
 
@@ -12,30 +12,6 @@ def point(x: Column, y: Column) -> Column:
     return F.struct(x.alias("x"), y.alias("y"))
 
 
-def crosses(x: Column, y: Column, a: Column, b: Column) -> Column:
-    """Whether the ray from (x, y) to the east meets the edge from a to b; an edge owns its lower end alone."""
-    spans = (a["y"] > y) != (b["y"] > y)
-    return spans & (x < (b["x"] - a["x"]) * (y - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)) + a["x"])
-
-
-def inside(x: Column, y: Column, rings: Column) -> Column:
-    """Even-odd rule over all rings, so that a ring within another is a hole."""
-    of_ring = lambda ring: F.aggregate(
-        F.sequence(F.lit(1), F.size(ring)),
-        F.lit(0),
-        lambda n, i: n
-        + F.coalesce(crosses(x, y, F.element_at(ring, i), F.element_at(ring, i % F.size(ring) + 1)).cast("int"), F.lit(0)),
-    )
-    return F.aggregate(rings, F.lit(0), lambda n, ring: n + of_ring(ring)) % 2 == 1
-
-
-def box(rings: Column) -> Column:
-    """xmin, ymin, xmax, ymax of all rings."""
-    points = F.flatten(rings)
-    x, y = F.transform(points, lambda p: p["x"]), F.transform(points, lambda p: p["y"])
-    return F.struct(F.array_min(x).alias("xmin"), F.array_min(y).alias("ymin"), F.array_max(x).alias("xmax"), F.array_max(y).alias("ymax"))
-
-
 def from_web_mercator(x: Column, y: Column) -> tuple[Column, Column]:
     """Longitude and latitude in degrees of metres in EPSG:3857."""
     return F.degrees(x / EARTH_RADIUS), F.degrees(F.atan(F.sinh(y / EARTH_RADIUS)))

@@ -5,30 +5,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aridspan.functions.geometry import box, inside
+#: Degrees of the rows by which edges meet latitudes, and of the columns by which stretches of a latitude meet its cells.
+ROW, COLUMN = 0.5, 2.0
+#: Latitudes are broadcast while their counted number is under this (8 bytes each).
+MAX_BROADCAST_LATITUDES = 100_000
 
-#: Polygons are small reference data; up to so many of them are broadcast.
-MAX_BROADCAST_REGIONS = 10_000
-#: Degrees of the squares by which cells and polygons meet before rays are cast.
-SQUARE = 2.0
+
+def edges(regions: DataFrame) -> DataFrame:
+    """region_id, x1, y1, x2, y2: a row for each edge of regions (region_id, rings); a ring's last point meets its first."""
+    points = regions.select("region_id", F.explode("rings").alias("ring")).withColumn("n", F.size("ring"))
+    ends = F.transform("ring", lambda p, i: F.struct(p.alias("a"), F.get("ring", F.when(i + 1 < F.col("n"), i + 1).otherwise(0)).alias("b")))
+    pairs = points.select("region_id", F.explode(ends).alias("e"))
+    return pairs.select("region_id", F.col("e.a.x").alias("x1"), F.col("e.a.y").alias("y1"), F.col("e.b.x").alias("x2"), F.col("e.b.y").alias("y2"))
+
+
+def crossings(edges: DataFrame, lats: DataFrame) -> DataFrame:
+    """region_id, lat, x: where edges meet the latitudes of lats (lat, each once); an edge owns its lower end alone. Edges meet
+    latitudes by the rows that they touch, an equi-join, so an edge costs as much as it is high."""
+    row = lambda c: F.floor(c / ROW).cast("int")
+    few = lats.withColumn("_row", row(F.col("lat")))
+    if lats.limit(MAX_BROADCAST_LATITUDES + 1).count() <= MAX_BROADCAST_LATITUDES:
+        few = F.broadcast(few)
+    sloped = edges.filter("y1 <> y2").withColumn("_row", F.explode(F.sequence(row(F.least("y1", "y2")), row(F.greatest("y1", "y2")))))
+    y, y1, y2, x1, x2 = (F.col(c) for c in ("lat", "y1", "y2", "x1", "x2"))
+    met = sloped.join(few, "_row").filter((y2 > y) != (y1 > y))
+    return met.select("region_id", "lat", ((x2 - x1) * (y - y1) / (y2 - y1) + x1).alias("x"))
+
+
+def stretches(crossed: DataFrame) -> DataFrame:
+    """region_id, lat, low, high: the half-open stretches of each latitude inside a region, by the even-odd rule over all of
+    its rings: from its first crossing to the second, from the third to the fourth, and so on."""
+    along = Window.partitionBy("region_id", "lat").orderBy("x")
+    placed = crossed.withColumns({"at": F.row_number().over(along), "high": F.lead("x").over(along)})
+    return placed.filter("at % 2 = 1 AND high > x").select("region_id", "lat", F.col("x").alias("low"), "high")
 
 
 def cell_region(cells: DataFrame, regions: DataFrame) -> DataFrame:
     """lat, lon, region_id of each cell (distinct lat, lon) inside a polygon of regions (region_id, rings). An edge
-    belongs to the polygon above or right of it; where polygons overlap the smallest region_id counts. Cells and
-    polygons meet by the squares that a polygon's box touches, so the join is an equi-join at any size."""
-    at = lambda c: F.floor(c / SQUARE).cast("int")
-    cells = cells.select("lat", "lon").distinct().withColumns({"_x": at(F.col("lon")), "_y": at(F.col("lat"))})
-    regions = regions.select("region_id", "rings", box(F.col("rings")).alias("b"))
-    tiles = regions.withColumn("_x", F.explode(F.sequence(at(F.col("b.xmin")), at(F.col("b.xmax"))))).withColumn(
-        "_y", F.explode(F.sequence(at(F.col("b.ymin")), at(F.col("b.ymax"))))
-    )
-    if regions.limit(MAX_BROADCAST_REGIONS + 1).count() <= MAX_BROADCAST_REGIONS:
-        tiles = F.broadcast(tiles)
-    x, y = F.col("lon"), F.col("lat")
-    hit = cells.join(tiles, ["_x", "_y"]).filter(
-        x.between(F.col("b.xmin"), F.col("b.xmax")) & y.between(F.col("b.ymin"), F.col("b.ymax")) & inside(x, y, F.col("rings"))
-    )
+    belongs to the polygon above or right of it; where polygons overlap the smallest region_id counts. No polygon moves
+    as a whole: it is a row for each edge, then for each crossing of a latitude, then for each stretch and column."""
+    cells = cells.select("lat", "lon").distinct()
+    column = lambda c: F.floor(c / COLUMN).cast("int")
+    inner = stretches(crossings(edges(regions), cells.select("lat").distinct()))
+    inner = inner.withColumn("_column", F.explode(F.sequence(column(F.col("low")), column(F.col("high")))))
+    hit = cells.withColumn("_column", column(F.col("lon"))).join(inner, ["lat", "_column"]).filter("lon >= low AND lon < high")
     return hit.groupBy("lat", "lon").agg(F.min("region_id").alias("region_id"))
 
 

@@ -258,9 +258,15 @@ def map_ticks(spark, sf_dir):
     return reg.legend_ticks(historical_means(spark, sf_dir))
 
 
-@query(f"SELECT city, CAST(lng AS DOUBLE) + CAST(0.1 AS DOUBLE) AS label_x, CAST(lat AS DOUBLE) + CAST(0.1 AS DOUBLE) AS label_y FROM (VALUES {sql.TOWN_ROWS}) t(city, lat, lng, population)")
+@query("SELECT city, x, y, x + CAST(0.1 AS DOUBLE) AS label_x, y + CAST(0.1 AS DOUBLE) AS label_y FROM"
+       " (SELECT s_name AS city, CAST(s_suppkey % 360 AS DOUBLE) - 180 AS x, CAST(s_nationkey AS DOUBLE) * 3 - 36 AS y FROM supplier)")
 def town_labels(spark, sf_dir):
-    return reg.town_labels(analog.towns(spark)).drop("point")
+    """Suppliers as towns: their points and the places of their labels."""
+    place = analog.table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("city"), (F.col("s_suppkey") % 360).cast("double").alias("_x"), F.col("s_nationkey").cast("double").alias("_y")
+    )
+    towns = place.select("city", (F.col("_x") - 180).alias("lng"), (F.col("_y") * 3 - 36).alias("lat"))
+    return reg.town_labels(towns).select("city", "point.x", "point.y", "label_x", "label_y")
 
 
 @query(

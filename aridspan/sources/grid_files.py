@@ -258,9 +258,10 @@ def read_files(
                     if handle is not None:
                         handle.close()
 
-    lines = parts.mapInArrow(rows, schema).withColumn("cells", F.arrays_zip("lon", "value")).drop("lon", "value")
-    whole_names = [*GRID_DAILY.names, "error"]
-    return lines.select("*", F.inline_outer("cells")).select(*whole_names)
+    # by place in the list: zipped lists would make an object of each cell
+    lines = parts.mapInArrow(rows, schema).withColumnsRenamed({"lon": "lons", "value": "values"})
+    cells = lines.select("*", F.posexplode_outer("values").alias("at", "value"))
+    return cells.withColumn("lon", F.get("lons", F.col("at"))).select(*GRID_DAILY.names, "error")
 
 
 def parts_of(read: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 from pyspark.sql import functions as F
 
@@ -35,6 +36,50 @@ def test_shared_edges_belong_to_one_polygon_and_overlaps_to_the_first(spark):
     assert where(spark, made(spark, [right], [right]), [(5.0, 1.0)]) == {(5.0, 1.0): 0}
 
 
+def cast(x, y, rings):
+    """Even-odd rule by one ray to the east."""
+    n = 0
+    for ring in rings:
+        for (ax, ay), (bx, by) in zip(ring, [*ring[1:], *ring[:1]]):
+            n += (ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax
+    return n % 2 == 1
+
+
+def star(rng, n, x, y, r):
+    turns = sorted(rng.random() * 2 * math.pi for _ in range(n))
+    return [(x + r * rng.uniform(0.2, 1) * math.cos(t), y + r * rng.uniform(0.2, 1) * math.sin(t)) for t in turns]
+
+
+def test_masks_of_any_polygons(spark, monkeypatch):
+    rng = random.Random(6)
+    shapes = [[star(rng, rng.randint(3, 40), rng.uniform(-20, 20), rng.uniform(-9, 9), rng.uniform(0.3, 12)) for _ in range(rng.randint(1, 3))] for _ in range(8)]
+    shapes += [[SQUARE, HOLE], [CONCAVE], [[(0.0, 0.0), (0.0, 0.0)]], [[(3.0, 3.0)]], [[]], []]
+    points = [(x / 2, y / 2) for x in range(-50, 50) for y in range(-24, 24)]
+    want = {}
+    for p in points:
+        inside = [i for i, rings in enumerate(shapes) if cast(*p, rings)]
+        if inside:
+            want[p] = inside[0]
+    assert where(spark, made(spark, *shapes), points) == want
+    monkeypatch.setattr(reg, "MAX_BROADCAST_LATITUDES", 0)
+    assert where(spark, made(spark, *shapes), points) == want
+
+
+def test_a_polygon_of_many_vertices_is_a_row_for_each_edge(spark):
+    n = 200_000
+    turn = F.col("id") * (2 * math.pi / n)
+    ring = spark.range(n).select(F.struct((F.cos(turn) * 10 * (1 + F.sin(turn * 500) / 50)).alias("x"), (F.sin(turn) * 10).alias("y")).alias("p"), "id")
+    rings = ring.agg(F.transform(F.sort_array(F.collect_list(F.struct("id", "p"))), lambda s: s["p"]).alias("ring"))
+    shape = rings.select(F.lit(7).alias("region_id"), F.array("ring").alias("rings")).cache()
+    lats = spark.range(-40, 41).select((F.col("id") / 4).alias("lat"))
+    assert reg.edges(shape).count() == n
+    assert reg.crossings(reg.edges(shape), lats).count() < 50 * 81  # not a row for each edge and latitude
+    cells = lats.crossJoin(spark.range(-48, 49).select((F.col("id") / 4).alias("lon")))
+    got = reg.cell_region(cells, shape)
+    near = {(r.lat, r.lon) for r in got.collect()}
+    assert all(((y, x) in near) == (x * x + y * y < 100) for y in (0.0, 2.5, -7.25) for x in (0.0, 3.0, -11.5, 11.5) if abs(x * x + y * y - 100) > 12)
+
+
 def test_means_ranks_and_merges(spark):
     regions = made(spark, [SQUARE], [CONCAVE], [[(50.0, 50.0), (51.0, 50.0), (51.0, 51.0)]])
     mask = reg.cell_region(spark.createDataFrame([(0.5, 0.5), (3.0, 3.5), (0.5, 12.0)], "lat double, lon double"), regions)
