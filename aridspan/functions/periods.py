@@ -42,6 +42,18 @@ def day_in_period(day: Column, start: Column, calendar: Column) -> Column:
     return F.datediff(day, start) - F.when((calendar == "noleap") & (day > leap), 1).otherwise(0)
 
 
+def day_number(day: Column, calendar: Column) -> Column:
+    """A number that grows by one from each day of a calendar to the next, over years; of a 360-day calendar the days after
+    28 February may share a date, and then a number."""
+    year, leap = F.year(day), F.make_date(F.year(day), F.lit(3), F.lit(1))
+    before = F.dayofyear(day) - F.when((F.dayofyear(leap) == 61) & (day >= leap), 1).otherwise(0)
+    return (
+        F.when(calendar == "360_day", (year * 12 + F.month(day) - 1) * 30 + F.least(F.dayofmonth(day), F.lit(30)))
+        .when(calendar == "noleap", year * 365 + before)
+        .otherwise(F.datediff(day, F.lit("1970-01-01").cast("date")))
+    )
+
+
 def expected_days(start: Column, code: str, calendar: Column) -> Column:
     """Days of the period that begins at start, by calendar: standard, noleap, or 360_day."""
     months = period_months(code)

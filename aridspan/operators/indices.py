@@ -7,8 +7,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aridspan.functions.periods import day_in_period, expected_days, period_start
-from aridspan.operators.spells import longest_run
+from aridspan.functions.periods import day_in_period, day_number, expected_days, period_start
+from aridspan.operators.spells import day_bits, longest_run, merged_bits, spells_of
 
 
 @dataclass(frozen=True)
@@ -68,3 +68,33 @@ def index_by_period(grid: DataFrame, spec: IndexSpec, period: str = "YS", bounda
     if boundary == "series":
         out = out.withColumn("file_id", F.lit(None).cast("string"))
     return out.select("experiment", "model", "file_id", "lat", "lon", "period_start", "value")
+
+
+#: What one series is in the three uses of an index's state.
+FILE_PERIOD = ["experiment", "model", "file_id", "lat", "lon", "period_start", "calendar"]
+SERIES = ["experiment", "model", "lat", "lon"]
+
+
+def whole_series(grid: DataFrame, spec: IndexSpec) -> DataFrame:
+    """experiment, model, lat, lon, value, n_valid: an index over all days of a series, whatever files they lie in, without
+    periods: a run may be longer than a year, and passes from one file to the next."""
+    rows = grid.withColumn("_number", day_number(F.col("day"), F.col("calendar")))
+    found = spells_of(day_bits(rows, SERIES, spec.hit(F.col("value")), "_number"), SERIES)
+    value = F.col("n_hits" if spec.reducer == "count" else "longest").cast("double")
+    return found.select(*SERIES, F.when(F.col("n_valid") > 0, value).alias("value"), "n_valid")
+
+
+def index_state(grid: DataFrame, spec: IndexSpec, period: str = "YS") -> DataFrame:
+    """FILE_PERIOD and the words of spells.day_bits: what is known about each file and period from some of its days. States of
+    other days of the same file, in any order, and repeated ones merge with it, see index_of_state."""
+    rows = grid.withColumn("period_start", period_start(F.col("day"), period))
+    return day_bits(rows, FILE_PERIOD, spec.hit(F.col("value")))
+
+
+def index_of_state(state: DataFrame, spec: IndexSpec, period: str = "YS") -> DataFrame:
+    """The same as index_by_period with boundary ``file`` of all rows whose states are in state."""
+    found = spells_of(merged_bits(state, FILE_PERIOD), FILE_PERIOD)
+    value = F.col("n_hits" if spec.reducer == "count" else "longest").cast("double")
+    if spec.missing == "any":
+        value = F.when(F.col("n_valid") >= expected_days(F.col("period_start"), period, F.col("calendar")), value)
+    return found.select("experiment", "model", "file_id", "lat", "lon", "period_start", value.alias("value"))

@@ -101,6 +101,27 @@ def cdd_seasonal(spark, sf_dir):
     return periods(spark, sf_dir, "cdd", "QS-DEC")
 
 
+@query(sql.grid() + f""", days AS (SELECT experiment, model, lat, lon, day, value, coalesce({sql.DRY}, false) AS hit FROM grid
+), islands AS (
+  SELECT *, row_number() OVER (PARTITION BY experiment, model, lat, lon ORDER BY day)
+    - row_number() OVER (PARTITION BY experiment, model, lat, lon, hit ORDER BY day) AS island FROM days
+), runs AS (SELECT experiment, model, lat, lon, hit, island, count(*) AS n, count(value) AS v FROM islands GROUP BY ALL)
+SELECT experiment, model, lat, lon, CAST(coalesce(max(n) FILTER (hit), 0) AS DOUBLE) AS value, CAST(sum(v) AS BIGINT) AS n_valid
+FROM runs GROUP BY ALL HAVING sum(v) > 0""")
+def cdd_whole_series(spark, sf_dir):
+    """The longest dry spell over all years of a series, from one file to the next."""
+    return indices.whole_series(analog.grid(spark, sf_dir), indices.spec_of("cdd")).filter("value IS NOT NULL")
+
+
+@query(sql.grid() + sql.spells(sql.DRY, "YS") + sql.PERIODS)
+def cdd_annual_by_state(spark, sf_dir):
+    """Yearly spells from states of parts of the days: every other day, most days, and the rest, merged."""
+    grid = analog.grid(spark, sf_dir)
+    spec, n = indices.spec_of("cdd"), F.dayofyear("day")
+    parts = [indices.index_state(grid.filter(part), spec) for part in (n % 2 == 0, n % 3 != 1, (n % 2 != 0) & (n % 3 == 1))]
+    return indices.index_of_state(parts[0].unionByName(parts[1]).unionByName(parts[2]), spec)
+
+
 @query(sql.grid() + sql.spells(sql.DRY, "QS-DEC", boundary="series") + sql.PERIODS)
 def cdd_seasonal_series(spark, sf_dir):
     return periods(spark, sf_dir, "cdd", "QS-DEC", boundary="series")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -39,7 +40,7 @@ GOLDENS = {
 }
 
 
-@pytest.mark.parametrize("form", ["bits", "fold", "lag", "islands"])
+@pytest.mark.parametrize("form", ["bits", "blocks", "fold", "lag", "islands"])
 def test_longest_runs(spark, form):
     frame = None
     for name, (values, *_) in GOLDENS.items():
@@ -117,11 +118,50 @@ def test_period_starts(spark):
 @given(st.lists(st.one_of(st.none(), st.floats(0, 20)), min_size=1, max_size=40))
 def test_forms_agree_and_thresholds_order(spark, values):
     frame = series(spark, values).repartition(2)
-    runs = [longest_run(frame, ["file_id"], F.col("value") < 1.0, form=f).first().run for f in ("bits", "fold", "lag", "islands")]
+    runs = [longest_run(frame, ["file_id"], F.col("value") < 1.0, form=f).first().run for f in ("bits", "blocks", "fold", "lag", "islands")]
     assert len(set(runs)) == 1 and runs[0] <= len(values)
     assert longest_run(frame, ["file_id"], F.col("value") < 5.0).first().run >= runs[0]
 
 
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.booleans(), st.sampled_from([1, 3, 60, 447, 448, 449, 896, 1000])), min_size=1, max_size=6), st.integers(-2000, 2000), st.sampled_from([0, 5, 448]))
+def test_blocks_join_runs_of_any_length(spark, parts, start, hole):
+    days, at = [], start
+    for dry, n in parts:
+        days += [(at + i, 0.0 if dry else 9.0) for i in range(n)]
+        at += n + (hole if dry else 0)
+    frame = spark.createDataFrame([(1, d, v) for d, v in days], "k int, day_ordinal int, value double").repartition(3)
+    got = longest_run(frame, ["k"], F.col("value") < 1.0, form="blocks").first()
+    assert (got.run, got.n_valid) == tuple(longest_run(frame, ["k"], F.col("value") < 1.0, form="islands").first())[1:]
+
+
+def test_a_series_passes_from_file_to_file(spark):
+    files = [series(spark, [0.0] * n, first=f"{y}-01-01", file=f"f{y}", calendar=c, lat=lat) for y, n in ((2003, 365), (2004, 366), (2005, 365)) for c, lat in (("standard", 1.0),)]
+    files += [series(spark, [0.0] * 365, first=f"{y}-01-01", file=f"n{y}", calendar="noleap", lat=2.0) for y in (2003, 2005)]
+    leap = spark.createDataFrame([(dt.date(2004, 1, 1) + dt.timedelta(days=i),) for i in range(366) if i != 59], "day date")
+    late = series(spark, [0.0], calendar="noleap", lat=2.0, file="n2004").drop("day").crossJoin(leap).select(*files[0].columns)
+    rows = files[0]
+    for f in [*files[1:], late]:
+        rows = rows.unionByName(f)
+    got = {r.lat: (r.value, r.n_valid) for r in indices.whole_series(rows, indices.CDD).collect()}
+    assert got == {1.0: (1096.0, 1096), 2.0: (1095.0, 1095)}
+    counts = {r.lat: r.value for r in indices.whole_series(rows, indices.R10MM).collect()}
+    assert counts == {1.0: 0.0, 2.0: 0.0}
+
+
+def test_states_of_parts_merge(spark):
+    rng = random.Random(8)
+    full = series(spark, [rng.choice([0.0, 0.0, 0.5, 12.0, None]) for _ in range(900)], first="2001-01-01", file="a").unionByName(series(spark, [0.0] * 365, first="2001-01-01", file="b"))
+    parts = [full.filter(F.pmod(F.hash("day", "file_id"), F.lit(3)) != k) for k in range(3)]  # every day is in two of them
+    for spec in (indices.CDD, indices.R10MM):
+        state = None
+        for p in parts:
+            one = indices.index_state(p, spec, "MS")
+            state = one if state is None else state.unionByName(one)
+        rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+        assert rows(indices.index_of_state(state, spec, "MS")) == rows(indices.index_by_period(full, spec, "MS"))
+
+
 def test_means_weigh_files_or_models(spark):
     rows = [("e", "A", "a1", 1.0), ("e", "A", "a2", 3.0), ("e", "A", "a3", 5.0), ("e", "B", "b1", 9.0), ("e", "B", "b2", None)]
     frame = spark.createDataFrame([(e, m, f, 0.0, 0.0, v) for e, m, f, v in rows], "experiment string, model string, file_id string, lat double, lon double, value double")

@@ -13,7 +13,7 @@ from aridspan.operators import indices
 from aridspan.plans import dispatcher
 from aridspan.schemas import CATALOG, GRID_DAILY, REGIONS
 from aridspan.sources import grid_files, netcdf3, shapefile, tables
-from aridspan.streaming.arrivals import arrivals, heavy_days, index_files
+from aridspan.streaming.arrivals import arrivals, fold_state, heavy_days, index_files, index_so_far
 from tests import hdf5_writer
 
 
@@ -157,15 +157,24 @@ def test_grid_store_prunes(spark, tmp_path):
 
 
 def test_streaming(spark, tmp_path):
-    daily(spark, 365).write.parquet(f"{tmp_path}/in")
-    query = index_files(arrivals(spark, f"{tmp_path}/in"), "cdd", f"{tmp_path}/out", f"{tmp_path}/check")
-    query.awaitTermination()
-    got = spark.read.parquet(f"{tmp_path}/out").first()
-    assert got.value == indices.index_by_period(daily(spark, 365), indices.CDD).first().value == 1.0
-    stream = heavy_days(arrivals(spark, f"{tmp_path}/in"))
+    whole = daily(spark, 365)
+    parts = [whole.filter("day_ordinal < 100"), whole.filter("day_ordinal BETWEEN 90 AND 250"), whole.filter("day_ordinal > 240")]  # some days come twice
+    for i, part in enumerate(parts):
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        index_files(arrivals(spark, f"{tmp_path}/in", 1), "cdd", f"{tmp_path}/out", f"{tmp_path}/check").awaitTermination()
+        got = [r.value for r in index_so_far(spark, "cdd", f"{tmp_path}/out").collect()]
+        assert got == ([None] if i < 2 else [1.0])  # a year with missing days is missing
+    assert len(list((tmp_path / "out").glob("batch=*"))) == 3
+    want = indices.index_by_period(whole, indices.CDD, "MS").count()
+    assert want == 12 and indices.index_by_period(whole, indices.CDD).first().value == 1.0
+    fold_state(spark, f"{tmp_path}/out", f"{tmp_path}/folded")
+    assert index_so_far(spark, "cdd", f"{tmp_path}/folded").first().value == 1.0 and spark.read.parquet(f"{tmp_path}/folded").count() == 1
+    whole.unionByName(whole.withColumn("experiment", F.lit("ssp585"))).write.parquet(f"{tmp_path}/two")
+    stream = heavy_days(arrivals(spark, f"{tmp_path}/two"))
     query = stream.writeStream.format("memory").queryName("heavy").outputMode("complete").trigger(availableNow=True).start()
     query.awaitTermination()
-    assert spark.table("heavy").agg(F.sum("n_days")).first()[0] == sum(i % 12 >= 10 for i in range(365))
+    found = {r.experiment: r.n for r in spark.table("heavy").groupBy("experiment").agg(F.sum("n_days").alias("n")).collect()}
+    assert found == dict.fromkeys(("historical", "ssp585"), sum(i % 12 >= 10 for i in range(365)))
 
 
 def test_command_line(spark, tmp_path, capsys):
