@@ -31,6 +31,8 @@ SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, rejecte
 
 #: Buckets of subwords, embedding size, passes over the sample, step size.
 BUCKETS, SIZE, EPOCHS, RATE = 1 << 17, 16, 6, 0.5
+#: The most that a step may move a text's own logits for each unit of their error.
+STEP = 8.0
 #: The sample for training: about so many documents of a language, of at most so many characters.
 SAMPLE, SAMPLE_CHARS = 1_500, 20_000
 #: The share of rightly predicted calibration rows that may be rejected, and how many standard deviations below the mean
@@ -128,6 +130,8 @@ def train(rows: list[tuple[str, str, bool]], seed: int = 7) -> Model:
             v = share @ table_[keys]
             wrong = softmax(v @ weights)
             wrong[y] -= 1
+            # a step that moves this text's own logits too far would be answered by a longer one: texts of one word diverge
+            rate = min(rate, np.float32(STEP / (v @ v + share @ share * np.square(weights).sum() + 1e-12)))
             back = weights @ wrong
             weights -= rate * np.outer(v, wrong)
             table_[keys] -= rate * (share[:, None] * back)
