@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aridspan.functions.attributes import reduced
+
 
 def time_mean(index: DataFrame) -> DataFrame:
     """experiment, model, file_id, lat, lon, value: the mean of a cell's periods within a file, nulls skipped."""
-    return index.groupBy("experiment", "model", "file_id", "lat", "lon").agg(F.avg("value").alias("value"))
+    return reduced(index.groupBy("experiment", "model", "file_id", "lat", "lon").agg(F.avg("value").alias("value")), index, "time: mean")
 
 
 def drop_empty_files(index_file: DataFrame) -> DataFrame:
@@ -26,7 +28,7 @@ def ensemble_mean(index_file: DataFrame, by: str = "files") -> DataFrame:
         weight = F.sum("n")
     elif by != "files":
         raise ValueError(f"unknown ensemble {by!r}")
-    return rows.groupBy("experiment", "lat", "lon").agg(F.avg("value").alias("value"), weight.alias("n_files"))
+    return reduced(rows.groupBy("experiment", "lat", "lon").agg(F.avg("value").alias("value"), weight.alias("n_files")), index_file, "model: mean")
 
 
 def models_included(index_file: DataFrame) -> DataFrame:

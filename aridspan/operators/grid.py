@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aridspan.config import Bounds
+from aridspan.functions.attributes import MM_A_DAY, attributes_of, described
 from aridspan.schemas import GRID_DAILY, GRID_PARTITIONS
 
 #: Seconds of a day: kg m-2 s-1 to mm a day.
@@ -26,11 +27,12 @@ def files_without(grid: DataFrame, variable: str = "pr") -> DataFrame:
 
 def nan_to_null(grid: DataFrame, column: str = "value") -> DataFrame:
     """Missing values as nulls, so that they compare false and aggregates skip them."""
-    return grid.withColumn(column, F.when(~F.isnan(column), F.col(column)))
+    return described(grid.withColumn(column, F.when(~F.isnan(column), F.col(column))), attributes_of(grid, column), column)
 
 
 def convert_units(grid: DataFrame, factor: float = FLUX_TO_MM) -> DataFrame:
-    return grid.withColumn("value", F.col("value") * F.lit(factor))
+    """From the flux to millimetres a day."""
+    return described(grid.withColumn("value", F.col("value") * F.lit(factor)), MM_A_DAY)
 
 
 def in_box(grid: DataFrame, bounds: Bounds) -> DataFrame:

@@ -1,4 +1,5 @@
-"""Precipitation indices by cell and calendar period, from a registry that can be added to."""
+"""Precipitation indices by cell and calendar period, from a registry that can be added to. The grid's value must say that it
+is in mm/day (functions.attributes), as what the readers give does."""
 
 from __future__ import annotations
 
@@ -7,6 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aridspan.functions.attributes import described, require_units
 from aridspan.functions.periods import day_in_period, day_number, expected_days, period_start
 from aridspan.operators.spells import day_bits, longest_run, merged_bits, spells_of
 
@@ -28,6 +30,10 @@ class IndexSpec:
         t = F.lit(float(self.threshold))
         return {"<": value < t, "<=": value <= t, ">": value > t, ">=": value >= t}[self.compare]
 
+    def attributes(self) -> dict[str, str]:
+        """Of the index's values."""
+        return {"units": "days", "long_name": self.title or self.name, "cell_methods": "time: maximum" if self.reducer == "run" else "time: sum"}
+
 
 REGISTRY: dict[str, IndexSpec] = {}
 
@@ -51,6 +57,7 @@ def spec_of(name: str, threshold: float | None = None) -> IndexSpec:
 def index_by_period(grid: DataFrame, spec: IndexSpec, period: str = "YS", boundary: str = "file", form: str = "bits") -> DataFrame:
     """experiment, model, file_id, lat, lon, period_start, value. boundary: ``file`` treats each file alone, so a season
     that spans two files gives two rows; ``series`` joins the files of a model and experiment (file_id is then null)."""
+    require_units(grid, "mm/day")
     keys = ["experiment", "model", *(["file_id"] if boundary == "file" else []), "lat", "lon", "period_start"]
     rows = grid.withColumn("period_start", period_start(F.col("day"), period))
     order = "day_ordinal"
@@ -67,7 +74,7 @@ def index_by_period(grid: DataFrame, spec: IndexSpec, period: str = "YS", bounda
     out = found.withColumn("value", value)
     if boundary == "series":
         out = out.withColumn("file_id", F.lit(None).cast("string"))
-    return out.select("experiment", "model", "file_id", "lat", "lon", "period_start", "value")
+    return described(out.select("experiment", "model", "file_id", "lat", "lon", "period_start", "value"), spec.attributes())
 
 
 #: What one series is in the three uses of an index's state.
@@ -78,16 +85,16 @@ SERIES = ["experiment", "model", "lat", "lon"]
 def whole_series(grid: DataFrame, spec: IndexSpec) -> DataFrame:
     """experiment, model, lat, lon, value, n_valid: an index over all days of a series, whatever files they lie in, without
     periods: a run may be longer than a year, and passes from one file to the next."""
-    rows = grid.withColumn("_number", day_number(F.col("day"), F.col("calendar")))
+    rows = require_units(grid, "mm/day").withColumn("_number", day_number(F.col("day"), F.col("calendar")))
     found = spells_of(day_bits(rows, SERIES, spec.hit(F.col("value")), "_number"), SERIES)
     value = F.col("n_hits" if spec.reducer == "count" else "longest").cast("double")
-    return found.select(*SERIES, F.when(F.col("n_valid") > 0, value).alias("value"), "n_valid")
+    return described(found.select(*SERIES, F.when(F.col("n_valid") > 0, value).alias("value"), "n_valid"), spec.attributes())
 
 
 def index_state(grid: DataFrame, spec: IndexSpec, period: str = "YS") -> DataFrame:
     """FILE_PERIOD and the words of spells.day_bits: what is known about each file and period from some of its days. States of
     other days of the same file, in any order, and repeated ones merge with it, see index_of_state."""
-    rows = grid.withColumn("period_start", period_start(F.col("day"), period))
+    rows = require_units(grid, "mm/day").withColumn("period_start", period_start(F.col("day"), period))
     return day_bits(rows, FILE_PERIOD, spec.hit(F.col("value")))
 
 
@@ -97,4 +104,4 @@ def index_of_state(state: DataFrame, spec: IndexSpec, period: str = "YS") -> Dat
     value = F.col("n_hits" if spec.reducer == "count" else "longest").cast("double")
     if spec.missing == "any":
         value = F.when(F.col("n_valid") >= expected_days(F.col("period_start"), period, F.col("calendar")), value)
-    return found.select("experiment", "model", "file_id", "lat", "lon", "period_start", value.alias("value"))
+    return described(found.select("experiment", "model", "file_id", "lat", "lon", "period_start", value.alias("value")), spec.attributes())

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aridspan.functions.attributes import MM_A_DAY, described
+
 FIRST_DAY, LAST_DAY, LAST_HISTORICAL = "1995-01-01", "2000-12-31", 1997
 
 #: Hand-made polygons over the grid's coordinates: a square, a concave one, one with a hole, one that
@@ -58,7 +60,7 @@ def grid(spark: SparkSession, sf_dir: str, filled: bool = True, place: str = "s_
     rows = models.crossJoin(cells).crossJoin(days).join(observed, ["model", "cell", "day"], "left")
     year = F.year("day")
     value = F.coalesce("pr", F.lit(0.0)) if filled else F.col("pr")
-    return rows.select(
+    cells = rows.select(
         "model", experiment_of(year).alias("experiment"), F.lit("pr").alias("variable"), F.lit("r1i1p1f1").alias("run"),
         F.lit("gn").alias("grid_label"), year.alias("file_year"), F.concat_ws("_", "model", year.cast("string")).alias("file_id"),
         F.lit("standard").alias("calendar"),
@@ -66,6 +68,7 @@ def grid(spark: SparkSession, sf_dir: str, filled: bool = True, place: str = "s_
         "day", F.dayofyear("day").alias("day_ordinal"), value.cast("double").alias("value"),
         F.floor(F.col("cell") / 5).cast("int").alias("lat_idx"), (F.col("cell") % 5).cast("int").alias("lon_idx"),
     )
+    return described(cells, MM_A_DAY)
 
 
 def regions(spark: SparkSession) -> DataFrame:

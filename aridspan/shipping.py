@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ship(spark: SparkSession) -> SparkSession:
@@ -36,6 +36,13 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df computed once, as a table below shared_dir."""
+    path = f"{shared_dir(df.sparkSession)}/aridspan/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below shared_dir, for files that are written and read as files of a mounted folder."""
     folder = shared_dir(spark)

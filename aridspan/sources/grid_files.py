@@ -28,6 +28,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
 from aridspan.config import Bounds
+from aridspan.functions.attributes import described, of_variable
 from aridspan.functions.names import EXPERIMENT, FILE_NAME, path_model
 from aridspan.functions.units import mm_factor
 from aridspan.schemas import GRID_DAILY, REJECTS
@@ -78,6 +79,19 @@ def dates(variable: netcdf3.Variable) -> tuple[list[dt.date], str]:
     return out, calendar
 
 
+def days_before(day: dt.date, n: int, calendar: str) -> str:
+    """The date, as of a calendar, n days before a day."""
+    if calendar == "standard":
+        return str(day - dt.timedelta(days=n))
+    lengths = [30] * 12 if calendar == "360_day" else [31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31]
+    at, month = sum(lengths[: day.month - 1]) + day.day - 1 - n, 0
+    year, at = day.year + at // sum(lengths), at % sum(lengths)
+    while at >= lengths[month]:
+        at -= lengths[month]
+        month += 1
+    return f"{year:04d}-{month + 1:02d}-{at + 1:02d}"
+
+
 Box = dict[str, tuple[float, float]]
 
 
@@ -261,7 +275,7 @@ def read_files(
     # by place in the list: zipped lists would make an object of each cell
     lines = parts.mapInArrow(rows, schema).withColumnsRenamed({"lon": "lons", "value": "values"})
     cells = lines.select("*", F.posexplode_outer("values").alias("at", "value"))
-    return cells.withColumn("lon", F.get("lons", F.col("at"))).select(*GRID_DAILY.names, "error")
+    return described(cells.withColumn("lon", F.get("lons", F.col("at"))).select(*GRID_DAILY.names, "error"), of_variable(variable))
 
 
 def parts_of(read: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -335,7 +349,8 @@ class GridSource(DataSource):
         return "gridnc"
 
     def schema(self) -> StructType:
-        return GRID_DAILY
+        about = of_variable(self.options.get("variable", "pr"))
+        return StructType([StructField(f.name, f.dataType, True, about if f.name == "value" else None) for f in GRID_DAILY.fields])
 
     def reader(self, schema: StructType) -> GridReader:
         return GridReader(self.options["path"].removeprefix("file://"), self.options.get("variable", "pr"), self.options.get("errors", "raise") == "skip")

@@ -129,21 +129,31 @@ def _attributes(attributes: dict[str, object]) -> bytes:
     return out
 
 
-def write(dataset: Dataset) -> bytes:
-    """A CDF-2 file without an unlimited dimension."""
-    names = list(dataset.dimensions)
+def laid_out(dimensions: dict[str, int], variables: dict[str, tuple[tuple[str, ...], np.dtype, dict[str, object]]], attributes: dict[str, object]) -> tuple[bytes, dict[str, int], int]:
+    """The header of a CDF-2 file without an unlimited dimension, where each variable's values begin, and the file's size;
+    variables: dimensions, type, attributes."""
+    names = list(dimensions)
     head = b"CDF\2" + struct.pack(">i", 0) + struct.pack(">ii", DIMENSION if names else 0, len(names))
-    head += b"".join(_name(n) + struct.pack(">i", dataset.dimensions[n]) for n in names) + _attributes(dataset.attributes)
-    head += struct.pack(">ii", VARIABLE if dataset.variables else 0, len(dataset.variables))
-    parts, raws = [], []
-    for name, v in dataset.variables.items():
-        code = _code(v.values)
-        raw = _pad(v.values.astype(TYPES[code]).tobytes())
-        ids = struct.pack(f">i{len(v.dimensions)}i", len(v.dimensions), *(names.index(d) for d in v.dimensions))
-        parts.append(_name(name) + ids + _attributes(v.attributes) + struct.pack(">ii", code, len(raw)))
-        raws.append(raw)
+    head += b"".join(_name(n) + struct.pack(">i", dimensions[n]) for n in names) + _attributes(attributes)
+    head += struct.pack(">ii", VARIABLE if variables else 0, len(variables))
+    parts, sizes = [], []
+    for name, (dims, kind, own) in variables.items():
+        code = CODES["S" if kind.kind == "S" else f"{kind.kind}{kind.itemsize}"]
+        size = -(-int(np.prod([dimensions[d] for d in dims], dtype=np.int64)) * np.dtype(TYPES[code]).itemsize // 4) * 4
+        ids = struct.pack(f">i{len(dims)}i", len(dims), *(names.index(d) for d in dims))
+        parts.append(_name(name) + ids + _attributes(own) + struct.pack(">iI", code, min(size, 2**32 - 1)))
+        sizes.append(size)
     at = len(head) + sum(len(p) + 8 for p in parts)
-    for part, raw in zip(parts, raws):
+    begins = {}
+    for name, part, size in zip(variables, parts, sizes):
         head += part + struct.pack(">q", at)
-        at += len(raw)
-    return head + b"".join(raws)
+        begins[name] = at
+        at += size
+    return head, begins, at
+
+
+def write(dataset: Dataset) -> bytes:
+    """A CDF-2 file without an unlimited dimension."""
+    about = {n: (v.dimensions, v.values.dtype, v.attributes) for n, v in dataset.variables.items()}
+    head, _, _ = laid_out(dataset.dimensions, about, dataset.attributes)
+    return head + b"".join(_pad(v.values.astype(TYPES[_code(v.values)]).tobytes()) for v in dataset.variables.values())

@@ -12,14 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from aridspan.functions.attributes import MM_A_DAY, described
 from aridspan.operators import indices
 from aridspan.operators.spells import merged_bits
 from aridspan.schemas import GRID_DAILY
 
 
 def arrivals(spark: SparkSession, path: str, files_per_batch: int = 64) -> DataFrame:
-    """The daily grid of Parquet files under path, as they appear."""
-    return spark.readStream.schema(GRID_DAILY).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    """The daily grid of precipitation in Parquet files under path, as they appear."""
+    return described(spark.readStream.schema(GRID_DAILY).option("maxFilesPerTrigger", files_per_batch).parquet(path), MM_A_DAY)
 
 
 def heavy_days(stream: DataFrame, threshold: float = 10.0, window: str = "30 days", late: str = "60 days") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from aridspan.functions.periods import expected_days, period_code, period_start
 from aridspan.operators import ensemble, indices
+from aridspan.functions.attributes import MM_A_DAY, attributes_of, described
 from aridspan.operators.grid import FLUX_TO_MM, convert_units, every_nth, files_without, in_box, nan_to_null, null_guard, require_variable
 from aridspan.operators.spells import longest_run
 from aridspan.config import Bounds
@@ -24,7 +25,7 @@ def series(spark, values, first="2001-06-01", file="f", model="A", calendar="sta
         (model, "historical", "pr", "r1i1p1f1", "gn", start.year, file, calendar, lat, lon, start + dt.timedelta(days=i), i, None if v is None else float(v))
         for i, v in enumerate(values)
     ]
-    return spark.createDataFrame(rows, GRID_DAILY)
+    return described(spark.createDataFrame(rows, GRID_DAILY), MM_A_DAY)
 
 
 GOLDENS = {
@@ -190,6 +191,22 @@ def test_grid_filters(spark):
     assert every_nth(cells, 2).count() == 4 and every_nth(cells, 1).count() == 16
 
 
+def test_attributes_travel(spark, tmp_path):
+    frame = series(spark, [0.0] * 365, first="2001-01-01")
+    files = ensemble.time_mean(indices.index_by_period(in_box(require_variable(frame), Bounds(-90, 90, 0, 90)), indices.CDD))
+    means = ensemble.ensemble_mean(files)
+    assert attributes_of(means) == {"units": "days", "long_name": "Max Consecutive Dry Days", "cell_methods": "time: maximum time: mean model: mean"}
+    means.write.parquet(f"{tmp_path}/m")
+    assert attributes_of(spark.read.parquet(f"{tmp_path}/m")) == attributes_of(means)
+    assert attributes_of(nan_to_null(frame.unionByName(frame))) == MM_A_DAY
+    flux = described(frame, {"units": "kg m-2 s-1"})
+    for bad in (flux, described(frame, {})):
+        for index in (indices.index_by_period, indices.whole_series, indices.index_state):
+            with pytest.raises(ValueError, match="mm/day"):
+                index(bad, indices.CDD)
+    assert attributes_of(convert_units(flux)) == MM_A_DAY
+
+
 def test_registry():
     assert indices.spec_of("cdd", 2.0).threshold == 2.0
     with pytest.raises(KeyError):

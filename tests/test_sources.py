@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import struct
 
 import numpy as np
@@ -12,6 +13,7 @@ from aridspan.operators import grid as gridops
 from aridspan.operators import indices
 from aridspan.plans import dispatcher
 from aridspan.schemas import CATALOG, GRID_DAILY, REGIONS
+from aridspan.functions.attributes import MM_A_DAY, described
 from aridspan.sources import grid_files, netcdf3, shapefile, tables
 from aridspan.streaming.arrivals import arrivals, fold_state, heavy_days, index_files, index_so_far
 from tests import hdf5_writer
@@ -146,7 +148,39 @@ def daily(spark, days, file="f"):
         F.lit(2001).alias("file_year"), F.lit(file).alias("file_id"), F.lit("standard").alias("calendar"), F.lit(-30.0).alias("lat"), F.lit(20.0).alias("lon"),
         F.date_add(F.lit("2001-01-01").cast("date"), F.col("id").cast("int")).alias("day"), F.col("id").cast("int").alias("day_ordinal"), (F.col("id") % 12).cast("double").alias("value"),
     )
-    return rows.select(*(F.col(f.name).cast(f.dataType) for f in GRID_DAILY))
+    return described(rows.select(*(F.col(f.name).cast(f.dataType) for f in GRID_DAILY)), MM_A_DAY)
+
+
+def test_netcdf_files_are_written_in_slabs(spark, tmp_path):
+    cells = spark.range(1000).select((F.col("id") / 4).alias("lat")).crossJoin(spark.range(1200).select((F.col("id") / 4).alias("lon")))
+    means = cells.filter("lat <> 3 OR lon > 100").select(F.lit("h").alias("experiment"), "lat", "lon", (F.col("lat") * 1000 + F.col("lon")).alias("value"))
+    means = described(means.unionByName(means.limit(5).withColumn("experiment", F.lit("other"))), {"units": "days", "long_name": "L", "cell_methods": "time: mean"})
+    target = tmp_path / "n" / "o.nc"
+    sinks.write_netcdf(means, "h", "max_cdd", target, {"title": "t", "units": "days"})
+    got = netcdf3.read(target.read_bytes())
+    lat, lon = np.arange(1000) / 4, np.arange(1200) / 4
+    want = lat[:, None] * 1000 + lon[None, :]
+    want[12, lon <= 100] = np.nan
+    np.testing.assert_array_equal(got.variables["max_cdd"].values, want)
+    assert got.variables["max_cdd"].attributes == {"units": "days", "long_name": "L", "cell_methods": "time: mean"} and got.attributes == {"title": "t", "units": "days"}
+    assert [p.name for p in target.parent.iterdir()] == ["o.nc"]
+    sinks.write_netcdf(means, "h", "max_cdd", target, {"title": "again"})  # replaces the file
+    assert netcdf3.read(target.read_bytes()).attributes == {"title": "again"}
+    sinks.write_netcdf(means, "nothing", "max_cdd", tmp_path / "none.nc", {})
+    assert netcdf3.read((tmp_path / "none.nc").read_bytes()).variables["max_cdd"].values.shape == (0, 0)
+
+
+@pytest.mark.parametrize("calendar", ["standard", "noleap", "360_day"])
+def test_daily_files_keep_their_days(spark, tmp_path, calendar):
+    first = grid_files.days_before(dt.date(2001, 3, 2), 70, calendar)
+    rows = daily(spark, 40).withColumn("calendar", F.lit(calendar)).withColumn("day_ordinal", F.col("day_ordinal") + 70).filter("day_ordinal <> 90")
+    rows = rows.withColumn("day", F.date_add(F.lit("2001-03-02").cast("date"), F.col("day_ordinal") - 70)).filter("day < '2001-03-30'")
+    assert sinks.write_daily(rows, str(tmp_path)).first().n_days == 27
+    file = next(tmp_path.rglob("*.nc"))
+    time = netcdf3.read(file.read_bytes()).variables["time"]
+    assert time.attributes["units"] == f"days since {first}"
+    got = {(r.day, round(r.value, 9)) for r in grid_files.read_grid(spark, str(tmp_path))[0].collect()}
+    assert got == {(r.day, r.value) for r in rows.collect()} and not list(tmp_path.rglob("*.part"))
 
 
 def test_grid_store_prunes(spark, tmp_path):
