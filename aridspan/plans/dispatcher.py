@@ -13,7 +13,7 @@ from aridspan import sinks
 from aridspan.config import IndexConfig
 from aridspan.functions.geometry import to_degrees
 from aridspan.functions.names import status_row
-from aridspan.operators import ensemble, grid, indices, inventory, regions
+from aridspan.operators import alignment, ensemble, grid, indices, inventory, regions
 from aridspan.sources import file_catalogue, grid_files
 
 
@@ -63,7 +63,8 @@ def run_indices(daily: DataFrame, config: IndexConfig) -> Outcome:
 
 def land(spark: SparkSession, data: str, config: IndexConfig, out: str, variable: str = "pr") -> tuple[DataFrame, DataFrame]:
     """The daily grid and the rejects of the files under data, decoded once and kept as a table under out, by experiment
-    and model. Of mounted files a catalogue is kept there too, and only those of the configured experiments and box are opened."""
+    and model. Of mounted files a catalogue is kept there too, and only those of the configured experiments and box are opened; their cells
+    meet by the labels of their common axes."""
     files = file_catalogue.refresh(spark, data, f"{out}/_catalogue", variable, config.experiments) if grid_files.mounted(spark, data) else None
     picked = None if files is None else file_catalogue.pruned(files, variable, config.experiments, config.bounds)
     read = grid_files.read_files(spark, data, variable, config.bounds, picked)
@@ -71,6 +72,8 @@ def land(spark: SparkSession, data: str, config: IndexConfig, out: str, variable
     read.write.mode("overwrite").partitionBy("experiment", "model").parquet(path)
     daily, rejects = grid_files.parts_of(spark.read.schema(read.schema).parquet(path))
     if files is not None:
+        axes = alignment.axes_of_files(picked)
+        daily = alignment.on_labels(daily, *axes) if axes and config.bounds.stride == 1 else daily
         rejects = rejects.unionByName(files.filter("error IS NOT NULL").select(*rejects.columns)).distinct()
     return daily, rejects
 

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from aridspan.functions.periods import expected_days, period_code, period_start
-from aridspan.operators import ensemble, indices
+from aridspan.operators import alignment, ensemble, indices
 from aridspan.functions.attributes import MM_A_DAY, attributes_of, described
 from aridspan.operators.grid import FLUX_TO_MM, convert_units, every_nth, files_without, in_box, nan_to_null, null_guard, require_variable
 from aridspan.operators.spells import longest_run
@@ -176,6 +176,58 @@ def test_means_weigh_files_or_models(spark):
         ensemble.ensemble_mean(frame, "years")
 
 
+def test_a_mean_is_kept_as_files_come_change_and_go(spark, tmp_path):
+    def file(name, values, model="M", experiment="historical"):
+        rows = [(experiment, model, name, 0.0, float(i), v) for i, v in enumerate(values)]
+        return spark.createDataFrame(rows, "experiment string, model string, file_id string, lat double, lon double, value double")
+
+    kept = ensemble.MeanTable(spark, f"file://{tmp_path}/m", groups=3)
+    now = {}
+
+    def agree():
+        every = None
+        for f in now.values():
+            every = f if every is None else every.unionByName(f)
+        want = [] if every is None else ensemble.ensemble_mean(every).collect()
+        key = lambda rows: sorted((r.experiment, r.lat, r.lon, r.n_files, None if r.value is None else round(r.value, 9)) for r in rows)
+        return key(kept.mean().collect()) == key(want)
+
+    assert agree()
+    for i in range(6):
+        now[f"f{i} a/b"] = file(f"f{i} a/b", [float(i), None if i else 3.5, 2.0 * i], experiment=("historical", "ssp")[i % 2])
+    first, *rest = now.values()
+    kept.put(first)
+    for r in rest[1:]:
+        rest[0] = rest[0].unionByName(r)
+    kept.put(rest[0])
+    kept.put(first)  # again
+    assert agree()
+    now["f2 a/b"] = file("f2 a/b", [100.0, 1.0])  # revised, a cell less
+    kept.put(now["f2 a/b"])
+    assert agree()
+    del now["f1 a/b"], now["f0 a/b"]
+    kept.withdraw(["f1 a/b", "f0 a/b", "never there"])
+    assert agree()
+    kept.withdraw(list(now))
+    now.clear()
+    assert agree()
+
+
+def test_grids_meet_by_labels(spark):
+    cells = [(round(-30 + i * 0.25, 6), round(10.125 + k * 0.25, 6)) for i in range(6) for k in range(8)]
+    rows = [("e", "A", "a", y, x, 1.0) for y, x in cells] + [("e", "B", "b", y + 1e-7, x - 3e-8, 3.0) for y, x in cells]
+    rows += [("e", "C", "c", y, x, 5.0) for y, x in cells if x > 11] + [("e", "D", "d", -29.9, 10.125, 7.0)]  # a shifted box, and a cell of no grid
+    frame = spark.createDataFrame(rows, "experiment string, model string, file_id string, lat double, lon double, value double").repartition(3)
+    axes = [alignment.axis_of(frame.filter("file_id <> 'd'"), c) for c in ("lat", "lon")]
+    assert axes == [alignment.Axis(-30.0, 0.25), alignment.Axis(10.125, 0.25)]
+    got = {(r.lat, r.lon): (r.value, r.n_files) for r in ensemble.ensemble_mean(alignment.on_labels(frame, *axes)).collect()}
+    assert got == {(y, x): (3.0, 3) if x > 11 else (2.0, 2) for y, x in cells} | {(-29.9, 10.125): (7.0, 1)}
+    assert [r.file_id for r in alignment.off_labels(frame, *axes).collect()] == ["d"]
+    assert alignment.axis_of(frame.filter("file_id = 'd'"), "lat") == alignment.Axis(-29.9, 1.0)
+    files = spark.createDataFrame([(-30.0, -28.75, 6, 10.125, 11.875, 8), (-30.0000001, -28.75, 6, 11.125, 11.875, 4)], "south double, north double, n_lat int, west double, east double, n_lon int")
+    assert alignment.axes_of_files(files) == tuple(axes) and alignment.axes_of_files(files.limit(0)) is None
+
+
 def test_grid_filters(spark):
     frame = series(spark, [float("nan"), 1.0]).unionByName(series(spark, [None, None], file="empty", lat=-20.0))
     clean = nan_to_null(frame)
