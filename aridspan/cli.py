@@ -10,7 +10,7 @@ from aridspan import config, sinks
 from aridspan.operators import catalog, inventory
 from aridspan.plans import dispatcher
 from aridspan.session import session
-from aridspan.sources import crawl, shapefile, tables
+from aridspan.sources import crawl, shapefile, work
 from aridspan.sources.grid_files import found_files
 
 #: Where the public catalogue and its subset service are (fixed values).
@@ -81,7 +81,7 @@ def main(arguments: list[str] | None = None) -> list[str]:
         cfg = config.DownloadConfig.of(config.read_yaml(args.config)).only(args.model, args.experiment, args.variable, args.years)
         expected = inventory.expected_files(spark, cfg)
         plan = inventory.plan_downloads(expected, found_files(spark, args.data, cfg.experiments), cfg, args.base)
-        for r in tables.download(plan, args.data).orderBy("model", "experiment", "variable", "year").collect():
+        for r in crawl.download(plan, args.data, work.WorkTable(spark, f"{args.data}/_work")).orderBy("model", "experiment", "variable", "year").collect():
             lines.append(f"{r.model} {r.experiment} {r.variable} {r.year}: {r.file or r.error}")
         lines.append(f"All downloads completed: {expected.count() - len(lines)} were there")
     elif args.command == "run" and args.data:

@@ -20,7 +20,11 @@ def find_root(start: str | Path, marker: str) -> Path:
 
 
 def read_yaml(path: str | Path) -> dict:
-    return yaml.safe_load(Path(path).read_text(encoding="utf-8")) or {}
+    """The document at path, or at that path below the first folder upwards that has it."""
+    path = Path(path)
+    if not path.exists() and not path.is_absolute():
+        path = find_root(Path.cwd(), str(path)) / path
+    return yaml.safe_load(path.read_text(encoding="utf-8")) or {}
 
 
 @dataclass(frozen=True)

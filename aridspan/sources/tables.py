@@ -56,28 +56,3 @@ def save(url: str, target: Path) -> None:
         part.replace(target)
     finally:
         part.unlink(missing_ok=True)
-
-
-def download(plan: DataFrame, root: str, parallel: int = 8) -> DataFrame:
-    """Carries out inventory.plan_downloads under root, a folder that all machines mount: for each model, variable,
-    experiment and year the candidates by priority until one succeeds. Returns these, file and error."""
-    keys = ["model", "variable", "experiment", "year"]
-    jobs = plan.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("priority", "file", "url"))).alias("tries"))
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for r in frame.itertuples():
-                done, errors = None, []
-                for t in r.tries:
-                    try:
-                        save(t["url"], Path(root) / r.variable / r.model / r.experiment / t["file"])
-                        done = t["file"]
-                        break
-                    except (OSError, ValueError) as error:
-                        errors.append(f"{t['file']}: {type(error).__name__}")
-                rows.append((r.model, r.variable, r.experiment, r.year, done, None if done else "; ".join(errors)))
-            yield pd.DataFrame(rows, columns=[*keys, "file", "error"])
-
-    schema = "model string, variable string, experiment string, year int, file string, error string"
-    return jobs.repartition(parallel, *keys).mapInPandas(run, schema)

@@ -14,7 +14,8 @@ from aridspan.operators import indices
 from aridspan.plans import dispatcher
 from aridspan.schemas import CATALOG, GRID_DAILY, REGIONS
 from aridspan.functions.attributes import MM_A_DAY, described
-from aridspan.sources import grid_files, netcdf3, shapefile, tables
+from aridspan.sources import crawl, grid_files, netcdf3, shapefile, tables
+from aridspan.sources.work import WorkTable
 from aridspan.streaming.arrivals import arrivals, fold_state, heavy_days, index_files, index_so_far
 from tests import hdf5_writer
 
@@ -123,7 +124,7 @@ def test_downloads_take_the_first_that_works_and_leave_no_parts(spark, tmp_path)
     base = f"file://{tmp_path}/src"
     rows = [("A", "pr", "h", 2000, 0, "v.nc", f"{base}/v.nc"), ("A", "pr", "h", 2000, 1, "plain.nc", f"{base}/plain.nc"), ("B", "pr", "h", 2000, 0, "w.nc", f"{base}/w.nc")]
     plan = spark.createDataFrame(rows, "model string, variable string, experiment string, year int, priority int, file string, url string")
-    done = {r.model: (r.file, r.error) for r in tables.download(plan, f"{tmp_path}/out", 2).collect()}
+    done = {r.model: (r.file, r.error) for r in crawl.download(plan, f"{tmp_path}/out", WorkTable(spark, f"file://{tmp_path}/w", most=1)).collect()}
     assert done["A"] == ("plain.nc", None) and done["B"][0] is None and "w.nc" in done["B"][1]
     assert [p.name for p in (tmp_path / "out").rglob("*") if p.is_file()] == ["plain.nc"]
 
