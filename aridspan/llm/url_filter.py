@@ -3,9 +3,11 @@ list passes possible hits to an exact hash join, which removes false positives.
 
 Native: DataFrame operations only. The filter is a table of 64-bit words, one for each block; a key sets
 four bits of one block. It is broadcast only while its fixed number of blocks keeps it under 8 MB; beyond
-that Spark joins it by block number. URLs are made distinct (with a map-side combine) before anything
-else moves, so a host or URL that holds a third of all pages is one row by then; the pages of a hot URL that is
-listed are dealt out to all tasks when verdicts come back to them. The list is a table, key by key.
+that Spark joins it by block number. URLs are made distinct, then their canonical forms (both with a map-side combine)
+before anything meets the filter, so a host or URL that holds a third of all pages is one row by then; the URLs of a hot
+host that is listed, and the pages of such a URL, are dealt out to all tasks when verdicts come back to them. The list is
+a table, key by key: hosts as ``host/``, pages as host and path, in canonical form (no user, port, dots at the end, ``www.``
+or ``m.`` before a page, repeated slashes or slashes at the end; A-Z lower-cased in the host).
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path, fits no rule and is allowed;
 repeated rows are each judged; an empty list blocks nothing; an empty table gives an empty result.
@@ -56,8 +58,10 @@ def rule_column(rules: tuple) -> tuple[Column, Column]:
 
 def keys() -> Column:
     """The canonical forms of a URL that a list may hold: its page, and its host and parent domains."""
-    page = F.expr("concat(regexp_replace(host, '^(www|m)[.]', ''), regexp_replace(path, '/+$', ''))")
-    labels = F.split("host", "[.]")
+    host = F.rtrim(F.regexp_replace(F.regexp_replace("host", "^.*@", ""), ":[0-9]*$", ""), F.lit("."))
+    path = F.regexp_replace(F.regexp_replace("path", "/+", "/"), "/$", "")
+    page = F.concat(F.regexp_replace(host, "^(www|m)[.]", ""), path)
+    labels = F.split(host, "[.]")
     hosts = F.transform(
         F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(labels) - 1)),
         lambda i: F.concat(F.array_join(F.slice(labels, i, F.size(labels)), "."), F.lit("/")),
@@ -87,10 +91,12 @@ def listed_urls(pages: DataFrame, listed: DataFrame) -> DataFrame:
     filter_ = bloom(listed, blocks)
     if blocks <= MAX_BROADCAST_ROWS:
         filter_ = F.broadcast(filter_)
-    urls = with_parts(pages.filter("url IS NOT NULL").groupBy("url").agg(F.count("*").alias("n"))).filter("host <> ''")
-    every = urls.select("url", "n", F.explode(keys()).alias("key")).withColumn("block", block_of(blocks))
-    possible = every.join(filter_, "block").filter(F.expr(f"(bits & {MASK}) = {MASK}")).select("url", "n", "key")
-    return possible.join(listed, "key", "left_semi").select("url", "n").distinct()
+    urls = stored(pages.filter("url IS NOT NULL").groupBy("url").agg(F.count("*").alias("n_pages")), "urls")
+    every = with_parts(urls).filter("host <> ''").select("url", "n_pages", F.explode(keys()).alias("key"))
+    distinct = every.groupBy("key").agg(F.count("*").alias("n")).withColumn("block", block_of(blocks))
+    possible = distinct.join(filter_, "block").filter(F.expr(f"(bits & {MASK}) = {MASK}")).select("key", "n")
+    found = stored(possible.join(listed, "key", "left_semi"), "listed-keys")
+    return join_spread(every, found, "key", "url").select("url", F.col("n_pages").alias("n")).distinct()
 
 
 def default_list(spark: SparkSession) -> DataFrame:
@@ -132,13 +138,13 @@ WITH cut AS (
          regexp_extract(rest, '^([^/?#]*)([^?#]*)', 2) AS path
   FROM cut
 ), judged AS (
-  SELECT page_id, host, path,
+  SELECT page_id, host, path, rtrim(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '.') AS bare,
     CASE WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
          WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
          WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/es/') THEN 'net/es/'
          WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
          WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/' END AS rule,
-    regexp_matches(host, '(^|[.])(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)[.]example[.](com|info|net|org)$') AS listed
+    regexp_matches(bare, '(^|[.])(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)[.]example[.](com|info|net|org)$') AS listed
   FROM parts
 )
 SELECT page_id, host, path, rule,

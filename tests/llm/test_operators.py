@@ -425,6 +425,17 @@ def test_bloom_filter_has_no_false_negatives(spark):
     assert found == {f"http://h.org/{i}" for i in range(3000)}
 
 
+def test_canonical_forms_of_urls(spark):
+    listed = spark.createDataFrame([("casino-win.example.info/",), ("page.example.org/a",), ("page.example.org/b/c",), ("big-host.com/",)], "key string")
+    bad = ["http://casino-win.example.info:8080/x", "http://u@casino-win.example.info/x", "http://u:p@casino-win.example.info./x", "HTTP://CASINO-win.example.info..", "http://a.casino-win.example.info:/"]
+    bad += ["http://page.example.org//a", "http://www.page.example.org/a/", "http://m.page.example.org:80//a///", "https://page.example.org./b//c?q#f", "http://page.example.org/b/c/" + "/" * 100_000]
+    good = ["http://casino-win.example.information/", "http://casino-win.example.info.evil.com/", "http://page.example.org/A", "http://page.example.org/b", "http://:80/", "http://@/", "http://x.org/casino-win.example.info/"]
+    hot = [f"http://h{i % 7}.big-host.com/{i}" for i in range(3000)]
+    pages = spark.createDataFrame(list(enumerate(bad + good + hot)), "page_id long, url string").repartition(4)
+    got = {r.page_id for r in url_filter.judge_urls(pages, (), listed).collect() if r.listed}
+    assert got == set(range(len(bad))) | set(range(len(bad + good), len(bad + good + hot)))
+
+
 # 7 decontamination
 
 
