@@ -6,6 +6,8 @@ import uuid
 from collections.abc import Callable
 from pathlib import Path
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,9 @@ from aridspan.operators import regions as reg
 from aridspan.plans import analog, dispatcher
 from aridspan.plans import oracles as sql
 from aridspan.shipping import kept, shared_dir, shared_folder
-from aridspan.sources import crawl, file_catalogue, grid_files
+from aridspan.schemas import GRID_DAILY, TOWNS
+from aridspan.sources import crawl, file_catalogue, grid_files, netcdf3, tables, work
+from aridspan.streaming import arrivals
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -659,3 +663,126 @@ def xml_variables(spark, sf_dir):
     xml = F.when(F.col("n_nationkey") % 2 == 0, by_ref).otherwise(by_file)
     found = cat.run_variables(nations.select(F.col("n_nationkey").alias("url"), xml.alias("xml")))
     return found.select("url", F.array_join("variables", ",").alias("variables"))
+
+
+# what is written and read again, or fetched
+
+
+@query(sql.CDD_FILES + " SELECT lat, lon, round(avg(value), 6) AS value, 'days' AS units, 'time: maximum time: mean model: mean' AS cell_methods"
+       " FROM index_file WHERE experiment = 'historical' GROUP BY lat, lon")
+def netcdf_written(spark, sf_dir):
+    """An ensemble's mean as a NetCDF file that tasks write in slabs, read back with its attributes."""
+    target = Path(shared_folder(spark, "netcdf")) / "cdd.nc"
+    sinks.write_netcdf(ensemble.ensemble_mean(cdd_files(spark, sf_dir)), "historical", "max_cdd", target, {"title": "CDD"})
+
+    def rows(frames):
+        for frame in frames:
+            for path in frame["path"]:
+                file = netcdf3.read(Path(path).read_bytes()).variables
+                lat, lon = (file[n].values.astype("f8") for n in ("lat", "lon"))
+                y, x = np.meshgrid(lat, lon, indexing="ij")
+                out = pd.DataFrame({"lat": y.ravel(), "lon": x.ravel(), "value": file["max_cdd"].values.astype("f8").ravel()})
+                yield out.assign(units=file["max_cdd"].attributes["units"], cell_methods=file["max_cdd"].attributes["cell_methods"])
+
+    paths = spark.createDataFrame([(str(target),)], "path string")
+    return rounded(paths.mapInPandas(rows, "lat double, lon double, value double, units string, cell_methods string")).filter("NOT isnan(value)")
+
+
+@query(ORACLES["verify_report"])
+def report_written(spark, sf_dir):
+    """The wide report as a CSV with a header, read back."""
+    report = verify_report(spark, sf_dir)
+    path = f"{shared_dir(spark)}/aridspan/report-{uuid.uuid4().hex}"
+    sinks.write_report(report, path)
+    return spark.read.schema(report.schema).option("header", True).csv(path)
+
+
+@query("SELECT s_name AS city, CAST(s_suppkey % 90 AS DOUBLE) AS lat, CAST(s_nationkey AS DOUBLE) / 4 AS lng, CASE WHEN s_suppkey % 3 > 0 THEN s_suppkey END AS population FROM supplier")
+def towns_read(spark, sf_dir):
+    """Suppliers as towns: a CSV with semicolons, a name of a column between blanks, and holes; read as towns are."""
+    supplier = analog.table(spark, sf_dir, "supplier")
+    some = {"city": F.col("s_name"), "city_ascii": F.col("s_name"), "lat": F.col("s_suppkey") % 90, "lng": F.col("s_nationkey") / 4, "population": F.when(F.col("s_suppkey") % 3 > 0, F.col("s_suppkey"))}
+    columns = [some.get(f.name, F.lit(None).cast("string")).alias(f" {f.name}" if f.name == "population" else f.name) for f in TOWNS.fields]
+    path = f"{shared_dir(spark)}/aridspan/towns-{uuid.uuid4().hex}"
+    supplier.select(*columns).write.option("header", True).option("sep", ";").csv(path)
+    return tables.read_towns(spark, path).select("city", "lat", "lng", "population")
+
+
+def served(spark, documents: DataFrame) -> str:
+    """A folder with documents (place, text) that a URL names; each is written by a task."""
+    folder = shared_folder(spark, "served")
+
+    def put(frames):
+        for frame in frames:
+            for place, text in zip(frame["place"], frame["text"]):
+                target = Path(folder) / place
+                target.parent.mkdir(parents=True, exist_ok=True)
+                target.write_text(text, encoding="utf-8")
+            yield frame[["place"]]
+
+    documents.select("place", "text").mapInPandas(put, "place string").count()
+    return folder
+
+
+@query("SELECT replace(r_name, ' ', '_') AS model, 'historical' AS experiment, 'r' || n_nationkey AS run, CASE WHEN n_nationkey % 2 = 0 THEN 'pr, tas' ELSE 'pr' END AS variables"
+       " FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 5 <> 4")
+def catalog_crawled(spark, sf_dir):
+    """A catalogue of regions (models) and nations (runs), crawled document by document; those of some runs are not there."""
+    nations = analog.table(spark, sf_dir, "nation").join(analog.table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    nations = nations.select(F.translate("r_name", " ", "_").alias("model"), F.concat(F.lit("r"), F.col("n_nationkey")).alias("run"), "n_nationkey")
+    refs = lambda names: F.concat(
+        F.lit('<catalog xmlns:xlink="http://www.w3.org/1999/xlink">'), F.array_join(F.transform(names, lambda n: F.concat(F.lit('<catalogRef name="'), n, F.lit('"/>'))), ""), F.lit("</catalog>")
+    )
+    place = lambda *parts: F.concat_ws("/", *parts, F.lit("catalog.xml"))
+    models = nations.groupBy("model").agg(F.collect_set("run").alias("runs"))
+    documents = [
+        models.agg(F.collect_list("model").alias("m")).select(place().alias("place"), refs(F.col("m")).alias("text")),
+        models.select(place("model").alias("place"), refs(F.array(F.lit("historical"))).alias("text")),
+        models.select(place("model", F.lit("historical")).alias("place"), refs(F.col("runs")).alias("text")),
+        nations.filter("n_nationkey % 5 <> 4").select(
+            place("model", F.lit("historical"), "run").alias("place"),
+            refs(F.when(F.col("n_nationkey") % 2 == 0, F.array(F.lit("pr"), F.lit("tas"))).otherwise(F.array(F.lit("pr")))).alias("text"),
+        ),
+    ]
+    every = documents[0]
+    for d in documents[1:]:
+        every = every.unionByName(d)
+    base = f"file://{served(spark, every)}"
+    found = crawl.crawl(spark, base, f"{shared_dir(spark)}/aridspan/crawl-{uuid.uuid4().hex}")
+    return found.select("model", "experiment", "run", F.array_join(F.array_sort("variables"), ", ").alias("variables"))
+
+
+@query("SELECT n_name AS model, CASE n_nationkey % 3 WHEN 0 THEN 'new.nc' WHEN 1 THEN 'old.nc' END AS file, n_nationkey % 3 = 2 AS has_error FROM nation")
+def files_downloaded(spark, sf_dir):
+    """Downloads for nations: of a third the first candidate is there, of a third only the second, of the others none."""
+    nations = analog.table(spark, sf_dir, "nation").select(F.col("n_name").alias("model"), "n_nationkey")
+    place = lambda file: F.concat_ws("/", "model", file)
+    there = nations.filter("n_nationkey % 3 < 2").select(place(F.when(F.col("n_nationkey") % 3 == 0, "new.nc").otherwise("old.nc")).alias("place"), F.lit("data").alias("text"))
+    base = f"file://{served(spark, there)}"
+    plan = nations.select(
+        "model", F.lit("pr").alias("variable"), F.lit("historical").alias("experiment"), F.lit(2000).alias("year"), F.posexplode(F.array(F.lit("new.nc"), F.lit("old.nc"))).alias("priority", "file")
+    ).withColumn("url", F.concat_ws("/", F.lit(base), F.regexp_replace("model", " ", "%20"), "file"))
+    done = crawl.download(plan, shared_folder(spark, "downloads"), work.WorkTable(spark, f"{shared_dir(spark)}/aridspan/work-{uuid.uuid4().hex}"))
+    return done.select("model", "file", F.col("error").isNotNull().alias("has_error"))
+
+
+@query(sql.grid() + ", w AS (SELECT *, CAST(DATE '1970-01-01' + CAST(date_diff('day', DATE '1970-01-01', day) // 30 * 30 AS INTEGER) AS DATE) AS start FROM grid)"
+       " SELECT experiment, model, lat, lon, start, count(*) FILTER (value >= 10) AS n_days FROM w GROUP BY ALL")
+def heavy_days_streamed(spark, sf_dir):
+    """Heavy days in windows of 30 days, counted as a stream over stored grid files."""
+    place, name = f"{shared_dir(spark)}/aridspan/stream-{uuid.uuid4().hex}", f"heavy_{uuid.uuid4().hex}"
+    analog.grid(spark, sf_dir).select(*(F.col(f.name).cast(f.dataType) for f in GRID_DAILY.fields)).write.parquet(place)
+    counted = arrivals.heavy_days(arrivals.arrivals(spark, place, 10_000))
+    stream = counted.writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{place}-checkpoint").trigger(availableNow=True)
+    stream.start().awaitTermination()
+    return spark.table(name).drop("run")
+
+
+@query(sql.grid() + sql.spells(sql.DRY, "YS") + sql.PERIODS)
+def cdd_annual_streamed(spark, sf_dir):
+    """Yearly spells of files whose days arrive in batches of some stored files, several batches to a file."""
+    place = f"{shared_dir(spark)}/aridspan/stream-{uuid.uuid4().hex}"
+    grid = analog.grid(spark, sf_dir).select(*(F.col(f.name).cast(f.dataType) for f in GRID_DAILY.fields))
+    grid.repartition(6, F.pmod("day_ordinal", F.lit(6))).write.parquet(place)
+    arrivals.index_files(arrivals.arrivals(spark, place, 2), "cdd", f"{place}-state", f"{place}-checkpoint").awaitTermination()
+    return arrivals.index_so_far(spark, "cdd", f"{place}-state")

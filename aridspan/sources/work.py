@@ -40,7 +40,8 @@ def hopeless(error: Exception) -> bool:
 
 
 def host_of(url: str) -> str:
-    return f"lower(coalesce(parse_url({url}, 'HOST'), ''))"
+    """SQL for the host of a URL, empty if it has none."""
+    return f"lower(regexp_extract({url}, '^[A-Za-z]+://(?:[^/@]*@)?([^/:?#]*)', 1))"
 
 
 def document(url: str, etag: str | None, modified: str | None) -> Done:
