@@ -269,6 +269,8 @@ def test_from_files_to_netcdf(spark, tmp_path):
     lines = cli.main(["run", "--config", f"{tmp_path}/i.yml", "--data", str(data), "--out", f"{tmp_path}/o"])
     assert "historical: 6 files" in lines and "ssp245: no files found, skipped" in lines and lines[-1].startswith("Completed in")
     assert sum("furlongs" in x for x in lines) == 1 and sum(x.startswith("pr_day_M6") for x in lines) == 1
+    usable = [x for x in lines if x.endswith(" ssp245:  0")]
+    assert usable == [f"{m:30} historical:  1 ssp245:  0" for m in ("M1", "M2", "M3", "M4")]  # not those of unknown units or broken
     assert "CDD: done" in lines and "R10MM: done" in lines and any(x.startswith("NONE: KeyError") for x in lines)
     for index, output, wet, dry in (("cdd", "max_cdd", 0, 365), ("cwd", "max_cwd", 365, 0), ("r10mm", "r10mm", 0, 0)):
         got = netcdf3.read((tmp_path / "o" / index / f"{index}_ensemble_mean_historical.nc").read_bytes())
