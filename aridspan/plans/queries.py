@@ -685,7 +685,7 @@ def netcdf_written(spark, sf_dir):
                 yield out.assign(units=file["max_cdd"].attributes["units"], cell_methods=file["max_cdd"].attributes["cell_methods"])
 
     paths = spark.createDataFrame([(str(target),)], "path string")
-    return rounded(paths.mapInPandas(rows, "lat double, lon double, value double, units string, cell_methods string")).filter("NOT isnan(value)")
+    return rounded(paths.mapInPandas(rows, "lat double, lon double, value double, units string, cell_methods string")).filter("value IS NOT NULL AND NOT isnan(value)")
 
 
 @query(ORACLES["verify_report"])
