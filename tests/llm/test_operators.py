@@ -392,6 +392,20 @@ def test_least_surety_is_the_quantile():
     assert language_id.least_surety(right[:0]) == -np.inf
 
 
+# 5 language id, training
+
+
+def test_texts_of_one_word_do_not_make_the_training_diverge():
+    rng = random.Random(4)
+    words = {"en": ["the", "river", "stone", "old"], "de": ["der", "fluss", "stein", "alt"], "fr": ["la", "pierre", "vieux", "eau"]}
+    rows = [(" ".join(rng.choices(words[k], k=30)), k, i % 5 == 0) for i in range(120) for k in words]
+    rows += [("mm " * 50, k, False) for _ in range(200) for k in words]  # the same text in every language
+    model = language_id.train(rows)
+    assert np.isfinite(model.logits).all() and np.isfinite(model.least) and np.abs(model.logits).max() < 1e6
+    got = model.scores([" ".join(words[k] * 6).encode() for k in words])
+    assert [g[0] for g in got] == list(words) and all(0 <= g[1] <= 1 for g in got)
+
+
 # 6 URL filter
 
 
